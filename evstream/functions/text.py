@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def without_last(col: Column, last: str) -> Column:
+    """The text without one final ``last`` character, if it ends in one."""
+    return F.when(col.endswith(last), F.left(col, F.length(col) - 1)).otherwise(col)
+
+
 def lines(text) -> Column:
-    """The lines of a text, as a line reader would deliver them."""
+    """The lines of a text as a line reader would deliver them, but for a final ``\\r`` of each,
+    which :func:`without_last` takes off."""
     c = F.col(text) if isinstance(text, str) else text
-    whole = F.split(F.regexp_replace(c, "\\r?\\n\\z", ""), "\\r?\\n")
+    whole = F.split(without_last(c, "\n"), "\n")
     return F.when(c != "", whole).otherwise(F.array().cast("array<string>"))
 
 
@@ -23,13 +29,13 @@ def words_on_space(line) -> Column:
 
 
 def words_on_whitespace(text) -> Column:
-    """Split on every white-space character, empty words dropped."""
-    return F.filter(F.split(text, r"\s"), lambda w: w != "")
+    """Split on every white-space character; the empty words are left to be dropped."""
+    return F.split(text, r"\s")
 
 
 def words_lowered(text) -> Column:
-    """Lower-case and split on runs of non-word characters, empty words dropped."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda w: w != "")
+    """Lower-case and split on runs of non-word characters; empty words likewise."""
+    return F.split(F.lower(text), r"\W+")
 
 
 def field(parts: Column, index: int, dtype: str, strict: bool = True) -> Column:

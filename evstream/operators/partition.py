@@ -10,6 +10,15 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
+def widened(df: DataFrame) -> DataFrame:
+    """Spread a table that is read in fewer parts than there are cores, before costly row-wise
+    work. A table of many parts, as any large one, is left alone."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shuffle_random(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """Spread rows at random, the same way on every recomputation."""
     return df.repartition(n, F.rand(seed))

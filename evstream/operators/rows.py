@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from evstream.functions import text
+from evstream.operators.partition import widened
 
 TAG = "tag"
 BAD = "_bad"
@@ -81,11 +82,15 @@ def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep:
 
 def tokens(df: DataFrame, column: str, how: str = "space", out: str = "word") -> DataFrame:
     """One row per word of a text column: ``space``, ``whitespace`` or ``lowered`` rule."""
+    df = widened(df.select(column))
     if how == "space":
         per_line = df.select(F.explode(text.lines(F.col(column))).alias("_line"))
+        line = text.without_last(F.col("_line"), "\r")
+        per_line = per_line.select(line.alias("_line"))
         return per_line.select(F.explode(text.words_on_space(F.col("_line"))).alias(out))
     rule = {"whitespace": text.words_on_whitespace, "lowered": text.words_lowered}[how]
-    return df.select(F.explode(rule(F.col(column))).alias(out))
+    # The filter runs in the same generated code as the explode, a filter in the array does not.
+    return df.select(F.explode(rule(F.col(column))).alias(out)).where(F.col(out) != "")
 
 
 def word_count(df: DataFrame, column: str, how: str = "space") -> DataFrame:
