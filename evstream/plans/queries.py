@@ -1,6 +1,6 @@
 """All registered queries and their SQL twins."""
 
-from evstream.plans import table_queries  # noqa: F401  (registers its queries)
+from evstream.plans import stream_queries, table_queries  # noqa: F401  (register their queries)
 from evstream.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
