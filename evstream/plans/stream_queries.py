@@ -19,15 +19,19 @@ from evstream.streaming import jobs
 from evstream.streaming.runner import run_to_table
 
 BY_ID = ["event_id"]
-K, is_ = tq.K, tq.is_
+k_, is_ = tq.k_, tq.is_
 
 
 def stream(t, bound: str | None = "0 seconds") -> DataFrame:
     """The events as a stream, with event time and watermark unless ``bound`` is None."""
     spark = prepare_streaming(t.spark)
     # A pattern, since a stream takes a single file by pattern only; it fits a folder as well.
-    raw = spark.readStream.schema(TABLES["events"]).parquet(f"{t.folder}/events.parquet*")
-    return raw if bound is None else jobs.event_time(raw, "ts", bound)
+    reader = spark.readStream.schema(TABLES["events"])
+    path = f"{t.folder}/events.parquet*"
+    if bound is None:
+        # Handled by arrival, where a key's share of a micro-batch is sorted in memory.
+        return reader.option("maxBytesPerTrigger", str(4 << 30)).parquet(path)
+    return jobs.event_time(reader.parquet(path), "ts", bound)
 
 
 def drained(t, df: DataFrame, name: str) -> DataFrame:
@@ -70,7 +74,7 @@ def stream_uv_hourly(t):
       select *, cast(row_number() over (partition by window_end order by cnt desc, item_id) as int) as rank
       from w) where rank <= 3 and window_end <= (select upto from wm)""")
 def stream_hot_items_top3(t):
-    views = stream(t).where(is_("view")).withColumn("item_id", K)
+    views = stream(t).where(is_("view")).withColumn("item_id", k_())
     return drained(t, jobs.hot_keys(views, "ts", "item_id", "6 hours", "1 hour", 3), "hot")
 
 
@@ -118,7 +122,7 @@ def stream_running_reduce(t):
              rows between 4 preceding and current row) as bigint) as cars from ({tq.COUNTED_SQL}))
     where rn % 3 = 0""")
 def stream_count5_3(t):
-    rows = stream(t, None).withColumn("k", K)
+    rows = stream(t, None).withColumn("k", k_())
     return drained(t, jobs.count_windows(rows, ["user_id"], BY_ID, "k", 5, 3, "cars"), "count")
 
 
@@ -126,7 +130,7 @@ def stream_count5_3(t):
     select event_id, word, false as inserted, old_total as frequency from u where old_total is not null
     union all select event_id, word, true, new_total from u""")
 def stream_changelog_sum(t):
-    words = stream(t, None).select("event_id", F.col("event_type").alias("word"), K.alias("k"))
+    words = stream(t, None).select("event_id", F.col("event_type").alias("word"), k_().alias("k"))
     return drained(t, jobs.changelog(words, ["word"], BY_ID, "k", "frequency"), "changes")
 
 

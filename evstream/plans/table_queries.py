@@ -15,10 +15,14 @@ from evstream.schemas import AD_CLICK, CAR_COUNT
 
 ORDER = ["ts", "event_id"]
 
-K = F.get_json_object("props", "$.k").cast("bigint")
 SQL_K = "cast(json_extract_string(props, '$.k') as bigint)"
 
 
+def k_():
+    """The number in the ``props`` document of an event."""
+    return F.get_json_object("props", "$.k").cast("bigint")
+
+
 def is_(kind):
     return F.col("event_type") == kind
 
@@ -85,7 +89,7 @@ def uv_bitmap_running(t):
       select *, cast(row_number() over (partition by window_end order by cnt desc, item_id) as int) as rank
       from w) where rank <= 3""")
 def hot_items_top3(t):
-    views = t.events.where(is_("view")).select("ts", K.alias("item_id"))
+    views = t.events.where(is_("view")).select("ts", k_().alias("item_id"))
     return jobs.hot_keys(views, "ts", "item_id", "1 day", "1 hour", 3)
 
 
@@ -96,7 +100,7 @@ def hot_items_top3(t):
       select *, cast(row_number() over (partition by window_end order by cnt desc, url) as int) as rank
       from w) where rank <= 5""")
 def hot_urls_top5(t):
-    urls = t.events.select("ts", F.concat_ws("/", "event_type", K).alias("url"))
+    urls = t.events.select("ts", F.concat_ws("/", "event_type", k_()).alias("url"))
     return jobs.hot_keys(urls, "ts", "url", "6 hours", "30 minutes", 5)
 
 
@@ -107,7 +111,7 @@ def hot_urls_top5(t):
     select * from w""")
 def marketing_by_channel(t):
     used = t.events.where(~is_("signup")).select(
-        "ts", F.concat(F.lit("channel"), K % 4).alias("channel"), F.col("event_type").alias("behavior")
+        "ts", F.concat(F.lit("channel"), k_() % 4).alias("channel"), F.col("event_type").alias("behavior")
     )
     return jobs.marketing(used, "ts", "1 day", "1 hour", ["channel", "behavior"])
 
@@ -369,7 +373,7 @@ def window_members(t):
            make_timestamp((epoch_us(ts) // {5 * SEC} + 1) * {5 * SEC}) as window_end,
            user_id, cast(sum({SQL_K}) as bigint) as cars from events group by all""")
 def traffic_tumble(t):
-    return windows.tumble(t.events, "ts", "5 seconds", ["user_id"], F.sum(K).alias("cars"))
+    return windows.tumble(t.events, "ts", "5 seconds", ["user_id"], F.sum(k_()).alias("cars"))
 
 
 @query("traffic_slide", f"""
@@ -380,7 +384,7 @@ def traffic_tumble(t):
           from events) group by user_id, e""")
 def traffic_slide(t):
     return windows.slide(
-        t.events, "ts", "10 seconds", "5 seconds", ["user_id"], sums={"cars": K}, count=None
+        t.events, "ts", "10 seconds", "5 seconds", ["user_id"], sums={"cars": k_()}, count=None
     )
 
 
@@ -407,7 +411,7 @@ COUNTED_SQL = f"""select user_id, {SQL_K} as k,
     select user_id, (rn - 1) // 5 + 1 as firing, cast(sum(k) as bigint) as cars
     from ({COUNTED_SQL}) group by 1, 2 having count(*) = 5""")
 def traffic_count5(t):
-    return windows.count_tumble(t.events, ["user_id"], ORDER, 5, cars=K)
+    return windows.count_tumble(t.events, ["user_id"], ORDER, 5, cars=k_())
 
 
 @query("traffic_count5_3", f"""
@@ -416,7 +420,7 @@ def traffic_count5(t):
              rows between 4 preceding and current row) as bigint) as cars from ({COUNTED_SQL}))
     where rn % 3 = 0""")
 def traffic_count5_3(t):
-    return windows.count_slide(t.events, ["user_id"], ORDER, 5, 3, cars=K)
+    return windows.count_slide(t.events, ["user_id"], ORDER, 5, 3, cars=k_())
 
 
 @query("traffic_session", f"""
@@ -427,7 +431,7 @@ def traffic_count5_3(t):
     select user_id, min(ts) as session_start, max(ts) + interval 6 hours as session_end,
            count(*) as cnt, cast(sum(k) as bigint) as cars from s group by user_id, sid""")
 def traffic_session(t):
-    return windows.sessions(t.events, "ts", "6 hours", ["user_id"], sums={"cars": K})
+    return windows.sessions(t.events, "ts", "6 hours", ["user_id"], sums={"cars": k_()})
 
 
 # --- late rows -----------------------------------------------------------------------------
@@ -554,7 +558,7 @@ def running_max_by(t):
     """ % SQL_K)
 def running_reduce(t):
     out = running.running_field_reduce(
-        t.events.withColumn("k", K), ["user_id"], ORDER, "event_type", ("k", 1), ("value", 10.0)
+        t.events.withColumn("k", k_()), ["user_id"], ORDER, "event_type", ("k", 1), ("value", 10.0)
     )
     return out.select("event_id", "user_id", "reduced_event_type", "reduced_k", "reduced_value")
 
@@ -594,7 +598,7 @@ CHANGES_SQL = f"""with r as (
     select event_id, ts, word, false as inserted, old_total as frequency from u where old_total is not null
     union all select event_id, ts, word, true, new_total from u""")
 def changelog_sum(t):
-    words = t.events.select("event_id", "ts", F.col("event_type").alias("word"), K.alias("k"))
+    words = t.events.select("event_id", "ts", F.col("event_type").alias("word"), k_().alias("k"))
     return running.changelog(words, ["word"], ORDER, "k", "frequency")
 
 
@@ -602,7 +606,7 @@ def changelog_sum(t):
     select event_id, ts, word, false as inserted, old_total as frequency from u where old_total % 10 = 2
     union all select event_id, ts, word, true, new_total from u where new_total % 10 = 2""")
 def changelog_having(t):
-    words = t.events.select("event_id", "ts", F.col("event_type").alias("word"), K.alias("k"))
+    words = t.events.select("event_id", "ts", F.col("event_type").alias("word"), k_().alias("k"))
     return running.changelog(words, ["word"], ORDER, "k", "frequency", having=lambda c: c % 10 == 2)
 
 
@@ -749,7 +753,7 @@ def parse_access_log(t):
 @query("parse_spaced", f"""
     select cast(user_id as varchar) as sensor_id, cast({SQL_K} as int) as count from events""")
 def parse_spaced(t):
-    return rows.parse_delimited(t.events.select(F.concat_ws(" ", "user_id", K).alias("value")), CAR_COUNT, sep=" ")
+    return rows.parse_delimited(t.events.select(F.concat_ws(" ", "user_id", k_()).alias("value")), CAR_COUNT, sep=" ")
 
 
 @query("json_filter_project", f"""
@@ -832,14 +836,14 @@ def replicated_counts(t):
 @query("sql_group_sum", f"""
     select event_type as word, cast(sum({SQL_K}) as bigint) as frequency from events group by 1""")
 def sql_group_sum(t):
-    t.events.select(F.col("event_type").alias("word"), K.alias("frequency")).createOrReplaceTempView("words")
+    t.events.select(F.col("event_type").alias("word"), k_().alias("frequency")).createOrReplaceTempView("words")
     return t.spark.sql("select word, sum(frequency) as frequency from words group by word")
 
 
 @query("sql_having", f"""
     select user_id, cast(sum({SQL_K}) as bigint) as frequency from events group by 1 having frequency > 3000""")
 def sql_having(t):
-    totals = t.events.groupBy("user_id").agg(F.sum(K).alias("frequency"))
+    totals = t.events.groupBy("user_id").agg(F.sum(k_()).alias("frequency"))
     return totals.where(F.col("frequency") > 3000)
 
 

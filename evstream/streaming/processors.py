@@ -8,13 +8,16 @@ processor with their event time in ``_us`` (microseconds), added by :mod:`.jobs`
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 from pyspark.sql import Row, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DAY_US = 86_400_000_000
+RUN_ROWS = 4096
 
 
 def _ms_up(us: int) -> int:
@@ -34,7 +37,11 @@ class Processor(StatefulProcessor):
 
 
 class ArrivalProcessor(Processor):
-    """Rows in order of arrival; within a micro-batch in the order of the ``order`` fields."""
+    """Rows in order of arrival; within a micro-batch in the order of the ``order`` fields.
+
+    The rows one key has in a micro-batch are sorted in memory: bound the batch with the trigger
+    options of the source (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``).
+    """
 
     def __init__(self, order: Sequence[str]):
         self.order = list(order)
@@ -139,48 +146,82 @@ class EventOrderProcessor(Processor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.fields)
+        # Rows wait in sorted runs of bounded length, found by the order fields of their first
+        # row, so that neither a batch nor the waiting rows of a key are ever held at once.
+        first = T.StructType([self.fields[c] for c in self.order])
+        rows = T.StructType([T.StructField("rows", T.ArrayType(self.fields))])
+        self.runs = handle.getMapState("runs", first, rows)
         self.memory = handle.getValueState("memory", self.state)
+        self.names = self.fields.fieldNames()
+        self.at = [self.names.index(c) for c in self.order]
+
+    def _place(self, row: tuple) -> tuple:
+        return tuple(row[i] for i in self.at)
+
+    def _store(self, run: list[tuple]) -> int:
+        first = self._place(run[0])
+        if self.runs.containsKey(first):
+            # The same row came twice; keep both runs.
+            held = [tuple(r) for r in self.runs.getValue(first)[0]]
+            run = sorted(held + run, key=self._place)
+        self.runs.updateValue(first, (run,))
+        return first[0]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        names = self.fields.fieldNames()
-        new = [tuple(r[n] for n in names) for r in rows]
-        self.waiting.appendList(new)
-        self._wake(min(r[names.index(self.order[0])] for r in new))
+        tuples = (tuple(r[n] for n in self.names) for r in rows)
+        earliest = None
+        while run := sorted(islice(tuples, RUN_ROWS), key=self._place):
+            first = self._store(run)
+            earliest = first if earliest is None else min(earliest, first)
+        if earliest is not None:
+            self._wake(earliest)
         return iter(())
 
     def _wake(self, us: int) -> None:
         self.handle.registerTimer(_ms_up(us))
 
+    def _due(self, passed: int, left: list[int]) -> Iterator[tuple]:
+        """The waiting rows up to ``passed`` in order, merged from the runs and taken out of the
+        state; the first times of what stays go to ``left``."""
+        firsts = sorted(tuple(k) for k in self.runs.keys())
+        opened: list = []
+        n = 0
+        while True:
+            while n < len(firsts) and firsts[n][0] <= passed and (not opened or firsts[n] <= opened[0][0]):
+                run = [tuple(r) for r in self.runs.getValue(firsts[n])[0]]
+                self.runs.removeKey(firsts[n])
+                heapq.heappush(opened, (firsts[n], n, 0, run))
+                n += 1
+            if not opened:
+                break
+            place, number, i, run = heapq.heappop(opened)
+            if place[0] > passed:
+                left.append(self._store(run[i:]))
+                continue
+            yield run[i]
+            if i + 1 < len(run):
+                heapq.heappush(opened, (self._place(run[i + 1]), number, i + 1, run))
+        left.extend(f[0] for f in firsts[n:])
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        names = self.fields.fieldNames()
-        rows = sorted(
-            (dict(zip(names, r)) for r in self.waiting.get()),
-            key=lambda r: tuple(r[c] for c in self.order),
-        )
-        us = self.order[0]
-        due = [r for r in rows if r[us] <= passed]
-        later = [r for r in rows if r[us] > passed]
         memory = tuple(self.memory.get()) if self.memory.exists() else self.initial
         out: list[Row] = []
-        for row in due:
-            memory = self.on_time(key, memory, row[us] - 1, out)
-            memory = self.on_row(key, memory, row, out)
+        left: list[int] = []
+        us = self.at[0]
+        for values in self._due(passed, left):
+            memory = self.on_time(key, memory, values[us] - 1, out)
+            memory = self.on_row(key, memory, dict(zip(self.names, values)), out)
+            yield from out
+            out.clear()
         memory = self.on_time(key, memory, passed, out)
+        yield from out
         self.memory.update(memory)
-        if due:
-            if later:
-                self.waiting.put([tuple(r[n] for n in names) for r in later])
-            else:
-                self.waiting.clear()
-        wake = [r[us] for r in later[:1]]
         limit = self.deadline(memory)
         if limit is not None:
-            wake.append(limit)
-        if wake:
-            self._wake(min(wake))
-        return iter(out)
+            left.append(limit)
+        if left:
+            self._wake(min(left))
 
     def on_row(self, key, memory: tuple, row: dict, out: list[Row]) -> tuple:
         raise NotImplementedError
