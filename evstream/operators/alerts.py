@@ -81,7 +81,8 @@ def order_status(
     """One status per create, from the first pay after it: ``paid`` before ``limit`` has passed,
     ``late`` from then on, ``timeout`` without one. A pay before any create is ``no create``."""
     ts = order[0]
-    rows = timeline(df.withColumns({"_created": created, "_paid": paid}), keys, order)
+    used = df.where(created | paid).withColumns({"_created": created, "_paid": paid})
+    rows = timeline(used, keys, order)
     rows = rows.forward(_creates=running_sum(F.col("_created").cast("int"))).backward(
         include_current=False, _pay=nearest(F.when(F.col("_paid"), F.col(ts)))
     )
@@ -104,7 +105,8 @@ def order_check(
     """The fixed check: for every create with no pay before it, whether a pay has come by the
     time ``limit`` has passed, that moment included."""
     ts = order[0]
-    rows = timeline(df.withColumns({"_created": created, "_paid": paid}), keys, order)
+    used = df.where(created | paid).withColumns({"_created": created, "_paid": paid})
+    rows = timeline(used, keys, order)
     rows = rows.forward(_pays=running_sum(F.col("_paid").cast("int"))).backward(
         include_current=False, _pay=nearest(F.when(F.col("_paid"), F.col(ts)))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -39,8 +40,11 @@ def match_sequence(
     if len(steps) < 2:
         raise ValueError("a sequence has at least two steps")
     cols = [*order, *[c for c in keep if c not in order]]
-    rows = timeline(df, keys, order)
-    rows = rows.with_rows(rows.rows.withColumns({f"_is{i}": s.when for i, s in enumerate(steps)}))
+    flagged = df.withColumns({f"_is{i}": s.when for i, s in enumerate(steps)})
+    if not any(s.strict for s in steps):
+        # Rows that fit no step cannot stand between two: leave them out before the shuffle.
+        flagged = flagged.where(reduce(lambda a, b: a | b, [s.when for s in steps]))
+    rows = timeline(flagged, keys, order)
     here = F.struct(*cols)
     last = len(steps) - 1
     rows = rows.with_rows(rows.rows.withColumn(f"_at{last}", F.when(F.col(f"_is{last}"), F.struct(here.alias("row")))))

@@ -156,27 +156,33 @@ def count_tumble(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, **sums: Column
 ) -> DataFrame:
     """Every ``size``-th row of a key puts out the sums of the last ``size`` rows."""
-    rows = timeline(df, keys, order).forward(_rn=running_count()).done()
+    rows = _counted(df, keys, order, sums)
     groups = rows.groupBy(*keys, floor_div(F.col("_rn") - 1, size).alias("firing")).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(name) for name, c in sums.items()]
+        F.count(F.lit(1)).alias("_n"), *[F.sum(name).alias(name) for name in sums]
     )
     return groups.where(F.col("_n") == size).select(
         *keys, (F.col("firing") + 1).alias("firing"), *sums
     )
 
 
+def _counted(df: DataFrame, keys, order, sums: dict[str, Column]) -> DataFrame:
+    """The values to be summed, each row with its number within the key."""
+    values = df.select(*keys, *order, *[c.alias(name) for name, c in sums.items()])
+    return timeline(values, keys, order).forward(_rn=running_count()).done()
+
+
 def count_slide(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, every: int, **sums: Column
 ) -> DataFrame:
     """Every ``every``-th row of a key puts out the sums of its last ``size`` rows or fewer."""
-    rows = timeline(df, keys, order).forward(_rn=running_count()).done()
+    rows = _counted(df, keys, order, sums)
     # Row number r is in the firings whose row number lies in [r, r + size - 1].
     first = floor_div(F.col("_rn") + (every - 1), every)
     last = floor_div(F.col("_rn") + (size - 1), every)
     rows = rows.withColumn("_last", last).withColumn("_first", first).where(F.col("_first") <= F.col("_last"))
     fired = rows.withColumn("firing", F.explode(F.sequence("_first", "_last")))
     groups = fired.groupBy(*keys, "firing").agg(
-        F.max("_rn").alias("_top"), *[F.sum(c).alias(name) for name, c in sums.items()]
+        F.max("_rn").alias("_top"), *[F.sum(name).alias(name) for name in sums]
     )
     return groups.where(F.col("_top") == F.col("firing") * every).select(*keys, "firing", *sums)
 

@@ -557,8 +557,9 @@ def running_max_by(t):
     from (select *, %s as k from events) window w as (partition by user_id order by ts, event_id)
     """ % SQL_K)
 def running_reduce(t):
+    events = t.events.select("event_id", "user_id", "ts", "event_type", "value", k_().alias("k"))
     out = running.running_field_reduce(
-        t.events.withColumn("k", k_()), ["user_id"], ORDER, "event_type", ("k", 1), ("value", 10.0)
+        events, ["user_id"], ORDER, "event_type", ("k", 1), ("value", 10.0)
     )
     return out.select("event_id", "user_id", "reduced_event_type", "reduced_k", "reduced_value")
 
