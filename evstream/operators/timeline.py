@@ -205,24 +205,20 @@ def timeline(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Timeli
         )
     )
     rows = key_join(df, cuts, keys, rows=n_hot * slices)
-    rows = rows.withColumn(SLICE, _slice_number(F.col(order[0]), F.col("_cuts"))).drop("_cuts")
+    rows = _with_slice(rows, order[0], slices)
     return Timeline(rows, keys, order, sliced=True, hot_slices=n_hot * slices)
 
 
-def _slice_number(at: Column, cuts: Column) -> Column:
-    """0 for ordinary keys, else 1 + the number of cut points at or before ``at``."""
-    steps = F.sequence(F.lit(1), F.lit(MAX_SLICES_PER_KEY.bit_length()))
-    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+def _with_slice(rows: DataFrame, at: str, slices: int) -> DataFrame:
+    """Number the slices: 0 for ordinary keys, else 1 + the cut points at or before ``at``.
 
-    def halve(span, _):
-        mid = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
-        open_ = span["lo"] < span["hi"]
-        below = open_ & (F.get(cuts, mid) <= at)
-        return F.struct(
-            F.when(below, mid + 1).otherwise(span["lo"]).alias("lo"),
-            F.when(open_ & ~below, mid).otherwise(span["hi"]).alias("hi"),
-        )
-
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(
-        F.aggregate(steps, start, halve, lambda span: span["lo"]) + 1
-    )
+    The count is found by halving, one projection per step, which stays in generated code;
+    past the end of the cut points ``get`` is null and adds nothing.
+    """
+    rows = rows.withColumn(SLICE, F.lit(0))
+    for bit in reversed(range(max(slices - 1, 1).bit_length())):
+        step = 1 << bit
+        before = F.get(F.col("_cuts"), F.col(SLICE) + (step - 1)) <= F.col(at)
+        rows = rows.withColumn(SLICE, F.col(SLICE) + F.when(before, step).otherwise(0))
+    number = F.when(F.col("_cuts").isNull(), 0).otherwise(F.col(SLICE) + 1)
+    return rows.withColumn(SLICE, number).drop("_cuts")

@@ -17,7 +17,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 # Rows one task may be handed for one key before the key is cut into slices.
 SLICE_ROWS = "evstream.slice.rows"
-SLICE_ROWS_DEFAULT = 4_000_000
+SLICE_ROWS_DEFAULT = 16_000_000
 # Inputs whose planned size is below this many bytes cannot hold a key worth slicing.
 SLICE_FLOOR = "evstream.slice.floor.bytes"
 SLICE_FLOOR_DEFAULT = 64 * 1024 * 1024
