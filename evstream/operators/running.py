@@ -153,7 +153,8 @@ def changelog(
     one. With ``having`` a total is inserted when it enters the filter and retracted when it
     leaves. A total that stays the same is no update.
     """
-    rows = timeline(df, keys, order).forward(_new=running_sum(value), _n=running_count()).done()
+    used = df.select(*keys, *order, F.col(value))
+    rows = timeline(used, keys, order).forward(_new=running_sum(value), _n=running_count()).done()
     rows = rows.withColumn("_old", F.when(F.col("_n") > 1, F.col("_new") - F.col(value)))
     changed = ~F.col("_old").eqNullSafe(F.col("_new"))
     shown = having or (lambda c: F.lit(True))
@@ -164,8 +165,8 @@ def changelog(
     come = F.when(
         changed & shown(F.col("_new")), F.struct(F.lit(True).alias("inserted"), F.col("_new").alias(total))
     )
-    updates = rows.select(*keys, *order, F.explode(F.array_compact(F.array(gone, come))).alias("_u"))
-    return updates.select(*keys, *order, "_u.inserted", f"_u.{total}")
+    updates = rows.select(*keys, *order, F.explode(F.array(gone, come)).alias("_u"))
+    return updates.where(F.col("_u").isNotNull()).select(*keys, *order, "_u.inserted", f"_u.{total}")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -186,7 +187,8 @@ def bitmap_distinct_running(
     )
     first = timeline(rows, ["window_end", "_bit"], order).forward(_seen=running_count()).done()
     fresh = first.withColumn("_fresh", F.when(F.col("_seen") == 1, 1).otherwise(0)).drop("_seen", "_bit")
-    return timeline(fresh, ["window_end"], order).forward(**{out: running_sum("_fresh")}).done().drop("_fresh")
+    per_window = timeline(fresh, ["window_end"], order, like=rows)
+    return per_window.forward(**{out: running_sum("_fresh")}).done().drop("_fresh")
 
 
 class UserAggregate:

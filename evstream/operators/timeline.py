@@ -173,30 +173,35 @@ class Timeline:
         return self.with_rows(rows)
 
 
-def timeline(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Timeline:
+def timeline(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], like: DataFrame | None = None
+) -> Timeline:
     """Rows of ``df`` per key in ``order``; the order columns must identify a row of a key.
 
     With no keys the whole table is one timeline. The first order column (a time or a number)
-    gives the cut points of hot keys.
+    gives the cut points of hot keys. ``like`` is a table with the same keys and order columns
+    that is cheaper to count, for a ``df`` that is itself the result of a scan.
     """
     keys, order = tuple(keys), tuple(order)
+    probe = df if like is None else like
     if not keys:
-        df, keys = df.withColumn(ALL, F.lit(0)), (ALL,)
+        df, probe, keys = df.withColumn(ALL, F.lit(0)), probe.withColumn(ALL, F.lit(0)), (ALL,)
     spark = df.sparkSession
     whole = Timeline(df, keys, order, sliced=False)
-    if planned_bytes(df) <= int_setting(spark, SLICE_FLOOR, SLICE_FLOOR_DEFAULT):
+    if planned_bytes(probe) <= int_setting(spark, SLICE_FLOOR, SLICE_FLOOR_DEFAULT):
         return whole
 
     limit = int_setting(spark, SLICE_ROWS, SLICE_ROWS_DEFAULT)
     # At most rows / limit keys can be hot.
-    hot = checkpointed(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit))
+    counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = checkpointed(counts.where(F.col("_n") > limit))
     n_hot, most = hot.agg(F.count(F.lit(1)), F.max("_n")).first()
     if not n_hot:
         return whole
 
     slices = min(MAX_SLICES_PER_KEY, math.ceil(most / limit))
     fractions = [i / slices for i in range(1, slices)]
-    hot_rows = key_join(df, hot.drop("_n"), keys, "left_semi", rows=n_hot)
+    hot_rows = key_join(probe, hot.drop("_n"), keys, "left_semi", rows=n_hot)
     cuts = checkpointed(
         hot_rows.groupBy(*keys).agg(
             F.array_distinct(

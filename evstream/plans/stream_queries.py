@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from evstream.operators import windows
+from evstream.operators import joins, rows, windows
 from evstream.operators.patterns import Step
 from evstream.plans import table_queries as tq
 from evstream.plans.registry import query
@@ -92,8 +92,7 @@ def stream_sessions(t):
     return drained(t, held, "sessions")
 
 
-@query("stream_tx_match_inner", f"{tq.TX_SQL} select * from p join r on {tq.TX_ON}")
-def stream_tx_match_inner(t):
+def _pays_and_receipts(t):
     pays = stream(t, "10 minutes").where(is_("purchase")).select(
         F.col("event_id").alias("pay_id"), "user_id", F.col("ts").alias("pay_time")
     )
@@ -101,6 +100,12 @@ def stream_tx_match_inner(t):
         F.col("event_id").alias("receipt_id"), F.col("user_id").alias("receipt_user"),
         F.col("ts").alias("receipt_time"),
     )
+    return pays, receipts
+
+
+@query("stream_tx_match_inner", f"{tq.TX_SQL} select * from p join r on {tq.TX_ON}")
+def stream_tx_match_inner(t):
+    pays, receipts = _pays_and_receipts(t)
     pairs = jobs.payment_join(pays, receipts, tq.ON_USER, "pay_time", "receipt_time", "1 hour")
     return drained(t, jobs.plain_times(pairs), "tx")
 
@@ -233,3 +238,55 @@ def stream_order_pattern(t):
 def stream_marked_minimum(t):
     out = jobs.smallest_by_marker(stream(t, None), "ts", "event_type", "value", is_("click"), "1 hour")
     return drained(t, out, "marked")
+
+
+@query("stream_tx_match_full", f"""{tq.TX_SQL},
+    w as (select least((select max(pay_time) from p), (select max(receipt_time) from r))
+                 - interval 70 minutes as upto),
+    m as (select *, case when r.receipt_id is null then 'left_only' when p.pay_id is null
+                    then 'right_only' else 'match' end as tag
+          from p full outer join r on {tq.TX_ON})
+    select * from m where tag = 'match' or coalesce(pay_time, receipt_time) <= (select upto from w)""")
+def stream_tx_match_full(t):
+    pays, receipts = _pays_and_receipts(t)
+    both = joins.match_within(pays, receipts, tq.ON_USER, "pay_time", "receipt_time", "1 hour")
+    return drained(t, jobs.plain_times(both), "txfull")
+
+
+@query("stream_split_high_low", """
+    select event_id, value, case when value > 30 then 'high' else 'low' end as tag from events""")
+def stream_split_high_low(t):
+    events = stream(t, None).select("event_id", "value")
+    return drained(t, rows.tag_rows(events, {"high": F.col("value") > 30}, "low"), "split")
+
+
+@query("stream_union_distinct", """
+    select user_id, event_type from events where value > 20
+    union select user_id, event_type from events where value > 10""")
+def stream_union_distinct(t):
+    a = stream(t, None).where(F.col("value") > 20).select("user_id", "event_type")
+    b = stream(t, None).where(F.col("value") > 10).select("user_id", "event_type")
+    return drained(t, rows.union_distinct(a, b), "union")
+
+
+@query("stream_sequence_three_steps", f"""
+    with {wm_sql()}, e as (select *, lead(event_type) over w as nxt_type, lead(ts) over w as nxt_ts,
+        lead(event_id) over w as nxt_id
+      from events where ts <= (select upto from wm)
+      window w as (partition by user_id order by ts, event_id)),
+    s as (select *, min(case when event_type = 'click' then event_id end) over (
+            partition by user_id order by ts, event_id
+            rows between 1 following and unbounded following) as second_id from e),
+    m as (select s.user_id, s.event_id as first_id, s.ts as first_ts, c.event_id as second_id,
+            c.nxt_id as third_id, c.ts < s.ts + interval 2 days as two,
+            c.ts < s.ts + interval 2 days and c.nxt_type = 'purchase'
+              and c.nxt_ts < s.ts + interval 2 days as three
+          from s left join e c on c.event_id = s.second_id where s.event_type = 'view')
+    select user_id, first_id, case when three then third_id when two then second_id else first_id end as last_id,
+           cast(case when three then 3 when two then 2 else 1 end as int) as matched,
+           case when three then 'match' else 'timeout' end as tag
+    from m where three or first_ts + interval 2 days <= (select upto from wm)""")
+def stream_sequence_three_steps(t):
+    steps = [Step("a", is_("view")), Step("b", is_("click")), Step("c", is_("purchase"), strict=True)]
+    found = jobs.match_sequence(stream(t), ["user_id"], "event_id", steps, "2 days")
+    return drained(t, found, "three").select("user_id", "first_id", "last_id", "matched", "tag")

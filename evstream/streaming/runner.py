@@ -79,7 +79,7 @@ def run_to_table(
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if source is not None:
         cores = spark.sparkContext.defaultParallelism
-        wanted = max(cores, planned_bytes(source) // STATE_BYTES_PER_TASK)
+        wanted = min(max(cores, planned_bytes(source) // STATE_BYTES_PER_TASK), 4 * cores)
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     try:
         run_stream(
