@@ -6,8 +6,8 @@ part of the table. A :class:`Timeline` keeps ordinary keys whole and cuts the ho
 consecutive slices of bounded size. A scan then runs inside the slices, and what the earlier
 (or later) slices contribute is added from a table with one row per hot slice.
 
-The cut points are a function of the data, found by two small aggregations over the key and
-order columns and checkpointed, so that a recomputed task sees the same slices.
+The cut points are found by two aggregations over a sample of the key and order columns and
+checkpointed, so that a recomputed task sees the same slices.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from evstream.session import (
 SLICE = "_slice"
 ALL = "_all"
 MAX_SLICES_PER_KEY = 4096
+SAMPLED_PER_SLICE = 2000
+SAMPLE_SEED = 17
 
 
 @dataclass(frozen=True)
@@ -192,16 +194,23 @@ def timeline(
         return whole
 
     limit = int_setting(spark, SLICE_ROWS, SLICE_ROWS_DEFAULT)
-    # At most rows / limit keys can be hot.
-    counts = probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = checkpointed(counts.where(F.col("_n") > limit))
+    # Hot keys and their cut points come from a sample, so that looking for them does not shuffle
+    # every key. It decides where work is cut, never what is computed.
+    share = min(1.0, SAMPLED_PER_SLICE / limit)
+    seen = probe.select(*dict.fromkeys([*keys, order[0]]))
+    if share < 1.0:
+        seen = seen.sample(fraction=share, seed=SAMPLE_SEED)
+    least = limit if share == 1.0 else 0.8 * limit * share
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # At most about rows / limit keys can be hot.
+    hot = checkpointed(counts.where(F.col("_n") > least))
     n_hot, most = hot.agg(F.count(F.lit(1)), F.max("_n")).first()
     if not n_hot:
         return whole
 
-    slices = min(MAX_SLICES_PER_KEY, math.ceil(most / limit))
+    slices = min(MAX_SLICES_PER_KEY, max(2, math.ceil(most / share / limit)))
     fractions = [i / slices for i in range(1, slices)]
-    hot_rows = key_join(probe, hot.drop("_n"), keys, "left_semi", rows=n_hot)
+    hot_rows = key_join(seen, hot.drop("_n"), keys, "left_semi", rows=n_hot)
     cuts = checkpointed(
         hot_rows.groupBy(*keys).agg(
             F.array_distinct(

@@ -44,6 +44,20 @@ def test_sliced_without_broadcast(spark, sql, sliced):
         spark.conf.unset("evstream.broadcast.rows")
 
 
+def test_slices_found_by_a_sample(spark):
+    """A limit above the sample size per slice: hot keys and cut points come from a real sample."""
+    folder = DATA.replace("sf0.001", "sf0.01")
+    spark.conf.set("evstream.slice.rows", "4000")
+    spark.conf.set("evstream.slice.floor.bytes", "0")
+    try:
+        con = compare.tables(folder)
+        for name in ("running_min_total", "late_refire"):
+            assert compare.differences(con, QUERIES[name](spark, folder), ORACLE[name]) == ""
+    finally:
+        spark.conf.unset("evstream.slice.rows")
+        spark.conf.unset("evstream.slice.floor.bytes")
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
