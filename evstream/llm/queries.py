@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from evstream.llm import quality, secrets, sharding  # noqa: F401  (register)
+from evstream.llm import bitpack, minhash, packing, pieces, quality, secrets, sharding  # noqa: F401  (register)
 from evstream.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
