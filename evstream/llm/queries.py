@@ -1,6 +1,16 @@
 """All queries of this subpackage."""
 
-from evstream.llm import bitpack, minhash, packing, pieces, quality, secrets, sharding  # noqa: F401  (register)
+from evstream.llm import (  # noqa: F401  (register)
+    bitpack,
+    embeddings,
+    lines,
+    minhash,
+    packing,
+    pieces,
+    quality,
+    secrets,
+    sharding,
+)
 from evstream.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
