@@ -44,7 +44,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def saved(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     """Write a stage into the shared folder and read it back: it survives lost executors, is
     computed once, and later plans start from files."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(ready(df.sparkSession), name)
     df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -10,6 +10,7 @@ from evstream.llm import (  # noqa: F401  (register)
     quality,
     secrets,
     sharding,
+    suffixes,
 )
 from evstream.llm.common import ORACLE, QUERIES
 
