@@ -199,7 +199,10 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = saved(features(statistics(known)).drop("text"), "quality")
     rule = verdict(fit(stats, labels))
     whole = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("text"))
-    return (features(statistics(whole)).where(~base_failed() & (rule == 0)).select("_row.*"))
+    # The row number keeps the condition above the counts: pushed below them, it would work them
+    # out again for every place that names one.
+    counted = features(statistics(whole)).withColumn("_n", F.monotonically_increasing_id())
+    return counted.where(~base_failed() & (rule == 0) & (F.col("_n") >= 0)).select("_row.*")
 
 
 @query("op7_quality_rules")
