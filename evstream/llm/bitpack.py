@@ -108,11 +108,11 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     pa.array([flat[i:j] for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
                     names=out.names)
 
-    # A row for each part: what stands before it.
+    # A row for each part, so never more than tasks that wrote: safe to broadcast.
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     before = totals.select("part", F.coalesce(F.sum("_n").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    return (files.mapInArrow(run, out).join(before, "part")
+    return (files.mapInArrow(run, out).join(F.broadcast(before), "part")
             .select("doc_id", (F.col("_before") + F.col("_at")).alias("start"), "n_tokens", "ids"))
 
 
