@@ -49,6 +49,12 @@ def saved(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def grows(df: DataFrame) -> DataFrame:
+    """The side of a join whose size follows the input: dealt by key at every size, never sent
+    whole to all tasks."""
+    return df.hint("merge")
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns whose names an operator is about to give out itself (in any case)."""
     taken = {n.lower() for n in names}

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from evstream.llm.common import query, saved, table, without
+from evstream.llm.common import grows, query, saved, table, without
 
 MIN_WORDS = 5  # a block of fewer words stays
 
@@ -117,8 +117,8 @@ def common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     each = lines.select("doc_id", F.explode(F.arrays_zip("h", "w")).alias("x")).where("x.w > 0")
     each = each.groupBy("doc_id", F.col("x.h").alias("line")).agg(F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
     first = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = each.join(first.drop("n"), "line").where("first < doc_id").select("first", "doc_id").distinct()
-    both = (pairs.join(lines, "doc_id").join(lines.select(F.col("doc_id").alias("first"), F.col("h").alias("a")), "first")
+    pairs = each.join(grows(first.drop("n")), "line").where("first < doc_id").select("first", "doc_id").distinct()
+    both = (pairs.join(grows(lines), "doc_id").join(lines.select(F.col("doc_id").alias("first"), F.col("h").alias("a")), "first")
             .select("doc_id", "a", "h", "w"))
 
     def run(batches):
@@ -142,7 +142,7 @@ def without_common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     docs = without(docs, "n_deleted", "_blocks", "_id")
     gone = (common_blocks(docs, least).groupBy(F.col("doc_id").alias("_id"))
             .agg(F.collect_list(F.struct("start", "end")).alias("_blocks")))
-    rows = docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
+    rows = docs.join(grows(gone), F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_deleted", T.LongType())])
 
     def run(batches):

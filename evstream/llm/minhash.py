@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from evstream.llm.common import components, query, saved, table
+from evstream.llm.common import components, grows, query, saved, table
 
 WIDTH, PERCENT = 5, 75
 COORDINATES, ROWS = 128, 4  # 32 bands of 4: a pair at 0.75 is missed by all with odds of 5e-6
@@ -142,7 +142,7 @@ def _families(reps: DataFrame) -> DataFrame:
                        for k in range(COORDINATES // ROWS)])
     rows = reps.select("rep", F.explode(pieces).alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    rows = rows.join(shared, "key").join(reps.select("rep", "coarse"), "rep")
+    rows = rows.join(grows(shared), "key").join(grows(reps.select("rep", "coarse")), "rep")
     # A large bucket is compared in parts, and then the leaders of its parts with each other.
     parts = F.ceil(F.col("_n") / F.lit(BUCKET))
     rows = rows.withColumn("_part", F.pmod(F.xxhash64("rep", F.lit(3)), parts))
@@ -230,7 +230,7 @@ def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["rep", "family", "blocks", "block", "set"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    sets = saved(texts.join(placed, "rep").select("text", "rep", "family", "blocks", "block").mapInArrow(
+    sets = saved(texts.join(grows(placed), "rep").select("text", "rep", "family", "blocks", "block").mapInArrow(
         full_sets, "rep long, family long, blocks int, block int, set binary"), "sets")
 
     def compare(rows, crossed):
@@ -292,7 +292,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its class, unchanged."""
     gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(grows(gone), "doc_id", "left_anti").select(docs.columns)
 
 
 @query("op10_minhash")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from evstream.llm.common import query, saved, table, without
+from evstream.llm.common import grows, query, saved, table, without
 from evstream.llm.minhash import mixed
 
 LENGTH = 400  # bytes of a passage
@@ -259,7 +259,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     mixed_keys = keys.where("lo <> hi").select("key")
     whole = classes.where("n > 1").select(
         "key", "stretch", F.col("at.least").alias("low"), F.col("at.most").alias("high"))
-    looked = saved(classes.join(mixed_keys, "key").select("key", "stretch", "n", "at.*"), "looked")
+    looked = saved(classes.join(grows(mixed_keys), "key").select("key", "stretch", "n", "at.*"), "looked")
     crowd = looked.groupBy("key").agg(F.count(F.lit(1)).alias("crowd"))
     wanted = looked.join(crowd, "key").groupBy(F.col("doc_id").alias("_id")).agg(
         F.collect_list(F.struct("key", "stretch", "anchor", "least", "most", "crowd")).alias("at"))
@@ -278,7 +278,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                     out = []
             yield _table(out, schema)
 
-    stretches = saved(docs.join(wanted, docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "at").mapInArrow(
+    stretches = saved(docs.join(grows(wanted), docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "at").mapInArrow(
         cut, "key long, stretch long, least int, most int, text binary, crowd long"), "stretches")
     few = (stretches.where(F.col("crowd") <= CHUNK).drop("crowd").repartition("key").sortWithinPartitions("key"))
     runs = whole.union(few.mapInArrow(_sorted, RUNS))
@@ -286,7 +286,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     if many.head(1):
         runs = runs.union(_by_hash(many))
     runs = saved(runs.distinct(), "runs")
-    return places.join(runs, ["key", "stretch"]).select(
+    return places.join(grows(runs), ["key", "stretch"]).select(
         "doc_id", (F.col("anchor") - F.col("high")).alias("start"), (F.col("anchor") - F.col("low") + LENGTH).alias("end"))
 
 
@@ -302,7 +302,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs = without(docs, "removed", "kept", "_id", "_ranges", "_row")
     found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("_ranges"))
-    joined = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+    joined = docs.join(grows(found), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("removed", spans), T.StructField("kept", T.BinaryType())])
 
