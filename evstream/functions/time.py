@@ -22,8 +22,9 @@ def micros(duration: str | int) -> int:
     """Length of ``'90 seconds'``, ``'1 hour'`` ... in microseconds; ints pass through."""
     if isinstance(duration, int):
         return duration
-    parts = re.findall(r"(-?\d+)\s*([a-z]+?)s?(?=\s|$)", duration.strip().lower())
-    if not parts or any(unit not in _UNITS for _, unit in parts):
+    text = duration.strip().lower()
+    parts = re.findall(r"(-?\d+)\s*([a-z]+?)s?(?=\s|$)", text)
+    if not re.fullmatch(r"(-?\d+\s*[a-z]+(\s+|$))+", text) or any(unit not in _UNITS for _, unit in parts):
         raise ValueError(f"not a duration: {duration!r}")
     return sum(int(n) * _UNITS[unit] for n, unit in parts)
 

@@ -67,7 +67,8 @@ def match_within(
     there = f"{micros(wait)} microseconds"
     if left.isStreaming or right.isStreaming:
         both = _stream_join(left, right, on, left_ts, right_ts, back, there, "full_outer")
-        left_key, right_key = left[on[0][0]], right[on[0][1]]
+        # By the times: a key may be NULL on a row that is there.
+        left_key, right_key = left[left_ts], right[right_ts]
         return both.withColumn(
             "tag", F.when(right_key.isNull(), LEFT_ONLY).when(left_key.isNull(), RIGHT_ONLY).otherwise(PAIR)
         )

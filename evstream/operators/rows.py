@@ -41,18 +41,21 @@ def parse_positions(
 def _parse(df, schema, sep, line, on_error, positions):
     strict = on_error == "fail"
     pattern = "\\Q" + sep + "\\E"
-    parts = df.withColumn("_f", F.split(F.col(line), pattern))
+    text_of = F.col(line)
+    if strict:  # a missing line is a bad one
+        text_of = F.coalesce(text_of, F.raise_error(F.lit("line is NULL")).cast("string"))
+    parts = df.withColumn("_f", F.split(text_of, pattern))
     fields = [
         text.field(F.col("_f"), pos, f.dataType.simpleString(), strict).alias(f.name)
         for pos, f in zip(positions, schema)
     ]
     if strict:
         return parts.select(*fields)
-    broken = F.lit(False)
+    broken = F.col(BAD).isNull()
     for f in schema:
         broken = broken | F.col(f.name).isNull()
     parsed = parts.select(*fields, F.col(line).alias(BAD)).withColumn(
-        BAD, F.when(broken, F.col(BAD))
+        BAD, F.when(broken, F.coalesce(F.col(BAD), F.lit("")))
     )
     if on_error == "drop":
         return parsed.where(F.col(BAD).isNull()).drop(BAD)

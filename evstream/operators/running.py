@@ -6,6 +6,7 @@ import pickle
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from evstream.functions.hashing import bitmap_offset
@@ -65,23 +66,25 @@ def running_field_reduce(
 
 def running_reduce(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], fields: Sequence[str],
-    combine: Callable[[tuple, tuple], tuple],
+    combine: Callable[[tuple, tuple], tuple], associative: bool = False,
 ) -> DataFrame:
     """The running reduce with a Python function over the ``fields`` of two rows.
 
-    ``combine`` must be associative: hot keys are reduced slice by slice. Each slice streams
-    through in order; one partial row per hot slice is what is put together at the end.
-    The result columns are ``reduced_<field>``.
+    Rows of a key stream through ``combine`` in order; one row is held at a time. Only if the
+    caller declares it ``associative`` are hot keys cut into slices, whose partial rows are put
+    together at the end; the result never depends on the size. NULL fields reach ``combine`` as
+    None and integers as they are. The result columns are ``reduced_<field>``.
     """
-    tl = timeline(df, keys, order)
-    keys, fields, order = list(tl.keys), list(fields), list(order)
-    rows = tl.rows if tl.sliced else tl.rows.withColumn(SLICE, F.lit(0))
+    keys, fields, order = list(keys), list(fields), list(order)
+    tl = timeline(df, keys, order) if associative else None
+    sliced = tl is not None and tl.sliced
+    rows = tl.rows if sliced else df.withColumn(SLICE, F.lit(0))
     out_schema = T.StructType(
         rows.schema.fields
         + [T.StructField(f"reduced_{f}", rows.schema[f].dataType) for f in fields]
     )
     reduced = _scan_in_order(rows, [*keys, SLICE], order, fields, combine, out_schema)
-    if tl.sliced:
+    if sliced:
         ends = (
             reduced.where(F.col(SLICE) > 0)
             .groupBy(*keys, SLICE)
@@ -94,12 +97,26 @@ def running_reduce(
         )
         totals = _scan_in_order(ends, keys, [SLICE], fields, combine, schema)
         carry = totals.select(
-            *keys, (F.col(SLICE) + 1).alias(SLICE), *[F.col(f"reduced_{f}").alias(f"_c_{f}") for f in fields]
+            *keys, (F.col(SLICE) + 1).alias(SLICE), F.lit(True).alias("_carried"),
+            *[F.col(f"reduced_{f}").alias(f"_c_{f}") for f in fields]
         )
         reduced = _apply_carry(tl, reduced, carry, fields, combine, out_schema)
     return reduced.select(*[c for c in out_schema.fieldNames() if c not in (SLICE, "_all")])
 
 
+def _tuples(batch: pa.RecordBatch, names: Sequence[str]) -> list[tuple]:
+    if not names:
+        return [()] * batch.num_rows
+    return list(zip(*[batch.column(c).to_pylist() for c in names], strict=True))
+
+
+def _with_reduced(batch: pa.RecordBatch, names, fields, rows) -> pa.RecordBatch:
+    """The batch's own columns, untouched, and the reduced ones."""
+    new = {f"reduced_{f}": pa.array([r[i] for r in rows], batch.schema.field(f).type)
+           for i, f in enumerate(fields)}
+    return pa.RecordBatch.from_arrays([new[c] if c in new else batch.column(c) for c in names], names)
+
+
 def _apply_carry(tl, reduced, carry, fields, combine, schema):
     # Cut points are values of the data, so no slice but the first of a key can be empty and
     # the total to add is always that of the slice just before.
@@ -107,40 +124,33 @@ def _apply_carry(tl, reduced, carry, fields, combine, schema):
     joined = key_join(reduced, carry, [*keys, SLICE], rows=tl.hot_slices)
     names = schema.fieldNames()
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            held = pdf[[f"_c_{f}" for f in fields]].itertuples(index=False, name=None)
-            here = pdf[[f"reduced_{f}" for f in fields]].itertuples(index=False, name=None)
-            new = [h if pd.isna(c[0]) else combine(c, h) for c, h in zip(held, here)]
-            for i, f in enumerate(fields):
-                pdf[f"reduced_{f}"] = [row[i] for row in new]
-            yield pdf[names]
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held, here = _tuples(b, [f"_c_{f}" for f in fields]), _tuples(b, [f"reduced_{f}" for f in fields])
+            carried = b.column("_carried").to_pylist()
+            new = [combine(c, h) if there else h for there, c, h in zip(carried, held, here, strict=True)]
+            yield _with_reduced(b, names, fields, new)
 
-    return joined.mapInPandas(add, schema)
+    return joined.mapInArrow(add, schema)
 
 
 def _scan_in_order(df, parts, order, fields, combine, schema):
     """Left fold along each group, over sorted partitions read batch by batch."""
     names = schema.fieldNames()
-    spread = df.repartition(*parts).sortWithinPartitions(*parts, *order)
+    spread = df.repartition(*parts).sortWithinPartitions(*parts, *order) if parts else (
+        df.coalesce(1).sortWithinPartitions(*order))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, None
-        for pdf in batches:
+        for b in batches:
             out = []
-            here = pdf[parts].astype(object).where(pdf[parts].notna(), None)
-            for key, row in zip(
-                here.itertuples(index=False, name=None),
-                pdf[fields].itertuples(index=False, name=None),
-            ):
+            for key, row in zip(_tuples(b, parts), _tuples(b, fields), strict=True):
                 held = row if key != group else combine(held, row)
                 group = key
                 out.append(held)
-            for i, f in enumerate(fields):
-                pdf[f"reduced_{f}"] = [r[i] for r in out]
-            yield pdf[names]
+            yield _with_reduced(b, names, fields, out)
 
-    return spread.mapInPandas(scan, schema)
+    return spread.mapInArrow(scan, schema)
 
 
 def changelog(
@@ -151,11 +161,13 @@ def changelog(
 
     Per input row: ``false`` with the old total (if there was one), then ``true`` with the new
     one. With ``having`` a total is inserted when it enters the filter and retracted when it
-    leaves. A total that stays the same is no update.
+    leaves. A total that stays the same is no update, nor is a NULL value.
     """
-    used = df.select(*keys, *order, F.col(value))
-    rows = timeline(used, keys, order).forward(_new=running_sum(value), _n=running_count()).done()
-    rows = rows.withColumn("_old", F.when(F.col("_n") > 1, F.col("_new") - F.col(value)))
+    used = df.select(*keys, *order, F.col(value)).withColumn("_is", F.col(value).isNotNull().cast("int"))
+    rows = timeline(used, keys, order).forward(_new=running_sum(value), _n=running_sum("_is")).done()
+    # The sum before the row: NULL values leave it as it is, and there is none before the first other.
+    rows = rows.withColumn("_old", F.when(F.col("_is") == 0, F.col("_new")).when(
+        F.col("_n") > 1, F.col("_new") - F.col(value)))
     changed = ~F.col("_old").eqNullSafe(F.col("_new"))
     shown = having or (lambda c: F.lit(True))
     gone = F.when(

@@ -79,7 +79,12 @@ def slide(
             *[getattr(F, how)(name).alias(name) for name, (how, _) in extremes.items()],
         )
     else:
-        out = _sliding_totals(panes, list(keys), ["_cnt", *sums], n)
+        # A sum of NULLs alone is NULL: count the panes that have one.
+        some = {f"_some_{s}": F.col(s).isNotNull().cast("int") for s in sums}
+        out = _sliding_totals(panes.withColumns(some) if some else panes, list(keys), ["_cnt", *sums, *some], n)
+        for s in sums:
+            out = out.withColumn(s, F.when(F.col(f"_some_{s}") > 0, F.col(s)))
+        out = out.drop(*some)
     cols = [pane_start(F.col("_end") - n, step).alias("window_start"),
             pane_start("_end", step).alias("window_end"), *keys]
     if count:

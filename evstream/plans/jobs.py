@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from evstream.functions.time import micros
 from evstream.operators import alerts, joins, late, patterns, running, windows
 from evstream.operators.common import cents, from_cents
 
@@ -109,7 +110,7 @@ def payment_matching(
 def payment_join(
     pays: DataFrame, receipts: DataFrame, on: Sequence[tuple[str, str]], pay_ts: str, receipt_ts: str, wait: str
 ) -> DataFrame:
-    return joins.interval_join(pays, receipts, on, pay_ts, receipt_ts, f"-{wait}", wait)
+    return joins.interval_join(pays, receipts, on, pay_ts, receipt_ts, f"{-micros(wait)} microseconds", wait)
 
 
 def sales_by_category(
@@ -117,7 +118,7 @@ def sales_by_category(
 ) -> DataFrame:
     """Sales per category and local day, in whole cents."""
     return windows.tumble(
-        df, ts, "1 day", [category], F.sum(cents(price)).alias("cents"), offset=f"-{utc_offset}"
+        df, ts, "1 day", [category], F.sum(cents(price)).alias("cents"), offset=f"{-micros(utc_offset)} microseconds"
     )
 
 

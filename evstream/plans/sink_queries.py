@@ -13,8 +13,6 @@ from evstream.sinks import files
 from evstream.sinks.keyed import KeyValueTable
 from evstream.sources.readers import text_lines
 
-KINDS = ["click", "error", "purchase", "signup", "view"]
-
 
 @query("sink_documents_read_back", ORACLE["json_documents"])
 def sink_documents_read_back(t):
@@ -46,7 +44,8 @@ def sink_key_value_snapshot(t):
     """One batch per kind of event, in alphabetical order; a later batch replaces a key's value."""
     table = KeyValueTable(scratch_path(t.spark, "key-value"), ["user_id"])
     events = t.events.select("user_id", "event_id", "event_type", "ts")
-    for number, kind in enumerate(KINDS):
+    kinds = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]
+    for number, kind in enumerate(kinds):
         table.write_batch(events.where(tq.is_(kind)), number, ["ts", "event_id"])
     return table.snapshot(t.spark, events.schema).drop("ts")
 

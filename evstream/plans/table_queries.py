@@ -570,7 +570,8 @@ def running_reduce(t):
 def running_reduce_function(t):
     counted = t.events.select("event_id", "user_id", "ts", F.lit(1).cast("bigint").alias("n"), "value")
     out = running.running_reduce(
-        counted, ["user_id"], ORDER, ["n", "value"], lambda x, y: (x[0] + y[0], min(x[1], y[1]))
+        counted, ["user_id"], ORDER, ["n", "value"], lambda x, y: (x[0] + y[0], min(x[1], y[1])),
+        associative=True,
     )
     return out.select("event_id", "user_id", "reduced_n", "reduced_value")
 
@@ -912,10 +913,9 @@ def user_aggregate_avg(t):
 @query("user_map_partitions", """
     select event_id, upper(event_type) as label from events""")
 def user_map_partitions(t):
-    kinds = lambda: {k: k.upper() for k in ("click", "view", "purchase", "signup", "error")}
     return running.map_partitions(
         t.events.select("event_id", "event_type"),
         "event_id bigint, label string",
-        kinds,
-        lambda names, pdf: pdf.assign(label=pdf["event_type"].map(names))[["event_id", "label"]],
+        lambda: str.upper,
+        lambda upper, pdf: pdf.assign(label=pdf["event_type"].map(upper, na_action="ignore"))[["event_id", "label"]],
     )

@@ -114,7 +114,7 @@ def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], *aggs: Colum
 
 def payment_join(pays, receipts, on, pay_ts, receipt_ts, wait) -> DataFrame:
     """Interval join of two streams that both carry watermarks."""
-    return joins.interval_join(pays, receipts, on, pay_ts, receipt_ts, f"-{wait}", wait)
+    return joins.interval_join(pays, receipts, on, pay_ts, receipt_ts, f"{-micros(wait)} microseconds", wait)
 
 
 def smallest_by_marker(

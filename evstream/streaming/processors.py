@@ -119,7 +119,7 @@ class Changelog(ArrivalProcessor):
     def on_rows(self, key, rows):
         old = self.total.get()[0] if self.total.exists() else None
         for row in rows:
-            new = (old or 0) + row[self.value]
+            new = old if row[self.value] is None else (old or 0) + row[self.value]
             if new != old:
                 ids = [row[c] for c in self.order]
                 if old is not None and self.having(old):
@@ -127,7 +127,8 @@ class Changelog(ArrivalProcessor):
                 if self.having(new):
                     yield self.row(*key, *ids, True, new)
             old = new
-        self.total.update((old,))
+        if old is not None:
+            self.total.update((old,))
 
 
 class EventOrderProcessor(Processor):
@@ -263,9 +264,11 @@ class RiseAlert(EventOrderProcessor):
     def on_row(self, key, memory, row, out):
         before, start, told = memory
         now = row[self.value]
-        if before is not None and now < before:
+        if None in (before, now):  # no rise and no fall
+            return (now, start, told)
+        if now < before:
             start, told = None, False
-        elif before is not None and now > before and start is None:
+        elif now > before and start is None:
             start = row[self.order[0]]
         return (now, start, told)
 
@@ -492,7 +495,8 @@ class MarkedWindow(Processor):
                 continue
             held = self.least.getValue((start,))[0] if self.least.containsKey((start,)) else None
             value = row[self.value]
-            self.least.updateValue((start,), (value if held is None else min(held, value),))
+            least = min((v for v in (held, value) if v is not None), default=None)
+            self.least.updateValue((start,), (least,))
             self.handle.registerTimer(_ms_up(start + self.size))
         return iter(())
 
