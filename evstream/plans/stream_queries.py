@@ -1,102 +1,104 @@
 """Named queries that run as streams over the tables.
 
-Each drains a stream of ``events`` into a table and returns it. A stream never sees the end of
-its input: it holds what the last watermark has not passed. The SQL twins therefore stop at
-``wm``, the greatest event time read, cut to the milliseconds Spark keeps.
+Each drains a stream of ``events`` into a table and returns it. Those by event time end with a
+closing row beyond every window and timer, so that their results are those of the whole table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from evstream.operators import joins, rows, windows
 from evstream.operators.patterns import Step
 from evstream.plans import table_queries as tq
-from evstream.plans.registry import query
+from evstream.plans.registry import ORACLE, query
 from evstream.schemas import TABLES
 from evstream.session import prepare_streaming
 from evstream.streaming import jobs
-from evstream.streaming.runner import run_to_table
+from evstream.streaming.runner import Closing, run_to_table
 
 BY_ID = ["event_id"]
 k_, is_ = tq.k_, tq.is_
 
 
-def stream(t, bound: str | None = "0 seconds") -> DataFrame:
-    """The events as a stream, with event time and watermark unless ``bound`` is None."""
-    spark = prepare_streaming(t.spark)
+def stream(t, keep: Column | None = None) -> DataFrame:
+    """The events of ``keep`` as a stream in order of arrival."""
     # A pattern, since a stream takes a single file by pattern only; it fits a folder as well.
-    reader = spark.readStream.schema(TABLES["events"])
-    path = f"{t.folder}/events.parquet*"
-    if bound is None:
-        # Handled by arrival, where a key's share of a micro-batch is sorted in memory.
-        return reader.option("maxBytesPerTrigger", str(4 << 30)).parquet(path)
-    return jobs.event_time(reader.parquet(path), "ts", bound)
+    # A key's share of a micro-batch is sorted in memory, hence the limit.
+    reader = prepare_streaming(t.spark).readStream.schema(TABLES["events"])
+    rows_ = reader.option("maxBytesPerTrigger", str(4 << 30)).parquet(f"{t.folder}/events.parquet*")
+    return rows_ if keep is None else rows_.where(keep)
 
 
-def drained(t, df: DataFrame, name: str) -> DataFrame:
-    return run_to_table(df, name, source=t.events)
+def timed(t, closing: Closing, keep: Column | None = None, bound: str = "0 seconds") -> DataFrame:
+    """The events of ``keep`` with event time and watermark, ended by the closing row. One batch
+    reads all files: their rows need no order between files."""
+    reader = prepare_streaming(t.spark).readStream.schema(TABLES["events"])
+    rows_ = reader.parquet(f"{t.folder}/events.parquet*")
+    return jobs.event_time(closing.follow(rows_ if keep is None else rows_.where(keep)), "ts", bound)
 
 
-def wm_sql(where: str = "true") -> str:
-    return f"""wm as (select make_timestamp(max(epoch_us(ts)) // 1000 * 1000) as upto
-                      from events where {where})"""
+def ends(t) -> Closing:
+    prepare_streaming(t.spark)
+    return Closing(t.events, "ts")
+
+
+def drained(t, df: DataFrame, name: str, closing: Closing | None = None) -> DataFrame:
+    return run_to_table(df, name, source=t.events, closing=closing)
 
 
 IS_VIEW = "event_type = 'view'"
 
 
 @query("stream_pv_hourly", f"""
-    with {wm_sql(IS_VIEW)}
     select date_trunc('hour', ts) as window_start,
            date_trunc('hour', ts) + interval 1 hour as window_end, count(*) as pv
-    from events where {IS_VIEW} and date_trunc('hour', ts) + interval 1 hour <= (select upto from wm)
-    group by 1, 2""")
+    from events where {IS_VIEW} group by 1, 2""")
 def stream_pv_hourly(t):
-    views = stream(t).where(is_("view"))
+    end = ends(t)
+    views = timed(t, end, is_("view"))
     counts = windows.tumble(views, "ts", "1 hour", [], F.count(F.lit(1)).alias("pv"))
-    return drained(t, jobs.plain_times(counts), "pv")
+    return drained(t, jobs.plain_times(counts), "pv", end)
 
 
 @query("stream_uv_hourly", f"""
-    with {wm_sql(IS_VIEW)}
     select date_trunc('hour', ts) + interval 1 hour as window_end, count(distinct user_id) as uv
-    from events where {IS_VIEW} and date_trunc('hour', ts) + interval 1 hour <= (select upto from wm)
-    group by 1""")
+    from events where {IS_VIEW} group by 1""")
 def stream_uv_hourly(t):
-    return drained(t, jobs.unique_visitors(stream(t).where(is_("view")), "ts", "user_id", "1 hour"), "uv")
+    end = ends(t)
+    return drained(t, jobs.unique_visitors(timed(t, end, is_("view")), "ts", "user_id", "1 hour"), "uv", end)
 
 
 @query("stream_hot_items_top3", f"""
-    with {wm_sql(IS_VIEW)}, s as (select ts, {tq.SQL_K} as item_id from events where {IS_VIEW}),
+    with s as (select ts, {tq.SQL_K} as item_id from events where {IS_VIEW}),
     {tq.sliding_sql("s", "item_id", 6 * tq.HOUR, tq.HOUR, "w")}
     select window_end, item_id, cnt, rank from (
       select *, cast(row_number() over (partition by window_end order by cnt desc, item_id) as int) as rank
-      from w) where rank <= 3 and window_end <= (select upto from wm)""")
+      from w) where rank <= 3""")
 def stream_hot_items_top3(t):
-    views = stream(t).where(is_("view")).withColumn("item_id", k_())
-    return drained(t, jobs.hot_keys(views, "ts", "item_id", "6 hours", "1 hour", 3), "hot")
+    end = ends(t)
+    views = timed(t, end, is_("view")).withColumn("item_id", k_())
+    return drained(t, jobs.hot_keys(views, "ts", "item_id", "6 hours", "1 hour", 3), "hot", end)
 
 
-@query("stream_sessions", f"""
-    with {wm_sql()},
-    e as (select user_id, ts, case when ts > lag(ts) over w + interval 6 hours
+@query("stream_sessions", """
+    with e as (select user_id, ts, case when ts > lag(ts) over w + interval 6 hours
             or lag(ts) over w is null then 1 else 0 end as opened
           from events window w as (partition by user_id order by ts, event_id)),
     s as (select *, sum(opened) over (partition by user_id order by ts) as sid from e)
     select user_id, min(ts) as session_start, max(ts) + interval 6 hours as session_end, count(*) as cnt
-    from s group by user_id, sid
-    having max(ts) + interval 6 hours <= (select upto from wm)""")
+    from s group by user_id, sid""")
 def stream_sessions(t):
-    held = jobs.sessions(stream(t), "ts", "6 hours", ["user_id"], F.count(F.lit(1)).alias("cnt"))
-    return drained(t, held, "sessions")
+    end = ends(t)
+    held = jobs.sessions(timed(t, end), "ts", "6 hours", ["user_id"], F.count(F.lit(1)).alias("cnt"))
+    return drained(t, held, "sessions", end)
 
 
-def _pays_and_receipts(t):
-    pays = stream(t, "10 minutes").where(is_("purchase")).select(
+def _pays_and_receipts(t, end):
+    pays = timed(t, end, is_("purchase"), "10 minutes").select(
         F.col("event_id").alias("pay_id"), "user_id", F.col("ts").alias("pay_time")
     )
-    receipts = stream(t, "10 minutes").where(is_("signup")).select(
+    receipts = timed(t, end, is_("signup"), "10 minutes").select(
         F.col("event_id").alias("receipt_id"), F.col("user_id").alias("receipt_user"),
         F.col("ts").alias("receipt_time"),
     )
@@ -105,16 +107,17 @@ def _pays_and_receipts(t):
 
 @query("stream_tx_match_inner", f"{tq.TX_SQL} select * from p join r on {tq.TX_ON}")
 def stream_tx_match_inner(t):
-    pays, receipts = _pays_and_receipts(t)
+    end = ends(t)
+    pays, receipts = _pays_and_receipts(t, end)
     pairs = jobs.payment_join(pays, receipts, tq.ON_USER, "pay_time", "receipt_time", "1 hour")
-    return drained(t, jobs.plain_times(pairs), "tx")
+    return drained(t, jobs.plain_times(pairs), "tx", end)
 
 
 @query("stream_running_reduce", """
     select event_id, user_id, count(*) over w as reduced_n, max(value) over w as reduced_value
     from events window w as (partition by user_id order by ts, event_id)""")
 def stream_running_reduce(t):
-    rows = stream(t, None).withColumn("n", F.lit(1).cast("bigint"))
+    rows = stream(t).withColumn("n", F.lit(1).cast("bigint"))
     out = jobs.running_reduce(
         rows, ["user_id"], BY_ID, ["n", "value"], lambda x, y: (x[0] + y[0], max(x[1], y[1]))
     )
@@ -127,7 +130,7 @@ def stream_running_reduce(t):
              rows between 4 preceding and current row) as bigint) as cars from ({tq.COUNTED_SQL}))
     where rn % 3 = 0""")
 def stream_count5_3(t):
-    rows = stream(t, None).withColumn("k", k_())
+    rows = stream(t).withColumn("k", k_())
     return drained(t, jobs.count_windows(rows, ["user_id"], BY_ID, "k", 5, 3, "cars"), "count")
 
 
@@ -135,56 +138,58 @@ def stream_count5_3(t):
     select event_id, word, false as inserted, old_total as frequency from u where old_total is not null
     union all select event_id, word, true, new_total from u""")
 def stream_changelog_sum(t):
-    words = stream(t, None).select("event_id", F.col("event_type").alias("word"), k_().alias("k"))
+    words = stream(t).select("event_id", F.col("event_type").alias("word"), k_().alias("k"))
     return drained(t, jobs.changelog(words, ["word"], BY_ID, "k", "frequency"), "changes")
 
 
-@query("stream_jump_alert", f"""
-    with {wm_sql()}
+@query("stream_jump_alert", """
     select event_id, user_id, value, previous from (
       select *, lag(value) over (partition by user_id order by ts, event_id) as previous from events)
-    where abs(value - previous) > 10.0 and ts <= (select upto from wm)""")
+    where abs(value - previous) > 10.0""")
 def stream_jump_alert(t):
-    return drained(t, jobs.jump_alert(stream(t), ["user_id"], BY_ID, "value", 10.0), "jump")
+    end = ends(t)
+    return drained(t, jobs.jump_alert(timed(t, end), ["user_id"], BY_ID, "value", 10.0), "jump", end)
 
 
-@query("stream_rise_alert", f"""
-    with {wm_sql()},
-    e as (select *, lag(value) over (partition by user_id order by ts, event_id) as prev
-          from events where ts <= (select upto from wm)),
+@query("stream_rise_alert", """
+    with e as (select *, lag(value) over (partition by user_id order by ts, event_id) as prev from events),
     r as (select *, sum(case when value < prev then 1 else 0 end) over (
             partition by user_id order by ts, event_id) as run from e),
     g as (select user_id, run, min(case when value > prev then ts end) as t0, min(ts) as opened
           from r group by 1, 2),
     n as (select *, lead(opened) over (partition by user_id order by run) as fall from g)
     select user_id, t0 as rise_start, t0 + interval 12 hours as alert_time from n
-    where t0 is not null and (fall is null or fall >= t0 + interval 12 hours)
-      and t0 + interval 12 hours <= (select upto from wm)""")
+    where t0 is not null and (fall is null or fall >= t0 + interval 12 hours)""")
 def stream_rise_alert(t):
-    return drained(t, jobs.rise_alert(stream(t), ["user_id"], BY_ID, "value", "12 hours"), "rise")
+    end = ends(t)
+    return drained(t, jobs.rise_alert(timed(t, end), ["user_id"], BY_ID, "value", "12 hours"), "rise", end)
 
 
 @query("stream_click_cap", f"""
-    with {wm_sql()}
     select user_id, event_type, ts, event_id, case when rn = 3 then 'warn' else 'pass' end as tag
-    from ({tq.CAP_SQL}) where rn <= 3 and ts <= (select upto from wm)""")
+    from ({tq.CAP_SQL}) where rn <= 3""")
 def stream_click_cap(t):
-    return drained(t, jobs.daily_cap(stream(t), ["user_id", "event_type"], BY_ID, 2), "cap")
+    end = ends(t)
+    return drained(t, jobs.daily_cap(timed(t, end), ["user_id", "event_type"], BY_ID, 2), "cap", end)
 
 
-@query("stream_login_fail", f"""
-    with {wm_sql()}
+@query("stream_login_fail", """
     select user_id, prev as first_fail_time, ts as last_fail_time
     from (select *, lag(ts) over w as prev, lag(event_type) over w as prev_type
           from events window w as (partition by user_id order by ts, event_id))
-    where event_type = 'error' and prev_type = 'error' and ts < prev + interval 12 hours
-      and ts <= (select upto from wm)""")
+    where event_type = 'error' and prev_type = 'error' and ts < prev + interval 12 hours""")
 def stream_login_fail(t):
-    return drained(t, jobs.login_failures(stream(t), ["user_id"], BY_ID, is_("error"), "12 hours"), "login")
+    end = ends(t)
+    out = jobs.login_failures(timed(t, end), ["user_id"], BY_ID, is_("error"), "12 hours")
+    return drained(t, out, "login", end)
+
 
+SEEN_PAY_SQL = f"with n as ({tq.NEXT_PAY_SQL})"
 
-SEEN_PAY_SQL = f"""with {wm_sql()}, e as (select * from events where ts <= (select upto from wm)),
-    n as ({tq.NEXT_PAY_SQL.replace("from events", "from e")})"""
+
+def _orders(t, end):
+    # Other kinds of events have no part in an order's state.
+    return timed(t, end, is_("click") | is_("purchase"))
 
 
 @query("stream_order_status", f"""{SEEN_PAY_SQL}
@@ -193,70 +198,62 @@ SEEN_PAY_SQL = f"""with {wm_sql()}, e as (select * from events where ts <= (sele
            case when event_type = 'purchase' then 'no create' when pay is null then 'timeout'
                 when pay < ts + interval 1 day then 'paid' else 'late' end as tag
     from n
-    where (event_type = 'click' and (pay is not null or ts + interval 1 day <= (select upto from wm)))
-       or (event_type = 'purchase' and creates = 0)""")
+    where event_type = 'click' or (event_type = 'purchase' and creates = 0)""")
 def stream_order_status(t):
+    end = ends(t)
     told = drained(
         t,
-        jobs.order_status(stream(t), ["user_id"], BY_ID, is_("click"), is_("purchase"), "1 day"),
-        "orders",
+        jobs.order_status(_orders(t, end), ["user_id"], BY_ID, is_("click"), is_("purchase"), "1 day"),
+        "orders", end,
     )
     # A late pay corrects the time-out told before: keep the last word on each create.
-    orphan = F.when(F.col("create_time").isNull(), F.col("pay_time"))
-    last = told.groupBy("user_id", "create_time", orphan.alias("_o")).agg(
-        F.max(F.struct("pay_time", "tag")).alias("s")
-    )
-    return last.select("user_id", "create_time", "s.pay_time", "s.tag")
+    last = told.groupBy("user_id", *BY_ID).agg(F.max(F.struct("pay_time", "create_time", "tag")).alias("s"))
+    return last.select("user_id", "s.create_time", "s.pay_time", "s.tag")
 
 
 @query("stream_order_check", f"""{SEEN_PAY_SQL}
     select user_id, ts as create_time,
            case when pay <= ts + interval 1 day then 'paid' else 'timeout' end as tag
-    from n where event_type = 'click' and pays = 0 and ts + interval 1 day <= (select upto from wm)""")
+    from n where event_type = 'click' and pays = 0""")
 def stream_order_check(t):
-    out = jobs.order_check(stream(t), ["user_id"], BY_ID, is_("click"), is_("purchase"), "1 day")
-    return drained(t, out, "check")
+    end = ends(t)
+    out = jobs.order_check(_orders(t, end), ["user_id"], BY_ID, is_("click"), is_("purchase"), "1 day")
+    return drained(t, out, "check", end)
 
 
 @query("stream_order_pattern", f"""{SEEN_PAY_SQL}
     select user_id, event_id as first_id, case when pay < ts + interval 1 day then pay else ts end as last_time,
            case when pay < ts + interval 1 day then 'match' else 'timeout' end as tag
-    from n where event_type = 'click'
-      and (pay < ts + interval 1 day or ts + interval 1 day <= (select upto from wm))""")
+    from n where event_type = 'click'""")
 def stream_order_pattern(t):
     steps = [Step("create", is_("click")), Step("pay", is_("purchase"))]
-    found = jobs.match_sequence(stream(t), ["user_id"], "event_id", steps, "1 day")
-    return drained(t, found, "pattern").select("user_id", "first_id", "last_time", "tag")
+    end = ends(t)
+    found = jobs.match_sequence(_orders(t, end), ["user_id"], "event_id", steps, "1 day")
+    return drained(t, found, "pattern", end).select("user_id", "first_id", "last_time", "tag")
 
 
-@query("stream_marked_minimum", f"""
-    with {wm_sql("event_type = 'click'")}
+@query("stream_marked_minimum", """
     select event_type, date_trunc('hour', ts) as window_start,
            date_trunc('hour', ts) + interval 1 hour as window_end, min(value) as min_value
-    from events where date_trunc('hour', ts) + interval 1 hour <= (select upto from wm)
-    group by all""")
+    from events group by all""")
 def stream_marked_minimum(t):
-    out = jobs.smallest_by_marker(stream(t, None), "ts", "event_type", "value", is_("click"), "1 hour")
-    return drained(t, out, "marked")
+    end = ends(t)
+    out = jobs.smallest_by_marker(end.follow(stream(t)), "ts", "event_type", "value", is_("click"), "1 hour")
+    return drained(t, out, "marked", end)
 
 
-@query("stream_tx_match_full", f"""{tq.TX_SQL},
-    w as (select least((select max(pay_time) from p), (select max(receipt_time) from r))
-                 - interval 70 minutes as upto),
-    m as (select *, case when r.receipt_id is null then 'left_only' when p.pay_id is null
-                    then 'right_only' else 'match' end as tag
-          from p full outer join r on {tq.TX_ON})
-    select * from m where tag = 'match' or coalesce(pay_time, receipt_time) <= (select upto from w)""")
+@query("stream_tx_match_full", ORACLE["tx_match_full"])
 def stream_tx_match_full(t):
-    pays, receipts = _pays_and_receipts(t)
+    end = ends(t)
+    pays, receipts = _pays_and_receipts(t, end)
     both = joins.match_within(pays, receipts, tq.ON_USER, "pay_time", "receipt_time", "1 hour")
-    return drained(t, jobs.plain_times(both), "txfull")
+    return drained(t, jobs.plain_times(both), "txfull", end)
 
 
 @query("stream_split_high_low", """
     select event_id, value, case when value > 30 then 'high' else 'low' end as tag from events""")
 def stream_split_high_low(t):
-    events = stream(t, None).select("event_id", "value")
+    events = stream(t).select("event_id", "value")
     return drained(t, rows.tag_rows(events, {"high": F.col("value") > 30}, "low"), "split")
 
 
@@ -264,16 +261,15 @@ def stream_split_high_low(t):
     select user_id, event_type from events where value > 20
     union select user_id, event_type from events where value > 10""")
 def stream_union_distinct(t):
-    a = stream(t, None).where(F.col("value") > 20).select("user_id", "event_type")
-    b = stream(t, None).where(F.col("value") > 10).select("user_id", "event_type")
+    a = stream(t).where(F.col("value") > 20).select("user_id", "event_type")
+    b = stream(t).where(F.col("value") > 10).select("user_id", "event_type")
     return drained(t, rows.union_distinct(a, b), "union")
 
 
-@query("stream_sequence_three_steps", f"""
-    with {wm_sql()}, e as (select *, lead(event_type) over w as nxt_type, lead(ts) over w as nxt_ts,
+@query("stream_sequence_three_steps", """
+    with e as (select *, lead(event_type) over w as nxt_type, lead(ts) over w as nxt_ts,
         lead(event_id) over w as nxt_id
-      from events where ts <= (select upto from wm)
-      window w as (partition by user_id order by ts, event_id)),
+      from events window w as (partition by user_id order by ts, event_id)),
     s as (select *, min(case when event_type = 'click' then event_id end) over (
             partition by user_id order by ts, event_id
             rows between 1 following and unbounded following) as second_id from e),
@@ -285,8 +281,9 @@ def stream_union_distinct(t):
     select user_id, first_id, case when three then third_id when two then second_id else first_id end as last_id,
            cast(case when three then 3 when two then 2 else 1 end as int) as matched,
            case when three then 'match' else 'timeout' end as tag
-    from m where three or first_ts + interval 2 days <= (select upto from wm)""")
+    from m""")
 def stream_sequence_three_steps(t):
     steps = [Step("a", is_("view")), Step("b", is_("click")), Step("c", is_("purchase"), strict=True)]
-    found = jobs.match_sequence(stream(t), ["user_id"], "event_id", steps, "2 days")
-    return drained(t, found, "three").select("user_id", "first_id", "last_id", "matched", "tag")
+    end = ends(t)
+    found = jobs.match_sequence(timed(t, end), ["user_id"], "event_id", steps, "2 days")
+    return drained(t, found, "three", end).select("user_id", "first_id", "last_id", "matched", "tag")

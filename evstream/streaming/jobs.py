@@ -6,6 +6,7 @@ Inputs are streaming DataFrames. Event-time columns must be ``timestamp`` for a
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -18,12 +19,19 @@ from evstream.streaming import processors as p
 
 US = "_us"
 EVENT_TIME, BY_ARRIVAL = "eventTime", "none"
+# Rows at or past this time are no data: they tell a bounded stream that its input has ended.
+END = dt.datetime(9000, 1, 1)
 
 
 def event_time(df: DataFrame, ts: str, bound: str = "0 seconds") -> DataFrame:
     """Declare event time and watermark, with the time also as a number in ``_us``."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn(US, epoch_us(ts))
-    return with_watermark(timed, ts, bound)
+    return _before_end(with_watermark(timed, ts, bound), ts)
+
+
+def _before_end(df: DataFrame, ts: str) -> DataFrame:
+    """Leave closing rows out, once they have moved the watermark of ``ts``."""
+    return df.where(F.col(ts).isNull() | (F.col(ts) < F.lit(END)))
 
 
 def plain_times(df: DataFrame) -> DataFrame:
@@ -122,7 +130,8 @@ def smallest_by_marker(
 ) -> DataFrame:
     """Minimum per key and window when only ``marker`` rows move the watermark."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn(US, epoch_us(ts))
-    marked = with_watermark(timed.withColumn("_mark", F.when(marker, F.col(ts))), "_mark", bound)
+    mark = F.when(marker | (F.col(ts) >= F.lit(END)), F.col(ts))
+    marked = _before_end(with_watermark(timed.withColumn("_mark", mark), "_mark", bound), "_mark")
     out = _process(
         marked.select(key, "_mark", US, value), [key], p.MarkedWindow(US, value, micros(size)),
         _long("start", "end") + [T.StructField("min_value", T.DoubleType())], EVENT_TIME,
@@ -205,12 +214,16 @@ def login_bursts(df, keys, order, failed: Column, within, least) -> DataFrame:
 
 
 def order_status(df, keys, order, created: Column, paid: Column, limit, forget=None) -> DataFrame:
+    """Statuses with the ``order`` columns (ids, whole numbers) of the create, or of the pay that had none."""
     flagged = df.withColumns({"_created": created, "_paid": paid})
     out = _ordered(
-        flagged, keys, p.OrderPayment, order, ["_created", "_paid"], _long("_a", "_b") + [_text("tag")],
+        flagged, keys, p.OrderPayment, order, ["_created", "_paid"],
+        _long("_a", "_b") + [_text("tag")] + _fields(df, *order),
         created="_created", paid="_paid", limit=micros(limit), forget=forget and micros(forget),
     )
-    return out.select(*keys, from_epoch_us("_a").alias("create_time"), from_epoch_us("_b").alias("pay_time"), "tag")
+    return out.select(
+        *keys, from_epoch_us("_a").alias("create_time"), from_epoch_us("_b").alias("pay_time"), "tag", *order
+    )
 
 
 def order_check(df, keys, order, created: Column, paid: Column, limit) -> DataFrame:

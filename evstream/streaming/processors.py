@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections import deque
 from collections.abc import Callable, Iterator, Sequence
-from itertools import islice
+from itertools import chain, islice
 
 from pyspark.sql import Row, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -206,7 +207,7 @@ class EventOrderProcessor(Processor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        memory = tuple(self.memory.get()) if self.memory.exists() else self.initial
+        memory = self.load(tuple(self.memory.get()) if self.memory.exists() else self.initial)
         out: list[Row] = []
         left: list[int] = []
         us = self.at[0]
@@ -217,13 +218,20 @@ class EventOrderProcessor(Processor):
             out.clear()
         memory = self.on_time(key, memory, passed, out)
         yield from out
-        self.memory.update(memory)
+        self.memory.update(self.save(memory))
         limit = self.deadline(memory)
         if limit is not None:
             left.append(limit)
         if left:
             self._wake(min(left))
 
+    def load(self, held: tuple):
+        """What ``on_row`` and ``on_time`` work on, from what the state holds."""
+        return held
+
+    def save(self, memory) -> tuple:
+        return memory
+
     def on_row(self, key, memory: tuple, row: dict, out: list[Row]) -> tuple:
         raise NotImplementedError
 
@@ -360,37 +368,51 @@ class OrderPayment(EventOrderProcessor):
     after its time-out at most, which bounds the state of orders that are never paid.
     """
 
-    state, initial = "seen boolean, open array<bigint>, told array<bigint>", (False, [], [])
+    state = "seen boolean, open array<array<bigint>>, told array<array<bigint>>"
+    initial = (False, [], [])
 
     def __init__(self, fields, order, created: str, paid: str, limit: int, forget: int | None = None):
         super().__init__(fields, order)
         self.created, self.paid, self.limit, self.forget = created, paid, limit, forget
 
+    def load(self, held):
+        # Creates as (time, *ids), oldest first.
+        return [held[0], deque(tuple(c) for c in held[1]), deque(tuple(c) for c in held[2])]
+
+    def save(self, memory):
+        return (memory[0], [list(c) for c in memory[1]], [list(c) for c in memory[2]])
+
+    def _put(self, key, create, pay, tag, out):
+        out.append(self.row(*key, create[0], pay, tag, *create[1:]))
+
     def on_row(self, key, memory, row, out):
-        seen, waiting, told = memory[0], list(memory[1]), list(memory[2])
-        now = row[self.order[0]]
+        _, waiting, told = memory
+        place = tuple(row[c] for c in self.order)
         if row[self.created]:
-            return (True, waiting + [now], told)
-        if row[self.paid]:
-            if not seen:
-                out.append(self.row(*key, None, now, "no create"))
-            for create in told + waiting:
-                out.append(self.row(*key, create, now, "paid" if now < create + self.limit else "late"))
-            return (seen, [], [])
-        return (seen, waiting, told)
+            memory[0] = True
+            waiting.append(place)
+        elif row[self.paid]:
+            now = place[0]
+            if not memory[0]:
+                self._put(key, (None, *place[1:]), now, "no create", out)
+            for create in chain(told, waiting):
+                self._put(key, create, now, "paid" if now < create[0] + self.limit else "late", out)
+            told.clear()
+            waiting.clear()
+        return memory
 
     def on_time(self, key, memory, us, out):
-        seen, waiting, told = memory[0], list(memory[1]), list(memory[2])
-        for create in [c for c in waiting if us + 1 >= c + self.limit]:
-            out.append(self.row(*key, create, None, "timeout"))
-            waiting.remove(create)
+        _, waiting, told = memory
+        while waiting and us + 1 >= waiting[0][0] + self.limit:
+            create = waiting.popleft()
+            self._put(key, create, None, "timeout", out)
             told.append(create)
-        if self.forget is not None:
-            told = [c for c in told if us < c + self.limit + self.forget]
-        return (seen, waiting, told)
+        while self.forget is not None and told and us >= told[0][0] + self.limit + self.forget:
+            told.popleft()
+        return memory
 
     def deadline(self, memory):
-        return min(memory[1]) + self.limit if memory[1] else None
+        return memory[1][0][0] + self.limit if memory[1] else None
 
 
 class OrderCheck(EventOrderProcessor):
@@ -402,24 +424,30 @@ class OrderCheck(EventOrderProcessor):
         super().__init__(fields, order)
         self.created, self.paid, self.limit = created, paid, limit
 
+    def load(self, held):
+        return [held[0], deque(held[1])]
+
+    def save(self, memory):
+        return (memory[0], list(memory[1]))
+
     def on_row(self, key, memory, row, out):
-        paid, waiting = memory[0], list(memory[1])
-        if row[self.created] and paid is None:
-            waiting.append(row[self.order[0]])
-        elif row[self.paid] and paid is None:
-            paid = row[self.order[0]]
-        return (paid, waiting)
+        if memory[0] is None:
+            if row[self.created]:
+                memory[1].append(row[self.order[0]])
+            elif row[self.paid]:
+                memory[0] = row[self.order[0]]
+        return memory
 
     def on_time(self, key, memory, us, out):
-        paid, waiting = memory[0], list(memory[1])
-        for create in [c for c in waiting if us >= c + self.limit]:
+        paid, waiting = memory
+        while waiting and us >= waiting[0] + self.limit:
+            create = waiting.popleft()
             in_time = paid is not None and paid <= create + self.limit
             out.append(self.row(*key, create, "paid" if in_time else "timeout"))
-            waiting.remove(create)
-        return (paid, waiting)
+        return memory
 
     def deadline(self, memory):
-        return min(memory[1]) + self.limit if memory[1] else None
+        return memory[1][0] + self.limit if memory[1] else None
 
 
 class SequenceMatcher(EventOrderProcessor):
@@ -438,39 +466,71 @@ class SequenceMatcher(EventOrderProcessor):
         super().__init__(fields, order)
         self.flags, self.strict, self.within = list(flags), list(strict), within
 
-    def _put(self, key, at, ids, out):
+    # A partial match is a list [times, ids, over]. All of them stand in ``open`` in the order of
+    # their starts, and those that can still go on in ``groups`` by the step they wait for. A row
+    # moves whole groups, so a match is touched once per step and not once per row.
+
+    def load(self, held):
+        open_ = deque([list(at), list(ids), dead] for at, ids, dead in held[0])
+        groups: list[list] = [[] for _ in self.flags]
+        for part in open_:
+            if not part[2]:
+                groups[len(part[1])].append(part)
+        return open_, groups
+
+    def save(self, memory):
+        return ([tuple(p) for p in memory[0] if len(p[1]) < len(self.flags)],)
+
+    def _put(self, key, part, out):
+        at, ids, _ = part
         tag = "match" if len(ids) == len(self.flags) else "timeout"
         out.append(self.row(*key, ids[0], at[0], ids[-1], at[-1], len(ids), tag))
 
     def on_row(self, key, memory, row, out):
+        open_, groups = memory
         us, row_id = row[self.order[0]], row[self.order[1]]
-        kept = []
-        for at, ids, dead in memory[0]:
-            at, ids = list(at), list(ids)
-            step = len(ids)
-            if not dead and row[self.flags[step]]:
-                at, ids = at + [us], ids + [row_id]
-                if len(ids) == len(self.flags):
-                    self._put(key, at, ids, out)
-                    continue
-            elif not dead and self.strict[step]:
-                dead = True
-            kept.append((at, ids, dead))
+        last = len(self.flags) - 1
+        # From the last step down: a match moves one step at most on one row.
+        for step in range(last, 0, -1):
+            group = groups[step]
+            if not group:
+                continue
+            if row[self.flags[step]]:
+                moved = [p for p in group if not p[2]]
+                for part in moved:
+                    part[0].append(us)
+                    part[1].append(row_id)
+                    if step == last:
+                        self._put(key, part, out)
+                if step < last:
+                    groups[step + 1].extend(moved)
+                groups[step] = []
+            elif self.strict[step]:
+                for part in group:
+                    part[2] = True
+                groups[step] = []
         if row[self.flags[0]]:
-            kept.append(([us], [row_id], False))
-        return (kept,)
+            part = [[us], [row_id], False]
+            open_.append(part)
+            if last:
+                groups[1].append(part)
+            else:
+                self._put(key, part, out)
+        return memory
 
     def on_time(self, key, memory, us, out):
-        kept = []
-        for at, ids, dead in memory[0]:
-            if us + 1 >= at[0] + self.within:
-                self._put(key, at, ids, out)
-            else:
-                kept.append((at, ids, dead))
-        return (kept,)
+        open_ = memory[0]
+        while open_ and (len(open_[0][1]) == len(self.flags) or us + 1 >= open_[0][0][0] + self.within):
+            part = open_.popleft()
+            if len(part[1]) < len(self.flags):
+                part[2] = True
+                self._put(key, part, out)
+        return memory
 
     def deadline(self, memory):
-        return min(p[0][0] for p in memory[0]) + self.within if memory[0] else None
+        starts = (p[0][0] for p in memory[0] if len(p[1]) < len(self.flags))
+        first = next(starts, None)
+        return None if first is None else first + self.within
 
 
 class MarkedWindow(Processor):

@@ -8,12 +8,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from evstream.session import planned_bytes, prepare_streaming, scratch_path
+from evstream.streaming.jobs import END
 
-STATE_BYTES_PER_TASK = 64 * 1024 * 1024
+# Input bytes one state partition stands for; their number has no upper limit.
+STATE_BYTES_PER_TASK = 256 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -41,6 +43,33 @@ class Restart:
         return Restart(attempts, delay, per_seconds)
 
 
+class Closing:
+    """The end of a bounded input, as one row whose time lies beyond every window and timer.
+
+    A stream never learns that its input has ended, so the last windows and time-outs would stay
+    in its state. :meth:`follow` adds a source that is empty at first; once the input is drained,
+    :meth:`write` puts a row at ``END`` there, and the next run of the query passes the watermark
+    on to it. :func:`.jobs.event_time` keeps the row itself out of the results.
+    """
+
+    def __init__(self, like: DataFrame, ts: str):
+        self.spark, self.schema = like.sparkSession, like.schema
+        self.path = scratch_path(self.spark, "closing")
+        end = {ts: F.lit(END)}
+        self.row = self.spark.range(1).select(
+            *[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema]
+        )
+        self.row.limit(0).write.parquet(self.path)
+
+    def follow(self, rows: DataFrame) -> DataFrame:
+        """``rows`` and, after :meth:`write`, the closing row. Filters on other columns than the
+        event time belong before this: Spark moves them below the watermark."""
+        return rows.union(self.spark.readStream.schema(self.schema).parquet(self.path))
+
+    def write(self) -> None:
+        self.row.write.mode("append").parquet(self.path)
+
+
 def run_stream(
     build: Callable[[], DataStreamWriter], restart: Restart = Restart.never()
 ) -> StreamingQuery:
@@ -67,29 +96,36 @@ def run_stream(
 
 def run_to_table(
     stream: DataFrame, name: str, folder: str | None = None, source: DataFrame | None = None,
-    restart: Restart = Restart.never(),
+    restart: Restart = Restart.never(), closing: Closing | None = None,
 ) -> DataFrame:
     """Drain an append-mode stream into a table in the shared folder and read it back.
 
     ``source`` is a batch view of the input: the number of state partitions, fixed at the first
-    start of a query, then follows its size.
+    start of a query, then follows its size. With ``closing`` the query runs once more after its
+    input, so that everything still in its state comes out.
     """
     spark = prepare_streaming(stream.sparkSession)
     folder = folder or scratch_path(spark, name)
     previous = spark.conf.get("spark.sql.shuffle.partitions")
     if source is not None:
         cores = spark.sparkContext.defaultParallelism
-        wanted = min(max(cores, planned_bytes(source) // STATE_BYTES_PER_TASK), 4 * cores)
+        wanted = max(cores, planned_bytes(source) // STATE_BYTES_PER_TASK)
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    try:
-        run_stream(
-            lambda: stream.writeStream.format("parquet")
+
+    def build() -> DataStreamWriter:
+        return (
+            stream.writeStream.format("parquet")
             .outputMode("append")
             .option("path", f"{folder}/table")
             .option("checkpointLocation", f"{folder}/checkpoint")
-            .trigger(availableNow=True),
-            restart,
+            .trigger(availableNow=True)
         )
+
+    try:
+        run_stream(build, restart)
+        if closing is not None:
+            closing.write()
+            run_stream(build, restart)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")

@@ -379,3 +379,9 @@ def test_running_reduce_function_on_slices(spark, sliced):
     data = [(u, s, "", s) for u in ("a", "b") for s in range(20)]
     out = running.running_reduce(events(spark, *data), ["user"], ORDER, ["v"], lambda x, y: (x[0] + y[0],), associative=True)
     assert [r[1] for r in rows_of(out.where("user = 'b'"), "id", "reduced_v")] == [s * (s + 1) // 2 for s in range(20)]
+
+
+def test_large_caps_are_cut_before_the_shuffle(spark):
+    rows_ = spark.range(100_000).select("id", (F.col("id") % 2).alias("user"), F.timestamp_seconds("id").alias("ts"))
+    plan = alerts.daily_cap(rows_, ["user"], ["ts", "id"], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from evstream.operators import joins, late, rows, windows
 from evstream.operators.patterns import Step
 from evstream.sources.offsets import OffsetSource
-from evstream.streaming import jobs
-from evstream.streaming.runner import Restart, run_stream, run_to_table
+from evstream.streaming import jobs, processors
+from evstream.streaming.runner import Closing, Restart, run_stream, run_to_table
 
 SCHEMA = "user string, id bigint, ts timestamp_ntz, kind string, v bigint"
 
@@ -192,7 +192,7 @@ def failing_once(spark, files, folder):
     def build():
         stop = broken["left"] > 0
         broken["left"] -= 1
-        out = jobs.running_reduce(files.stream().withColumn("n", F.lit(1).cast("bigint")), ["user"], ["id"],
+        out = jobs.running_reduce(files.stream().withColumn("n", F.lit(1).cast("long")), ["user"], ["id"],
                                   ["n"], lambda x, y: (x[0] + y[0],))
         if stop:
             out = out.withColumn("user", F.when(F.col("id") == 4, F.raise_error(F.lit("bug"))).otherwise(F.col("user")))
@@ -229,3 +229,64 @@ def test_own_offsets_resume(spark, tmp_path):
 
     assert run(3).count() == 6
     assert rows_of(run(5)) == [(lane, n) for lane in range(2) for n in range(5)]
+
+
+def test_closing_row_ends_windows_and_timers_over_batches(spark, files):
+    """Several micro-batches, then the closing row: nothing stays in the state, and the row itself
+    is no result."""
+    files.add(("a", 1, 1, "create", 1)).add(("a", 2, 9, "pay", 2), ("b", 3, 9, "create", 4)).add(("b", 4, 31, "look", 8))
+    like = spark.createDataFrame([], SCHEMA)
+    end = Closing(like, "ts")
+    timed = jobs.event_time(end.follow(files.stream()), "ts")
+    sums = windows.tumble(timed, "ts", "10 seconds", ["user"], F.sum("v").alias("s"))
+    assert rows_of(drain(jobs.plain_times(sums), closing=end), "user", "window_start", "s") == [
+        ("a", at(0), 3), ("b", at(0), 4), ("b", at(30), 8),
+    ]
+    end = Closing(like, "ts")
+    timed = jobs.event_time(end.follow(files.stream()), "ts")
+    status = jobs.order_status(timed, ["user"], ["id"], kind("create"), kind("pay"), "15 minutes")
+    assert rows_of(drain(status, closing=end), "user", "tag", "id") == [("a", "paid", 1), ("b", "timeout", 3)]
+
+
+def _matcher(strict):
+    fields = processors.T.StructType().add("_us", "long").add("id", "long").add("a", "boolean").add("b", "boolean")
+    fields = fields.add("c", "boolean")
+    m = processors.SequenceMatcher(fields, ["_us", "id"], ["a", "b", "c"], [False, False, strict], 10_000_000)
+    m.columns = ("key", "first_id", "_a", "last_id", "_b", "matched", "tag")
+    return m
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_many_open_starts_of_one_key_take_linear_time(strict):
+    matcher, out, n = _matcher(strict), [], 100_000
+    memory = matcher.load(matcher.initial)
+
+    def put(us, *flags):
+        nonlocal memory
+        memory = matcher.on_time(("k",), memory, us - 1, out)
+        memory = matcher.on_row(("k",), memory, dict(zip(["_us", "id", "a", "b", "c"], [us, us, *flags])), out)
+
+    for us in range(n):
+        put(us, True, False, False)
+    put(n, False, True, False)
+    memory = matcher.load(matcher.save(memory))  # as between two firings
+    put(n + 1, False, False, False)
+    put(n + 2, False, False, True)
+    memory = matcher.on_time(("k",), memory, 1 << 60, out)
+    tags = {r.tag for r in out}
+    assert len(out) == n and tags == ({"timeout"} if strict else {"match"})
+    assert {r.matched for r in out} == ({2} if strict else {3}) and matcher.deadline(memory) is None
+
+
+def test_many_unpaid_orders_of_one_key_take_linear_time():
+    fields = processors.T.StructType().add("_us", "long").add("id", "long").add("c", "boolean").add("p", "boolean")
+    check = processors.OrderPayment(fields, ["_us", "id"], "c", "p", 50)
+    check.columns = ("key", "_a", "_b", "tag", "id")
+    memory, out, n = check.load(check.initial), [], 100_000
+    for us in range(n):
+        memory = check.on_time(("k",), memory, us - 1, out)
+        memory = check.on_row(("k",), memory, {"_us": us, "id": us, "c": True, "p": False}, out)
+    memory = check.on_row(("k",), check.load(check.save(memory)), {"_us": n, "id": n, "c": False, "p": True}, out)
+    assert sum(r.tag == "timeout" for r in out) == n - 50
+    # The create 50 before the pay is late without having timed out first.
+    assert sum(r.tag == "late" for r in out) == n - 49 and sum(r.tag == "paid" for r in out) == 49
