@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -14,6 +15,8 @@ from evstream.llm.common import query, saved, table, without
 WINDOW, MIN_WORDS, MAX_REPEAT_PERCENT = 5, 10, 20
 # At most so many labelled rows are fitted; which ones depends on a hash of the id alone.
 MAX_LABELLED = 20_000
+# Hash buckets the labelled rows are counted in: 2 to this power, at most so many counts.
+HASH_BITS = 16
 # A rule stays if it is right on so large a share of the held-out rows it fires on.
 MIN_PRECISION = 0.95
 MAX_CONDITIONS, MAX_RULES = 4, 12
@@ -159,15 +162,20 @@ def fit(stats: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> list[
 
     ``stats`` has ``doc_id`` and :data:`FEATURES`. Rows without a quality, and ids with two
     different ones, are left out; repeated equal labels count once. At most ``limit`` rows, those
-    of smallest id hash, come to the driver. No labels: no rules.
+    of smallest id hash, are fitted. Rows are counted by the first bits of their hash, so that
+    tasks send the driver these rows and the rest of one hash bucket. No labels: no rules.
     """
     known = (labels.where("quality is not null").groupBy("doc_id")
              .agg(F.min("quality").alias("_q"), F.max("quality").alias("_q2")).where("_q = _q2"))
     seen = F.xxhash64("doc_id", F.lit(7))
-    rows = (stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(known, "doc_id")
-            .select(seen.alias("_o"), "_q", *FEATURES).orderBy("_o").limit(limit).collect())
-    if not rows:
+    known = saved(stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(known, "doc_id")
+                  .select(seen.alias("_o"), "_q", *FEATURES), "labelled")
+    bucket = F.shiftright("_o", 64 - HASH_BITS)
+    sizes = sorted(known.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
+    if not sizes:
         return []
+    upto = next((b for (b, _), n in zip(sizes, accumulate(n for _, n in sizes), strict=True) if n >= limit), sizes[-1][0])
+    rows = known.where(bucket <= upto).orderBy("_o").limit(limit).collect()
     a = np.array([tuple(r) for r in rows], dtype=np.int64)
     return learn(a[:, 2:].astype(float), a[:, 1] == 0, a[:, 0] % 3 == 0)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from evstream.llm import bitpack, embeddings, lines, minhash, packing, pieces, quality, secrets, sharding, suffixes, tokens
-from evstream.llm.common import components, table
+from evstream.llm.common import components, saved, table
 from evstream.llm.queries import ORACLE, QUERIES
 
 DATA = "/root/testdata/sf0.001"
@@ -89,6 +89,18 @@ def test_rules_are_learned_and_clean_documents_stay(spark):
         r[0] for r in quality.judged(d, labels).where("kept").select("doc_id").collect()}
 
 
+@pytest.mark.parametrize("limit", [1, 50, 10_000])
+def test_rules_are_fitted_on_the_smallest_hashes(spark, monkeypatch, limit):
+    d, labels = table(spark, DATA, "documents"), table(spark, DATA, "labels")
+    seen = []
+    monkeypatch.setattr(quality, "learn", lambda x, bad, held: seen.append(x.tolist()) or [])
+    stats = saved(quality.features(quality.statistics(d.select("doc_id", "text"))), "stats")
+    quality.fit(stats, labels, limit)
+    known = stats.where(~quality.base_failed()).join(labels.where("quality is not null").dropDuplicates(["doc_id"]), "doc_id")
+    want = known.orderBy(F.xxhash64("doc_id", F.lit(7))).select(*quality.FEATURES).collect()
+    assert seen == [[[float(v) for v in r] for r in want[:limit]]]
+
+
 def test_rules_without_labels(spark, docs):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = quality.judged(docs, empty)
