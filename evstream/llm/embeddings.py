@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from evstream.llm.common import components, query, saved, table, without
+from evstream.llm.minhash import mixed
 
 COSINE = 0.95
 CELL = 3000  # home vectors a task holds while the others of their cell pass by
@@ -76,6 +77,8 @@ def _dealt(homes: DataFrame, pivots, cells: dict, eps: float, dtype: str) -> Dat
         for b in batches:
             rows = b.to_pydict()
             raw, dims, home = rows["raw"], np.array(rows["dim"], np.int64), np.array(rows["cell"], np.int64)
+            # Hashed, since ids may have a step in common with the number of blocks.
+            deal = mixed(np.array(rows["rep"], np.int64).view(np.uint64)).tolist()
             out = []
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
@@ -92,7 +95,7 @@ def _dealt(homes: DataFrame, pivots, cells: dict, eps: float, dtype: str) -> Dat
                 for i, j in zip(*np.nonzero(reach), strict=True):
                     i, j = int(at[i]), int(j)
                     blocks = cells[int(d), j][0] if (int(d), j) in cells else 0
-                    own = rows["rep"][i] % blocks if blocks and j == home[i] else -1
+                    own = deal[i] % blocks if blocks and j == home[i] else -1
                     for k in range(blocks):
                         if k == own:
                             out.append((int(d), j, k, 0, rows["rep"][i], rows["n"][i], raw[i]))
