@@ -135,7 +135,7 @@ def anchors(text: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
-PLACES = "doc_id long, anchor long, least int, most int, key long, stretch long"
+PLACES = "doc_id long, text_hash long, anchor long, least int, most int, key long, stretch long"
 RUNS = "key long, stretch long, low int, high int"
 
 
@@ -148,17 +148,17 @@ def _places(docs: DataFrame) -> DataFrame:
         signed = lambda x: x - (1 << 64) if x >> 63 else x
         for b in batches:
             out = []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for doc, name, text in zip(*[b.column(c).to_pylist() for c in ("doc_id", "text_hash", "text")], strict=True):
                 t = (text or "").encode()
                 for a, lo, hi in anchors(t):
-                    out.append((doc, a, lo, hi, signed(digest(t[a:a + SHARED])),
+                    out.append((doc, name, a, lo, hi, signed(digest(t[a:a + SHARED])),
                                 signed(digest(t[a - hi:a + LENGTH - lo], lo * SPAN + hi))))
                 if len(out) >= 50_000:
                     yield _table(out, arrow)
                     out = []
             yield _table(out, arrow)
 
-    arrow = pa.schema([("doc_id", pa.int64()), ("anchor", pa.int64()), ("least", pa.int32()), ("most", pa.int32()),
+    arrow = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("anchor", pa.int64()), ("least", pa.int32()), ("most", pa.int32()),
                        ("key", pa.int64()), ("stretch", pa.int64())])
     return docs.mapInArrow(run, PLACES)
 
@@ -249,10 +249,12 @@ def _by_hash(stretches: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, start, end``: byte ranges whose windows of 400 bytes start elsewhere too."""
+    """``doc_id, text_hash, start, end``: byte ranges whose windows of 400 bytes start elsewhere too.
+    A text is named by its id and its 64-bit hash, as rows of one id may differ."""
+    docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     places = saved(_places(docs), "places")
     classes = places.groupBy("key", "stretch").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "anchor", "least", "most")).alias("at"))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "text_hash", "anchor", "least", "most")).alias("at"))
     # A key needs a second place; only where its stretches differ are their bytes looked at.
     keys = places.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("stretch").alias("lo"),
                                      F.max("stretch").alias("hi")).where("n > 1")
@@ -261,7 +263,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         "key", "stretch", F.col("at.least").alias("low"), F.col("at.most").alias("high"))
     looked = saved(classes.join(grows(mixed_keys), "key").select("key", "stretch", "n", "at.*"), "looked")
     crowd = looked.groupBy("key").agg(F.count(F.lit(1)).alias("crowd"))
-    wanted = looked.join(crowd, "key").groupBy(F.col("doc_id").alias("_id")).agg(
+    wanted = looked.join(crowd, "key").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.collect_list(F.struct("key", "stretch", "anchor", "least", "most", "crowd")).alias("at"))
 
     def cut(batches):
@@ -278,7 +280,8 @@ def repeats(docs: DataFrame) -> DataFrame:
                     out = []
             yield _table(out, schema)
 
-    stretches = saved(docs.join(grows(wanted), docs["doc_id"].eqNullSafe(F.col("_id"))).select("text", "at").mapInArrow(
+    named = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    stretches = saved(docs.join(grows(wanted), named).select("text", "at").mapInArrow(
         cut, "key long, stretch long, least int, most int, text binary, crowd long"), "stretches")
     few = (stretches.where(F.col("crowd") <= CHUNK).drop("crowd").repartition("key").sortWithinPartitions("key"))
     runs = whole.union(few.mapInArrow(_sorted, RUNS))
@@ -287,7 +290,7 @@ def repeats(docs: DataFrame) -> DataFrame:
         runs = runs.union(_by_hash(many))
     runs = saved(runs.distinct(), "runs")
     return places.join(grows(runs), ["key", "stretch"]).select(
-        "doc_id", (F.col("anchor") - F.col("high")).alias("start"), (F.col("anchor") - F.col("low") + LENGTH).alias("end"))
+        "doc_id", "text_hash", (F.col("anchor") - F.col("high")).alias("start"), (F.col("anchor") - F.col("low") + LENGTH).alias("end"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -296,13 +299,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A byte goes if a string of 400 bytes over it also starts anywhere else, in the same text or
     another, as the texts were given; matches may overlap, but never cross texts. All copies lose
-    it. NULL and short texts lose nothing. Ids are taken to be unique. Other columns are carried,
-    clashing ones replaced.
+    it. NULL and short texts lose nothing. Repeated rows are copies of each other; rows of one id
+    with different texts are judged each by its own. Other columns are carried, clashing ones
+    replaced.
     """
-    docs = without(docs, "removed", "kept", "_id", "_ranges", "_row")
+    docs = without(docs, "removed", "kept", "_id", "_hash", "_ranges")
     found = repeats(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    found = found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("start", "end")).alias("_ranges"))
-    joined = docs.join(grows(found), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left").drop("_id")
+    found = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
+        F.collect_list(F.struct("start", "end")).alias("_ranges"))
+    named = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    joined = docs.join(grows(found), named, "left").drop("_id", "_hash")
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("removed", spans), T.StructField("kept", T.BinaryType())])
 

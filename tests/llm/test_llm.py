@@ -241,6 +241,15 @@ def test_suffix_dedup(spark, docs, nothing, chunk, monkeypatch):
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+def test_suffix_dedup_of_repeated_ids(spark):
+    texts = [None, "short", prose(200, 4) + BASE, BASE + prose(200, 9), BASE + prose(200, 9), prose(300, 10)]
+    df = spark.createDataFrame([(7, t) for t in texts] + [(None, BASE)], "doc_id long, text string")
+    want = brute.repeats(list(enumerate([*texts, BASE])))
+    got = sorted((len((r["text"] or "").encode()), sum(x["end"] - x["start"] for x in r["removed"]), len(r["removed"]))
+                 for r in suffixes.remove_repeats(df).collect())
+    assert got == sorted(w[:3] for w in want.values())
+
+
 def test_near_duplicates(spark, docs, nothing):
     family = [(100 + i, " ".join(w for k, w in enumerate(BASE.split(" ")) if (k * 7 + i) % (9 + i % 9))) for i in range(60)]
     more = docs.select("doc_id", "text").union(spark.createDataFrame(family, "doc_id long, text string"))
@@ -285,6 +294,13 @@ def test_embeddings(spark, monkeypatch):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_ids_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL", 10)
+    rows = [(40 * i, v.tolist()) for i, v in enumerate(1 + 0.05 * np.random.default_rng(4).normal(size=(200, 6)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {x["vec_id"]: (x["n_links"], x["component_id"]) for x in embeddings.near_vectors(df).collect()} == brute.vectors(rows)
+
+
 def test_alignment():
     assert lines.aligned(list("abcxdef"), list("abcydef")) == [(0, 0), (1, 1), (2, 2), (4, 4), (5, 5), (6, 6)]
     assert lines.aligned([1, 2, 1, 2, 9], [7, 1, 2, 1]) == [(0, 1), (1, 2), (2, 3)]
