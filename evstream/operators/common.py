@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from evstream.session import BROADCAST_ROWS, BROADCAST_ROWS_DEFAULT, int_setting
+from evstream.session import BROADCAST_BYTES, BROADCAST_BYTES_DEFAULT, int_setting
+
+ROW_OVERHEAD = 32
 
 
 def key_join(
@@ -15,7 +17,8 @@ def key_join(
 ) -> DataFrame:
     """Join on equal keys, null equal to null, keeping the left side's keys.
 
-    ``rows`` is the measured size of the right side, if known: a small one is broadcast.
+    ``rows`` is the measured number of rows of the right side (of elements, where it holds
+    arrays), if known: a small one is broadcast.
     """
     # New key names on the right: both sides may come from the same table.
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -26,9 +29,23 @@ def key_join(
 
 
 def broadcast_if_small(small: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table whose row count was measured; leave a larger one to a shuffle join."""
-    limit = int_setting(small.sparkSession, BROADCAST_ROWS, BROADCAST_ROWS_DEFAULT)
-    return F.broadcast(small) if rows <= limit else small
+    """Broadcast a table whose rows were counted and have a fixed width, if rows times width is
+    small. Texts have no such bound: their join is left to Spark, which weighs what it has read."""
+    limit = int_setting(small.sparkSession, BROADCAST_BYTES, BROADCAST_BYTES_DEFAULT)
+    width = fixed_width(small.schema)
+    return F.broadcast(small) if width is not None and rows * (width + ROW_OVERHEAD) <= limit else small
+
+
+def fixed_width(kind: T.DataType) -> int | None:
+    """Bytes of a value (of an element, for arrays), or None where values differ in width."""
+    if isinstance(kind, T.StructType):
+        widths = [fixed_width(f.dataType) for f in kind.fields]
+        return None if None in widths else 8 + sum(widths)
+    if isinstance(kind, T.ArrayType):
+        return fixed_width(kind.elementType)
+    if isinstance(kind, (T.StringType, T.BinaryType, T.MapType)):
+        return None
+    return 16 if isinstance(kind, T.DecimalType) else 8
 
 
 def cents(col) -> Column:

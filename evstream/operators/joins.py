@@ -37,10 +37,17 @@ def interval_join(
 
 
 def _stream_join(left, right, on, left_ts, right_ts, lower, upper, how):
-    cond = _equal(left, right, on) & right[right_ts].between(
+    # In outer joins of streams, Spark takes a NULL key for equal to another: keep sides apart.
+    left = left.withColumn("_null_l", _some_null(left, [l for l, _ in on], 1))
+    right = right.withColumn("_null_r", _some_null(right, [r for _, r in on], 2))
+    cond = (left["_null_l"] == right["_null_r"]) & _equal(left, right, on) & right[right_ts].between(
         left[left_ts] + interval(lower), left[left_ts] + interval(upper)
     )
-    return left.join(right, cond, how)
+    return left.join(right, cond, how).drop("_null_l", "_null_r")
+
+
+def _some_null(df: DataFrame, columns: Sequence[str], mark: int) -> Column:
+    return F.when(reduce(lambda a, b: a | b, [df[c].isNull() for c in columns]), mark).otherwise(0)
 
 
 def _buckets(df: DataFrame, ts: str, lo: int, hi: int, width: int) -> DataFrame:
@@ -57,6 +64,21 @@ def _near(left_ts: Column, right_ts: Column, lo: int, hi: int) -> Column:
     return (epoch_us(right_ts) - epoch_us(left_ts)).between(lo, hi)
 
 
+def match_by_id(
+    left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_ts: str, right_ts: str, wait: str
+) -> DataFrame:
+    """As :func:`match_within` for ids that occur once on a side: one outer join, so each side is
+    shuffled once and gives one row at most. Rows of one id farther apart than ``wait``, and
+    those without an id, stand alone."""
+    if left.isStreaming or right.isStreaming:
+        return match_within(left, right, on, left_ts, right_ts, wait)
+    span = micros(wait)
+    a, b = left.withColumn("_left", F.lit(True)), right.withColumn("_right", F.lit(True))
+    both = a.join(b, _equal(a, b, on) & _near(a[left_ts], b[right_ts], -span, span), "full_outer")
+    tag = F.when(F.col("_right").isNull(), LEFT_ONLY).when(F.col("_left").isNull(), RIGHT_ONLY).otherwise(PAIR)
+    return both.withColumn("tag", tag).drop("_left", "_right")
+
+
 def match_within(
     left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]], left_ts: str, right_ts: str,
     wait: str,

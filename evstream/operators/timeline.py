@@ -12,7 +12,6 @@ checkpointed, so that a recomputed task sees the same slices.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -31,7 +30,6 @@ from evstream.session import (
 
 SLICE = "_slice"
 ALL = "_all"
-MAX_SLICES_PER_KEY = 4096
 SAMPLED_PER_SLICE = 2000
 SAMPLE_SEED = 17
 
@@ -180,8 +178,8 @@ def timeline(
 ) -> Timeline:
     """Rows of ``df`` per key in ``order``; the order columns must identify a row of a key.
 
-    With no keys the whole table is one timeline. The first order column (a time or a number)
-    gives the cut points of hot keys. ``like`` is a table with the same keys and order columns
+    With no keys the whole table is one timeline. Hot keys are cut at values of all order columns,
+    so rows of one time can be parted. ``like`` is a table with the same keys and order columns
     that is cheaper to count, for a ``df`` that is itself the result of a scan.
     """
     keys, order = tuple(keys), tuple(order)
@@ -197,42 +195,42 @@ def timeline(
     # Hot keys and their cut points come from a sample, so that looking for them does not shuffle
     # every key. It decides where work is cut, never what is computed.
     share = min(1.0, SAMPLED_PER_SLICE / limit)
-    seen = probe.select(*dict.fromkeys([*keys, order[0]]))
+    seen = probe.select(*dict.fromkeys([*keys, *order]))
     if share < 1.0:
         seen = seen.sample(fraction=share, seed=SAMPLE_SEED)
     least = limit if share == 1.0 else 0.8 * limit * share
     counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # At most about rows / limit keys can be hot.
     hot = checkpointed(counts.where(F.col("_n") > least))
-    n_hot, most = hot.agg(F.count(F.lit(1)), F.max("_n")).first()
+    n_hot, most, total = hot.agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first()
     if not n_hot:
         return whole
 
-    slices = min(MAX_SLICES_PER_KEY, max(2, math.ceil(most / share / limit)))
-    fractions = [i / slices for i in range(1, slices)]
+    # Every key is cut after so many of its sampled rows, so into as many slices as it needs.
+    per = max(1, int(limit * share))
+    n_slices = n_hot + total // per
     hot_rows = key_join(seen, hot.drop("_n"), keys, "left_semi", rows=n_hot)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    cut_rows = hot_rows.withColumn("_place", place).where(F.col("_place") % per == 0)
     cuts = checkpointed(
-        hot_rows.groupBy(*keys).agg(
-            F.array_distinct(
-                F.percentile_approx(order[0], fractions, max(10_000, 8 * slices))
-            ).alias("_cuts")
-        )
+        cut_rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
     )
-    rows = key_join(df, cuts, keys, rows=n_hot * slices)
-    rows = _with_slice(rows, order[0], slices)
-    return Timeline(rows, keys, order, sliced=True, hot_slices=n_hot * slices)
+    rows = key_join(df, cuts, keys, rows=n_slices)
+    rows = _with_slice(rows, F.struct(*order), most // per)
+    return Timeline(rows, keys, order, sliced=True, hot_slices=n_slices)
 
 
-def _with_slice(rows: DataFrame, at: str, slices: int) -> DataFrame:
-    """Number the slices: 0 for ordinary keys, else 1 + the cut points at or before ``at``.
+def _with_slice(rows: DataFrame, at: Column, cuts: int) -> DataFrame:
+    """Number the slices: 0 for ordinary keys, else 1 + the cut points (at most ``cuts``) at or
+    before ``at``.
 
     The count is found by halving, one projection per step, which stays in generated code;
     past the end of the cut points ``get`` is null and adds nothing.
     """
     rows = rows.withColumn(SLICE, F.lit(0))
-    for bit in reversed(range(max(slices - 1, 1).bit_length())):
+    for bit in reversed(range(max(cuts, 1).bit_length())):
         step = 1 << bit
-        before = F.get(F.col("_cuts"), F.col(SLICE) + (step - 1)) <= F.col(at)
+        before = F.get(F.col("_cuts"), F.col(SLICE) + (step - 1)) <= at
         rows = rows.withColumn(SLICE, F.col(SLICE) + F.when(before, step).otherwise(0))
     number = F.when(F.col("_cuts").isNull(), 0).otherwise(F.col(SLICE) + 1)
     return rows.withColumn(SLICE, number).drop("_cuts")

@@ -16,7 +16,7 @@ from evstream.functions.time import (
     readable,
     tumbling,
 )
-from evstream.operators.timeline import running_count, timeline
+from evstream.operators.timeline import adjacent, running_count, running_sum, timeline
 
 
 def tumble(
@@ -97,16 +97,20 @@ def _sliding_totals(panes: DataFrame, keys: list[str], totals: list[str], n: int
     enter = F.struct((F.col("_pane") + 1).alias("_at"), *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in totals])
     leave = F.struct((F.col("_pane") + 1 + n).alias("_at"), *[(-F.coalesce(F.col(t), F.lit(0))).alias(t) for t in totals])
     changes = panes.select(*keys, F.explode(F.array(enter, leave)).alias("_d")).select(*keys, "_d.*")
-    # A key has at most time span / slide panes, however many rows it has.
-    by_key = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    by_time = by_key.orderBy("_at")
-    total = by_time.rowsBetween(Window.unboundedPreceding, 0)
-    held = changes.select(
-        *keys,
-        "_at",
-        F.lead("_at").over(by_time).alias("_next"),
-        *[F.sum(t).over(total).alias(t) for t in totals],
-    )
+    if keys:
+        # A key has at most time span / slide panes, however many rows it has.
+        by_time = Window.partitionBy(*keys).orderBy("_at")
+        total = by_time.rowsBetween(Window.unboundedPreceding, 0)
+        held = changes.select(
+            *keys,
+            "_at",
+            F.lead("_at").over(by_time).alias("_next"),
+            *[F.sum(t).over(total).alias(t) for t in totals],
+        )
+    else:
+        changes = changes.groupBy("_at").agg(*[F.sum(t).alias(t) for t in totals])
+        line = timeline(changes, [], ["_at"]).forward(**{t: running_sum(t) for t in totals})
+        held = line.backward(_next=adjacent("_at")).done()
     # A total holds from its change up to the next one; equal times leave the last row only.
     held = held.where((F.col("_cnt") > 0) & (F.col("_next") > F.col("_at")))
     return held.withColumn("_end", F.explode(F.sequence(F.col("_at"), F.col("_next") - 1))).drop("_at", "_next")
@@ -129,13 +133,10 @@ def sessions(
         F.count(F.lit(1)).alias("_cnt"),
         *[F.sum(c).alias(name) for name, c in sums.items()],
     )
-    by_key = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pane")
-    opened = panes.withColumn("_prev", F.lag("_last").over(by_key)).withColumn(
-        "_new", F.when(F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + width), 1).otherwise(0)
-    )
-    numbered = opened.withColumn(
-        "_session", F.sum("_new").over(by_key.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    new = F.when(F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + width), 1).otherwise(0)
+    line = timeline(panes, keys, ["_pane"]).forward(_prev=adjacent("_last"))
+    line = line.with_rows(line.rows.withColumn("_new", new)).forward(_session=running_sum("_new"))
+    numbered = line.done()
     return (
         numbered.groupBy(*keys, "_session")
         .agg(

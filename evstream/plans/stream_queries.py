@@ -9,13 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from evstream.operators import joins, rows, windows
+from evstream.operators.common import cents
 from evstream.operators.patterns import Step
+from evstream.operators.running import latest_per_key
 from evstream.plans import table_queries as tq
+from evstream.plans.jobs import sales_dashboard
 from evstream.plans.registry import ORACLE, query
 from evstream.schemas import TABLES
-from evstream.session import prepare_streaming
+from evstream.session import prepare_streaming, scratch_path
 from evstream.streaming import jobs
-from evstream.streaming.runner import Closing, run_to_table
+from evstream.streaming.runner import Closing, run_to_table, stream_of
 
 BY_ID = ["event_id"]
 k_, is_ = tq.k_, tq.is_
@@ -30,12 +33,13 @@ def stream(t, keep: Column | None = None) -> DataFrame:
     return rows_ if keep is None else rows_.where(keep)
 
 
-def timed(t, closing: Closing, keep: Column | None = None, bound: str = "0 seconds") -> DataFrame:
-    """The events of ``keep`` with event time and watermark, ended by the closing row. One batch
-    reads all files: their rows need no order between files."""
+def timed(t, closing: Closing, keep: Column | None = None, bound: str = "0 seconds", change=None) -> DataFrame:
+    """The events of ``keep``, put through ``change``, with event time and watermark, ended by the
+    closing row. One batch reads all files: their rows need no order between files."""
     reader = prepare_streaming(t.spark).readStream.schema(TABLES["events"])
     rows_ = reader.parquet(f"{t.folder}/events.parquet*")
-    return jobs.event_time(closing.follow(rows_ if keep is None else rows_.where(keep)), "ts", bound)
+    rows_ = rows_ if keep is None else rows_.where(keep)
+    return jobs.event_time(closing.follow(rows_ if change is None else change(rows_)), "ts", bound)
 
 
 def ends(t) -> Closing:
@@ -113,6 +117,48 @@ def stream_tx_match_inner(t):
     return drained(t, jobs.plain_times(pairs), "tx", end)
 
 
+@query("stream_tx_match_by_id", ORACLE["tx_match_by_id"])
+def stream_tx_match_by_id(t):
+    end = ends(t)
+    pays = tq.tx_pays(timed(t, end, is_("purchase"), "10 minutes"))
+    receipts = tq.tx_receipts(timed(t, end, bound="10 minutes", change=tq.shifted_receipts))
+    both = joins.match_by_id(pays, receipts, tq.ON_TX, "pay_time", "receipt_time", "1 hour")
+    return drained(t, jobs.plain_times(both), "txid", end)
+
+
+@query("stream_marketing_by_channel", ORACLE["marketing_by_channel"])
+def stream_marketing_by_channel(t):
+    end = ends(t)
+    used = tq.marketed(timed(t, end, ~is_("signup")))
+    return drained(t, jobs.slide_counts(used, "ts", "1 day", "1 hour", ["channel", "behavior"]), "marketing", end)
+
+
+@query("stream_clicks_by_province", ORACLE["clicks_by_province"])
+def stream_clicks_by_province(t):
+    """Two queries: the cap by event order, then windows over the clicks that passed."""
+    end, folder = ends(t), scratch_path(t.spark, "passed")
+    capped = jobs.daily_cap(timed(t, end), ["user_id", "event_type"], BY_ID, 2).where("tag = 'pass'")
+    passed = run_to_table(capped, "passed", folder=folder, source=t.events, closing=end)
+    end = Closing(passed, "ts")
+    clicks = jobs.event_time(end.follow(stream_of(passed, folder)), "ts")
+    clicks = clicks.withColumn("province", F.col("user_id") % 5)
+    counts = jobs.slide_counts(clicks, "ts", "1 hour", "1 minute", ["province"])
+    return drained(t, counts.drop("window_start"), "province", end)
+
+
+@query("stream_sales_top3", ORACLE["sales_top3"])
+def stream_sales_top3(t):
+    """The dashboard from the last of the early totals of every category and day."""
+    reader = prepare_streaming(t.spark).readStream.schema(TABLES["lineitem"])
+    sold = reader.option("maxBytesPerTrigger", str(4 << 30)).parquet(f"{t.folder}/lineitem.parquet*")
+    sold = sold.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+        "l_shipdate", F.col("p_brand").alias("category"), cents("l_extendedprice").alias("price"))
+    told = jobs.early_totals(sold, "l_shipdate", "1 day", ["category"], "price", offset="-8 hours")
+    told = run_to_table(told, "sales", source=t.lineitem)
+    last = latest_per_key(told, ["window_start", "category"], ["firing"])
+    return sales_dashboard(last.withColumnRenamed("total", "cents"), "category")
+
+
 @query("stream_running_reduce", """
     select event_id, user_id, count(*) over w as reduced_n, max(value) over w as reduced_value
     from events window w as (partition by user_id order by ts, event_id)""")

@@ -104,15 +104,18 @@ def hot_urls_top5(t):
     return jobs.hot_keys(urls, "ts", "url", "6 hours", "30 minutes", 5)
 
 
+def marketed(events):
+    return events.select(
+        "ts", F.concat(F.lit("channel"), k_() % 4).alias("channel"), F.col("event_type").alias("behavior"))
+
+
 @query("marketing_by_channel", f"""
     with s as (select ts, 'channel' || ({SQL_K} % 4) as channel, event_type as behavior
                from events where event_type <> 'signup'),
     {sliding_sql("s", "channel, behavior", DAY, HOUR, "w")}
     select * from w""")
 def marketing_by_channel(t):
-    used = t.events.where(~is_("signup")).select(
-        "ts", F.concat(F.lit("channel"), k_() % 4).alias("channel"), F.col("event_type").alias("behavior")
-    )
+    used = marketed(t.events.where(~is_("signup")))
     return jobs.marketing(used, "ts", "1 day", "1 hour", ["channel", "behavior"])
 
 
@@ -296,6 +299,46 @@ def tx_match_full(t):
     return jobs.payment_matching(_pays(t), _receipts(t), ON_USER, "pay_time", "receipt_time", "1 hour")
 
 
+# A transaction's id occurs once on a side; some rows have none, and some receipts have no pay.
+# Receipts come up to one and a half hours before or after, more than the hour waited for.
+RECEIPT_SHIFT = "(event_id * 7919) % 10800 - 5400"
+TX_ID_SQL = f"""with p as (select event_id as pay_id, case when event_id % 11 > 0 then event_id end as tx_id, ts as pay_time
+                       from events where event_type = 'purchase'),
+    r as (select event_id as receipt_id, case when event_id % 13 > 0 then event_id end as receipt_tx,
+                 ts + to_seconds({RECEIPT_SHIFT}) as receipt_time
+          from events where event_type = 'signup' or (event_type = 'purchase' and event_id % 3 > 0))"""
+ON_TX = [("tx_id", "receipt_tx")]
+
+
+def shifted_receipts(events):
+    """Receipts of the events, their time as ``ts``."""
+    kept = events.where(is_("signup") | (is_("purchase") & (F.col("event_id") % 3 > 0)))
+    return kept.withColumn("ts", from_epoch_us(epoch_us("ts") + F.expr(RECEIPT_SHIFT) * 1_000_000).cast("timestamp_ntz"))
+
+
+def tx_pays(events):
+    return events.select(
+        F.col("event_id").alias("pay_id"), F.expr("case when event_id % 11 > 0 then event_id end").alias("tx_id"),
+        F.col("ts").alias("pay_time"))
+
+
+def tx_receipts(events):
+    return events.select(
+        F.col("event_id").alias("receipt_id"),
+        F.expr("case when event_id % 13 > 0 then event_id end").alias("receipt_tx"), F.col("ts").alias("receipt_time"))
+
+
+@query("tx_match_by_id", f"""{TX_ID_SQL}
+    select *, case when r.receipt_id is null then 'left_only' when p.pay_id is null
+              then 'right_only' else 'match' end as tag
+    from p full outer join r on p.tx_id = r.receipt_tx
+      and r.receipt_time between p.pay_time - interval 1 hour and p.pay_time + interval 1 hour""")
+def tx_match_by_id(t):
+    return joins.match_by_id(
+        tx_pays(t.events.where(is_("purchase"))), tx_receipts(shifted_receipts(t.events)), ON_TX,
+        "pay_time", "receipt_time", "1 hour")
+
+
 # --- sales dashboard -----------------------------------------------------------------------
 
 SALES_SQL = """select date_trunc('day', l_shipdate + interval 8 hours) - interval 8 hours as day,

@@ -21,9 +21,9 @@ SLICE_ROWS_DEFAULT = 16_000_000
 # Inputs whose planned size is below this many bytes cannot hold a key worth slicing.
 SLICE_FLOOR = "evstream.slice.floor.bytes"
 SLICE_FLOOR_DEFAULT = 64 * 1024 * 1024
-# Rows of a checked small table that may be broadcast.
-BROADCAST_ROWS = "evstream.broadcast.rows"
-BROADCAST_ROWS_DEFAULT = 500_000
+# Bytes of a counted table of fixed-width rows that may be broadcast.
+BROADCAST_BYTES = "evstream.broadcast.bytes"
+BROADCAST_BYTES_DEFAULT = 64 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:

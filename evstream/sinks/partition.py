@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
@@ -69,3 +70,35 @@ def partition_sink(
 
     spark.dataSource.register(Sink)
     return name
+
+
+# Names of the files of :func:`text_sink`: micro-batch and task.
+BATCH_OF_FILE = r"batch-(\d+)-part-"
+
+
+def text_sink(spark: SparkSession, name: str, folder: str) -> str:
+    """Register a sink that writes the first column of its rows as lines, a file per micro-batch
+    and task. A file appears when its task ends well, and a task that runs again replaces its
+    own. ``folder`` lies where all executors reach it."""
+
+    def open_():
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        batch = task.getLocalProperty("streaming.sql.batchId") or "0"
+        files, base = fs.FileSystem.from_uri(folder) if urlsplit(folder).scheme else (fs.LocalFileSystem(), folder)
+        files.create_dir(base, recursive=True)
+        path = f"{base}/batch-{int(batch):09d}-part-{task.partitionId():05d}.txt"
+        held = f"{base}/_{task.taskAttemptId()}-{int(batch)}.tmp"
+        return files, held, path, files.open_output_stream(held)
+
+    def write(held, row):
+        held[3].write(f"{row[0]}\n".encode())
+
+    def close(held, ok):
+        files, temporary, path, out = held
+        out.close()
+        files.move(temporary, path) if ok else files.delete_file(temporary)
+
+    return partition_sink(spark, name, open_, write, close)

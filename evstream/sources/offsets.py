@@ -21,7 +21,7 @@ class LaneRange(InputPartition):
 class OffsetReader(DataSourceStreamReader):
     def __init__(self, options):
         self.lanes = int(options.get("lanes", 2))
-        self.available = int(options.get("available", 1000))
+        self.available = int(options["available"])
 
     def initialOffset(self) -> dict:
         return {"next": 0}

@@ -9,16 +9,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from evstream.functions.time import epoch_us, from_epoch_us, micros
+from evstream.functions.time import epoch_us, from_epoch_us, micros, tumbling
 from evstream.operators import joins, windows
 from evstream.operators.late import with_watermark
 from evstream.operators.patterns import Step
 from evstream.streaming import processors as p
 
 US = "_us"
-EVENT_TIME, BY_ARRIVAL = "eventTime", "none"
+EVENT_TIME, PROCESSING_TIME, BY_ARRIVAL = "eventTime", "processingTime", "none"
 # Rows at or past this time are no data: they tell a bounded stream that its input has ended.
 END = dt.datetime(9000, 1, 1)
 
@@ -89,9 +90,7 @@ def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, la
     The keys of a window are ranked in ``lanes`` groups first, so that no state row gathers more
     than a ``lanes``-th of them, and the few best of each group are ranked again.
     """
-    counts = df.groupBy(F.window(ts, size, slide).alias("w"), F.col(key)).agg(
-        F.count(F.lit(1)).alias("cnt")
-    )
+    counts = _slide_counts(df, ts, size, slide, [key])
 
     def best(ranked: Column) -> Column:
         return F.slice(F.sort_array(ranked), 1, n)
@@ -116,6 +115,49 @@ def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, la
     )
 
 
+def _slide_counts(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str]) -> DataFrame:
+    """``w, *keys, cnt``. Rows are counted in panes as long as the slide, and only these counts
+    are copied to the windows they lie in."""
+    panes = df.groupBy(F.window(ts, slide).alias("w"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+    return panes.groupBy(F.window("w", size, slide).alias("w"), *keys).agg(F.sum("_n").alias("cnt"))
+
+
+def slide_counts(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows per key and sliding window."""
+    counts = _slide_counts(df, ts, size, slide, list(keys))
+    return plain_times(
+        counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "cnt"))
+
+
+def early_totals(
+    df: DataFrame, ts: str, size: str, keys: Sequence[str], value: str, offset: str | None = None,
+    forget: str | None = None,
+) -> DataFrame:
+    """Totals of whole numbers per key and tumbling window as they grow, before the window ends.
+
+    After each micro-batch, so at the interval of the query's trigger, every total it changed is
+    put out with its number ``firing``; the row of the largest number is the last word. Rows are
+    summed up in their tasks first, so a hot key sends a row for each batch of rows. No row is too
+    late, unless its total was left alone for ``forget`` and started anew.
+    """
+    keys = list(keys)
+    rows = df.select(tumbling(F.col(ts), size, offset).alias("_w"), *keys, F.col(value).cast("bigint").alias("_v"))
+    rows = rows.select(epoch_us("_w.start").alias("_a"), epoch_us("_w.end").alias("_b"), *keys, "_v")
+    group = ["_a", "_b", *keys]
+
+    def summed(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by(group).aggregate([("_v", "sum")])
+            for part in t.rename_columns([*group, "_v"] if t.column_names[0] == "_a" else ["_v", *group]).to_batches():
+                yield part.select([*group, "_v"])
+
+    partial = rows.mapInArrow(summed, rows.schema)
+    mode = PROCESSING_TIME if forget else BY_ARRIVAL
+    out = _process(partial, group, p.EarlyTotal("_v", forget and micros(forget) // 1000), _long("firing", "total"), mode)
+    return out.select(
+        from_epoch_us("_a").alias("window_start"), from_epoch_us("_b").alias("window_end"), *keys, "firing", "total")
+
+
 def sessions(df: DataFrame, ts: str, gap: str, keys: Sequence[str], *aggs: Column) -> DataFrame:
     return plain_times(windows.session_stream(df, ts, gap, keys, *aggs))
 

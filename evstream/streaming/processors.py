@@ -83,6 +83,26 @@ class KeyedReduce(ArrivalProcessor):
         self.held.update(held)
 
 
+class EarlyTotal(ArrivalProcessor):
+    """The total so far, put out after every micro-batch that adds to it, with its number. State
+    is kept for ``forget`` milliseconds after its last change, or for good."""
+
+    def __init__(self, value: str, forget: int | None):
+        super().__init__([value])
+        self.value, self.forget = value, forget
+
+    def open(self, handle):
+        self.held = handle.getValueState("held", "firing bigint, total bigint", self.forget)
+
+    def handleInputRows(self, key, rows, timerValues):
+        firing, total = self.held.get() if self.held.exists() else (0, None)
+        for row in rows:
+            if row[self.value] is not None:
+                total = (total or 0) + row[self.value]
+        self.held.update((firing + 1, total))
+        yield self.row(*key, firing + 1, total)
+
+
 class CountWindow(ArrivalProcessor):
     """Every ``every``-th row puts out the sum of the last ``size`` rows or fewer. With ``size``
     equal to ``every`` this is the tumbling count window."""

@@ -102,7 +102,8 @@ def run_to_table(
 
     ``source`` is a batch view of the input: the number of state partitions, fixed at the first
     start of a query, then follows its size. With ``closing`` the query runs once more after its
-    input, so that everything still in its state comes out.
+    input, so that everything still in its state comes out. :func:`stream_of` reads such a
+    ``folder`` as the input of a next query.
     """
     spark = prepare_streaming(stream.sparkSession)
     folder = folder or scratch_path(spark, name)
@@ -129,3 +130,8 @@ def run_to_table(
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")
+
+
+def stream_of(table: DataFrame, folder: str) -> DataFrame:
+    """The rows :func:`run_to_table` wrote to ``folder``, as a stream."""
+    return table.sparkSession.readStream.schema(table.schema).parquet(f"{folder}/table")

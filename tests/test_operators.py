@@ -10,8 +10,9 @@ from pyspark.sql import functions as F, types as T
 from evstream import schemas
 from evstream.functions.hashing import bitmap_offset
 from evstream.operators import alerts, joins, late, partition, patterns, rows, running, windows
+from evstream.operators.common import broadcast_if_small, fixed_width
 from evstream.operators.patterns import Step
-from evstream.operators.timeline import running_max, timeline, nearest
+from evstream.operators.timeline import nearest, running_count, running_max, timeline
 
 KEYED = "user string, id bigint, ts timestamp_ntz, kind string, v bigint"
 ORDER = ["ts", "id"]
@@ -385,3 +386,25 @@ def test_large_caps_are_cut_before_the_shuffle(spark):
     rows_ = spark.range(100_000).select("id", (F.col("id") % 2).alias("user"), F.timestamp_seconds("id").alias("ts"))
     plan = alerts.daily_cap(rows_, ["user"], ["ts", "id"], 5000)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_hot_key_of_one_time_is_cut_by_the_full_order(spark, sliced):
+    df = spark.range(100).select(F.lit("a").alias("k"), F.lit(7).alias("t"), F.col("id"))
+    line = timeline(df, ["k"], ["t", "id"]).forward(n=running_count())
+    assert line.rows.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 3
+    assert rows_of(line.done(), "id", "n") == [(i, i + 1) for i in range(100)]
+
+
+def test_slices_of_null_order_values(spark, sliced):
+    df = spark.createDataFrame([("a", None if i % 5 == 0 else i, i) for i in range(40)], "k string, t int, id int")
+    got = rows_of(timeline(df, ["k"], ["t", "id"]).forward(n=running_count()).done(), "id", "n")
+    order = sorted(range(40), key=lambda i: (i % 5 > 0, i if i % 5 else 0, i))
+    assert got == sorted((i, n + 1) for n, i in enumerate(order))
+
+
+def test_broadcast_needs_fixed_width_and_few_bytes(spark):
+    df = spark.range(5).select("id", F.array(F.struct("id")).alias("a"))
+    plan = lambda d, n: broadcast_if_small(d, n)._jdf.queryExecution().analyzed().toString()
+    assert fixed_width(df.schema) == 8 + 8 + 16 and fixed_width(df.select(F.lit("x")).schema) is None
+    assert "broadcast" in plan(df, 1000) and "broadcast" not in plan(df, 10**9)
+    assert "broadcast" not in plan(df.withColumn("s", F.lit("x")), 1)

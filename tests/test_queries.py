@@ -13,7 +13,7 @@ SCANS = [
     "order_status", "order_check", "sequence_three_steps", "window_members", "traffic_count5",
     "traffic_count5_3", "late_on_time", "late_dropped", "running_sum", "running_max",
     "running_max_by", "running_reduce", "running_reduce_function", "running_min_total",
-    "changelog_sum", "changelog_having", "jump_alert", "rise_alert",
+    "changelog_sum", "changelog_having", "jump_alert", "rise_alert", "traffic_session", "marketing_total",
 ]
 
 
@@ -37,11 +37,11 @@ def test_sliced_equals_sql(spark, sql, sliced, name):
 
 
 def test_sliced_without_broadcast(spark, sql, sliced):
-    spark.conf.set("evstream.broadcast.rows", "0")
+    spark.conf.set("evstream.broadcast.bytes", "0")
     try:
         check(spark, sql, "order_status")
     finally:
-        spark.conf.unset("evstream.broadcast.rows")
+        spark.conf.unset("evstream.broadcast.bytes")
 
 
 def test_slices_found_by_a_sample(spark):

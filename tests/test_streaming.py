@@ -77,6 +77,25 @@ def test_early_results_in_update_mode(spark, files):
     assert [r[0] for r in rows_of(spark.table("early"), "s")] == [1, 3, 7]
 
 
+def test_early_totals_grow_with_every_batch(spark, files):
+    files.add(("a", 1, 1, "", 1), ("a", 2, 2, "", 2), ("b", 3, 3, "", 8)).add(("a", 4, 90_000, "", 4))
+    files.add(("a", 5, 4, "", 16), ("b", 6, 5, "", None))
+    out = drain(jobs.early_totals(files.stream(), "ts", "1 day", ["user"], "v"))
+    assert rows_of(out, "user", "window_start", "firing", "total") == [
+        ("a", at(0), 1, 3), ("a", at(0), 2, 19), ("a", at(86_400), 1, 4), ("b", at(0), 1, 8), ("b", at(0), 2, 8)]
+
+
+def test_null_keys_of_streams_do_not_match(spark, files):
+    files.add((None, 1, 1, "l", 1), ("a", 2, 2, "l", 2), ("b", 3, 3, "l", 4), (None, 4, 4, "r", 8), ("a", 5, 5, "r", 16))
+    end = Closing(spark.createDataFrame([], SCHEMA), "ts")
+    def side(name):
+        rows_ = end.follow(files.stream().where(kind(name)))
+        return jobs.event_time(rows_, "ts").select(F.col("user").alias(f"{name}_user"), F.col("ts").alias(f"{name}_ts"))
+    both = joins.match_by_id(side("l"), side("r"), [("l_user", "r_user")], "l_ts", "r_ts", "10 seconds")
+    assert rows_of(drain(jobs.plain_times(both), closing=end), "l_user", "r_user", "tag") == [
+        ("a", "a", "match"), ("b", None, "left_only"), (None, None, "left_only"), (None, None, "right_only")]
+
+
 def test_arrival_processors_keep_state_between_batches(files):
     files.add(*[("a", i, i, "", 1 << i) for i in range(4)]).add(*[("a", i, i, "", 1 << i) for i in range(4, 7)])
     counted = jobs.count_windows(files.stream(), ["user"], ["id"], "v", 5, 3)
