@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import Column, functions as F
@@ -81,9 +80,5 @@ def readable(ts, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
     return F.date_format(ts, pattern)
 
 
-def gcd_width(size: str | int, slide: str | int) -> int:
-    return math.gcd(micros(size), micros(slide))
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from evstream.operators import joins, rows, windows
+from evstream.operators import joins, late, rows, windows
 from evstream.operators.common import cents
 from evstream.operators.patterns import Step
 from evstream.operators.running import latest_per_key
@@ -159,6 +159,48 @@ def stream_sales_top3(t):
     return sales_dashboard(last.withColumnRenamed("total", "cents"), "category")
 
 
+@query("stream_uv_bitmap", ORACLE["uv_bitmap_running"])
+def stream_uv_bitmap(t):
+    end = ends(t)
+    views = timed(t, end, is_("view"))
+    return drained(t, jobs.running_distinct_bitmap(views, "ts", "1 hour", "user_id", BY_ID), "bitmap", end)
+
+
+DELIVERIES = 3
+LATE_STREAM_SQL = tq.LATE_SQL.replace(
+    "event_id // 500", f"event_id * {DELIVERIES} // (select max(event_id) + 1 from events)")
+
+
+@query("stream_late_rows", f"""{LATE_STREAM_SQL}
+    select event_id, ts, window_start, window_end, lateness from l""")
+def stream_late_rows(t):
+    return _delivered(t).select("event_id", "ts", "window_start", "window_end", "lateness")
+
+
+@query("stream_late_totals", f"""{LATE_STREAM_SQL}
+    select user_id, window_start, window_end, cast(sum(c) as bigint) as cents
+    from l where lateness = 'on_time' group by 1, 2, 3""")
+def stream_late_totals(t):
+    """On-time totals, from the same pass over the stream that gives the late rows."""
+    return late.first_firing(_delivered(t), ["user_id"], F.sum("c").alias("cents"))
+
+
+def _delivered(t):
+    """The events in three deliveries, each a micro-batch of one query."""
+    folder = scratch_path(prepare_streaming(t.spark), "deliveries")
+    rows_ = tq.shifted_times(t.events)
+    ids = t.events.agg(F.max("event_id") + 1).first()[0] or 1
+    number = F.call_function("div", F.col("event_id") * DELIVERIES, F.lit(ids))
+    rows_.limit(0).write.parquet(f"{folder}/source")
+    split = jobs.split_late(
+        t.spark.readStream.schema(rows_.schema).parquet(f"{folder}/source"),
+        "ts", "user_id", "3 hours", "1 hour", "3 hours")
+    for n in range(DELIVERIES):
+        rows_.where(number == n).write.mode("append").parquet(f"{folder}/source")
+        told = run_to_table(split, "late", folder=folder, source=t.events)
+    return told
+
+
 @query("stream_running_reduce", """
     select event_id, user_id, count(*) over w as reduced_n, max(value) over w as reduced_value
     from events window w as (partition by user_id order by ts, event_id)""")

@@ -72,10 +72,6 @@ def partition_sink(
     return name
 
 
-# Names of the files of :func:`text_sink`: micro-batch and task.
-BATCH_OF_FILE = r"batch-(\d+)-part-"
-
-
 def text_sink(spark: SparkSession, name: str, folder: str) -> str:
     """Register a sink that writes the first column of its rows as lines, a file per micro-batch
     and task. A file appears when its task ends well, and a task that runs again replaces its

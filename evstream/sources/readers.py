@@ -108,8 +108,22 @@ def jdbc_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
-def jdbc_changes(spark: SparkSession, options: Mapping[str, str], after: int) -> DataFrame:
-    """The rows added since the last poll: those whose partition column is above ``after``."""
-    column = options["partitionColumn"]
-    ranged = {**options, "dbtable": f"(select * from {options['dbtable']} where {column} > {int(after)}) t"}
-    return jdbc_table(spark, ranged)
+def jdbc_poll_options(options: Mapping[str, str], changed: str, after: int, upto: int) -> dict[str, str]:
+    """Options of a poll: the rows whose ``changed`` column, a whole number that rises with every
+    insert and update (a version, a time in milliseconds), is above ``after`` and at most
+    ``upto``. The next poll starts at ``upto``; the ranges of tasks are those of the poll."""
+    if upto <= after:
+        raise ValueError("a poll needs after < upto")
+    where = f"{changed} > {int(after)} and {changed} <= {int(upto)}"
+    return {
+        **options,
+        "dbtable": f"(select * from {options['dbtable']} where {where}) polled",
+        "partitionColumn": changed,
+        "lowerBound": str(int(after)),
+        "upperBound": str(int(upto) + 1),
+    }
+
+
+def jdbc_changes(spark: SparkSession, options: Mapping[str, str], changed: str, after: int, upto: int) -> DataFrame:
+    """The rows inserted or changed since the last poll, as they are now."""
+    return jdbc_table(spark, jdbc_poll_options(options, changed, after, upto))

@@ -12,9 +12,10 @@ from collections.abc import Callable, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from evstream.functions.time import epoch_us, from_epoch_us, micros, tumbling
+from evstream.functions.hashing import bitmap_offset
+from evstream.functions.time import epoch_us, floor_div, from_epoch_us, micros, tumbling
 from evstream.operators import joins, windows
-from evstream.operators.late import with_watermark
+from evstream.operators.late import DROPPED, ON_TIME, REFIRE, with_watermark
 from evstream.operators.patterns import Step
 from evstream.streaming import processors as p
 
@@ -212,6 +213,28 @@ def changelog(df, keys, order, value, total="total", having=None) -> DataFrame:
     return _process(df, keys, p.Changelog(order, value, having), out, BY_ARRIVAL)
 
 
+def split_late(
+    df: DataFrame, ts: str, spread: str, bound: str, window: str, lateness: str
+) -> DataFrame:
+    """The rows of a stream with ``window_start``, ``window_end`` and ``lateness``, as
+    :func:`.late.split_late` gives them with micro-batches for arrivals: rows that come too late
+    are put out like all others and not dropped. ``spread`` is a column that deals rows to tasks;
+    the rows of a value and micro-batch pass one task, one by one.
+    """
+    columns = [c for c in df.columns if c not in (ts, spread)]
+    timed = with_watermark(df.withColumn(ts, F.col(ts).cast("timestamp")), ts, bound)
+    width = micros(window)
+    # Without the event-time column Spark does not look for late rows itself.
+    slim = timed.select(spread, epoch_us(ts).alias(US), *columns).withColumn(
+        "_b", (floor_div(F.col(US), width) + 1) * width)
+    out = [*_long(US), *_fields(df, *columns), *_long("_b"), _text("lateness")]
+    tags = p.LateTag([US, *columns, "_b"], "_b", micros(lateness), [ON_TIME, REFIRE, DROPPED])
+    told = _process(slim, [spread], tags, out, EVENT_TIME)
+    return told.select(
+        spread, from_epoch_us(US).alias(ts), *columns, from_epoch_us(F.col("_b") - width).alias("window_start"),
+        from_epoch_us("_b").alias("window_end"), "lateness")
+
+
 # --- state and timers, in event-time order -------------------------------------------------
 
 
@@ -233,6 +256,18 @@ def daily_cap(df, keys, order, cap) -> DataFrame:
     return capped.select(*keys, from_epoch_us(US).alias("ts"), *order, "tag")
 
 
+def running_distinct_bitmap(df, ts, size, value, order, out="uv") -> DataFrame:
+    """For every row, the bitmap estimate of distinct values in its window so far. The rows of a
+    window are taken in order, so by one task."""
+    width = micros(size)
+    flagged = df.withColumns({"_end": (floor_div(F.col(US), width) + 1) * width, "_bit": bitmap_offset(value)})
+    flagged = flagged.withColumn("_until", F.col("_end"))
+    held = _ordered(
+        flagged, ["_end"], p.RunningDistinct, order, ["_bit", "_until"], _long(US) + _fields(df, *order) + _long(out),
+        value="_bit", end="_until")
+    return held.select(*order, from_epoch_us("_end").alias("window_end"), out)
+
+
 def login_failures(df, keys, order, failed: Column, within) -> DataFrame:
     flagged = df.withColumn("_failed", failed)
     out = _ordered(

@@ -331,6 +331,57 @@ class DailyCap(EventOrderProcessor):
         return (today, min(n, self.cap + 1))
 
 
+class RunningDistinct(EventOrderProcessor):
+    """For every row the number of different ``value`` seen; forgotten when ``end`` has passed."""
+
+    state, initial = "n bigint, until bigint", (0, None)
+
+    def __init__(self, fields, order, value: str, end: str):
+        super().__init__(fields, order)
+        self.value, self.end = value, end
+
+    def init(self, handle):
+        super().init(handle)
+        self.seen = handle.getMapState("seen", "v bigint", "n bigint")
+
+    def on_row(self, key, memory, row, out):
+        n, _ = memory
+        value = (row[self.value],)
+        if value[0] is not None and not self.seen.containsKey(value):
+            n += 1
+            self.seen.updateValue(value, (n,))
+        out.append(self.row(*key, *[row[c] for c in self.order], n))
+        return (n, row[self.end])
+
+    def on_time(self, key, memory, us, out):
+        n, until = memory
+        if until is not None and us + 1 >= until:
+            self.seen.clear()
+            until = None
+        return (n, until)
+
+    def deadline(self, memory):
+        return memory[1]
+
+
+class LateTag(Processor):
+    """Tags rows by the watermark in force when their micro-batch starts: ``names`` for a window
+    that is still open, one kept for ``lateness`` longer, and one that takes no rows any more."""
+
+    def __init__(self, columns: Sequence[str], end: str, lateness: int, names: Sequence[str]):
+        self.carried, self.end, self.lateness, self.names = list(columns), end, lateness, list(names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        for row in rows:
+            end = row[self.end]
+            tag = 0 if mark <= 0 or end > mark else 1 if end + self.lateness > mark else 2
+            yield self.row(*key, *[row[c] for c in self.carried], self.names[tag])
+
+
 class RepeatedFailure(EventOrderProcessor):
     """A failure less than ``within`` microseconds after the previous row, itself a failure."""
 

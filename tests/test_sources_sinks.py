@@ -100,6 +100,24 @@ def test_jdbc_options():
         readers.jdbc_options("jdbc:x", "t", "id", 5, 5, 2)
 
 
+def test_jdbc_poll_takes_changed_rows_of_its_range():
+    options = readers.jdbc_options("jdbc:x", "t", "id", 1, 7, 3)
+    poll = readers.jdbc_poll_options(options, "version", 40, 90)
+    assert poll["dbtable"] == "(select * from t where version > 40 and version <= 90) polled"
+    assert (poll["partitionColumn"], poll["lowerBound"], poll["upperBound"]) == ("version", "40", "91")
+    with pytest.raises(ValueError):
+        readers.jdbc_poll_options(options, "version", 90, 90)
+
+
+def test_text_sink_replaces_what_a_task_wrote_before(spark, tmp_path):
+    df = spark.range(20).repartition(2).select(F.col("id").cast("string").alias("value"))
+    sink = partition.text_sink(spark, "evstream_test_text", f"{tmp_path}/out")
+    for _ in range(2):
+        df.write.format(sink).mode("append").save()
+    assert sorted(int(r[0]) for r in rows_of(spark.read.text(f"{tmp_path}/out"))) == list(range(20))
+    assert all(f.startswith("batch-000000000-part-") for f in os.listdir(tmp_path / "out"))
+
+
 # --- file sinks ----------------------------------------------------------------------------
 
 
