@@ -69,7 +69,8 @@ def sketches(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
 
 
 SKETCH = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_shingles", T.LongType()),
+    T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()),
+    T.StructField("n_shingles", T.LongType()),
     T.StructField("set_id", T.BinaryType()), T.StructField("bands", T.BinaryType()),
     T.StructField("coarse", T.BinaryType())])
 
@@ -85,12 +86,12 @@ def sketched(docs: DataFrame) -> DataFrame:
             fine = sketches(sets)
             coarse = (fine & 0xFF).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                b.column("doc_id").cast(pa.int64()), b.column("text_hash"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                 pa.array([r.tobytes() for r in fine], pa.binary()),
                 pa.array([r.tobytes() for r in coarse], pa.binary())], names=SKETCH.names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, SKETCH)
 
 
 def _rows(batches) -> Iterator[tuple]:
@@ -216,21 +217,25 @@ def _verified(batches, crossed: bool):
 def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """``node, component`` by verified links. Everything within a family is compared exactly."""
     family = _families(reps).select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    family = saved(family.join(reps.select("rep", "n_shingles"), "rep"), "families")
+    family = saved(family.join(reps.select("rep", "n_shingles", "set_id"), "rep"), "families")
     blocks = F.ceil(F.greatest(F.col("_docs") / BLOCK_DOCS, F.col("_size") / BLOCK_SHINGLES))
     size = family.groupBy("family").agg(F.count(F.lit(1)).alias("_docs"), F.sum("n_shingles").alias("_size"))
     size = size.select("family", blocks.cast("int").alias("blocks"))
     placed = family.join(size, "family").select(
-        "rep", "family", "blocks", F.pmod(F.xxhash64("rep", F.lit(5)), "blocks").cast("int").alias("block"))
+        "rep", "family", "blocks", F.pmod(F.xxhash64("rep", F.lit(5)), "blocks").cast("int").alias("block"), "set_id")
 
     def full_sets(batches):
+        from xxhash import xxh3_128_digest
+
         for b in batches:
             sets = [shingle_hashes(t).tobytes() for t in b.column("text").to_pylist()]
-            columns = [*b.columns[1:], pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["rep", "family", "blocks", "block", "set"])
+            # Another text may bear the same id.
+            own = pa.array([xxh3_128_digest(s) == d for s, d in zip(sets, b.column("set_id").to_pylist(), strict=True)])
+            columns = [*b.columns[1:5], pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["rep", "family", "blocks", "block", "set"]).filter(own)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    sets = saved(texts.join(grows(placed), "rep").select("text", "rep", "family", "blocks", "block").mapInArrow(
+    sets = saved(texts.join(grows(placed), "rep").select("text", "rep", "family", "blocks", "block", "set_id").mapInArrow(
         full_sets, "rep long, family long, blocks int, block int, set binary"), "sets")
 
     def compare(rows, crossed):
@@ -271,9 +276,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents are linked if their shingle sets (five words, A-Z lowered) share at least 75 per
     cent of their union; classes follow links, and the smallest id of a class is kept. NULL and
     empty texts have no shingles and stand alone, as do rows without an id (``component_id``
-    NULL, kept). Rows of one id and one text stay or go together. Equal sets are compared once;
+    NULL, kept). Rows of one id and one text stay or go together, those of one id and different
+    texts go by their texts. Equal sets are compared once;
     a bucket, a family or a set of copies of any size is cut into bounded parts.
     """
+    return _classed(docs).drop("text_hash")
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """As :func:`near_duplicates`, with the hash of the text."""
     sk = saved(sketched(docs), "sketches")
     some = sk.where("n_shingles > 0 and doc_id is not null")
     reps = some.groupBy("set_id").agg(
@@ -283,16 +294,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = _linked(docs, reps).withColumnRenamed("node", "rep")
     of_set = reps.select("set_id", "rep").join(linked, "rep", "left").select(
         "set_id", F.coalesce("component", "rep").alias("_component"))
-    out = sk.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
+    out = sk.select("doc_id", "text_hash", "n_shingles", "set_id").join(of_set, "set_id", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
-    out = out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("_component")).alias("component_id"))
+    out = out.select("doc_id", "text_hash", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("_component")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its class, unchanged."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(grows(gone), "doc_id", "left_anti").select(docs.columns)
+    gone = _classed(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = (docs["doc_id"] == F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    return docs.join(grows(gone.distinct()), same, "left_anti").select(docs.columns)
 
 
 @query("op10_minhash")
