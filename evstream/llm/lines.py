@@ -100,36 +100,38 @@ def blocks(pairs: list[tuple[int, int]], words: list[int], least: int) -> list[t
 
 
 def common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, start, end``: line blocks that an earlier document holds too, each once.
+    """``doc_id, text_hash, start, end``: line blocks that an earlier document holds too, each once.
 
     A line that occurs once in a document and in other documents as well is an anchor; each
     document is aligned with the earliest holder of each of its anchors. So the number of
     alignments follows the lines, however many documents share one, and the earliest holder of a
     line never loses it. Lines are compared by 64-bit hashes of their whole text; blank lines are
-    no anchors. Rows without an id or text take no part; rows of one id are one document.
+    no anchors. Rows without an id or text take no part; equal rows are one document, and of
+    different texts of one id a single one takes part.
     """
     t = F.split("text", "\n")
     lines = docs.where("doc_id is not null and text is not null").select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         F.transform(t, lambda x: F.xxhash64(x)).alias("h"),
         F.transform(t, lambda x: F.size(F.filter(F.split(x, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))).alias("w"))
-    lines = saved(lines.groupBy("doc_id").agg(F.max(F.struct("h", "w")).alias("l")).select("doc_id", "l.h", "l.w"), "lines")
+    lines = saved(lines.groupBy("doc_id").agg(F.max(F.struct("text_hash", "h", "w")).alias("l")).select("doc_id", "l.*"), "lines")
     each = lines.select("doc_id", F.explode(F.arrays_zip("h", "w")).alias("x")).where("x.w > 0")
     each = each.groupBy("doc_id", F.col("x.h").alias("line")).agg(F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
     first = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = each.join(grows(first.drop("n")), "line").where("first < doc_id").select("first", "doc_id").distinct()
     both = (pairs.join(grows(lines), "doc_id").join(lines.select(F.col("doc_id").alias("first"), F.col("h").alias("a")), "first")
-            .select("doc_id", "a", "h", "w"))
+            .select("doc_id", "text_hash", "a", "h", "w"))
 
     def run(batches):
         for b in batches:
-            out = [(doc, s, e) for doc, a, h, w in zip(*[c.to_pylist() for c in b.columns], strict=True)
+            out = [(doc, t, s, e) for doc, t, a, h, w in zip(*[c.to_pylist() for c in b.columns], strict=True)
                    for s, e in blocks(aligned(a, h), w, least)]
-            doc, s, e = zip(*out, strict=True) if out else ((), (), ())
+            doc, t, s, e = zip(*out, strict=True) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())], names=["doc_id", "start", "end"])
+                [pa.array(doc, pa.int64()), pa.array(t, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())],
+                names=["doc_id", "text_hash", "start", "end"])
 
-    return saved(both.mapInArrow(run, "doc_id long, start int, end int").distinct(), "blocks")
+    return saved(both.mapInArrow(run, "doc_id long, text_hash long, start int, end int").distinct(), "blocks")
 
 
 def without_common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
@@ -139,10 +141,11 @@ def without_common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     one. ``n_chars``, if there, counts the new text where lines were deleted. Other columns are
     carried, clashing ones replaced.
     """
-    docs = without(docs, "n_deleted", "_blocks", "_id")
-    gone = (common_blocks(docs, least).groupBy(F.col("doc_id").alias("_id"))
+    docs = without(docs, "n_deleted", "_blocks", "_id", "_hash")
+    gone = (common_blocks(docs, least).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
             .agg(F.collect_list(F.struct("start", "end")).alias("_blocks")))
-    rows = docs.join(grows(gone), F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    rows = docs.join(grows(gone), same, "left").drop("_id", "_hash")
     schema = T.StructType([*docs.schema.fields, T.StructField("n_deleted", T.LongType())])
 
     def run(batches):

@@ -263,6 +263,20 @@ def test_near_duplicates(spark, docs, nothing):
     assert kept.columns == clashing(docs).columns and {7, 8}.isdisjoint({r["doc_id"] for r in kept.collect()})
 
 
+def test_repeated_ids_with_different_texts(spark):
+    other = prose(150, 21)
+    rows = [(7, BASE), (7, other), (7, None), (7, BASE), (9, NEAR), (3, other), (11, prose(150, 22))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["n_shingles"] and r["component_id"]) for r in minhash.near_duplicates(df).collect()}
+    assert got == {(7, 7), (7, 3), (7, 0), (9, 7), (3, 3), (11, 11)}
+    kept = sorted((r["doc_id"], r["text"] or "") for r in minhash.keep_one(df).collect())
+    assert kept == sorted([(7, BASE), (7, BASE), (7, ""), (3, other), (11, rows[-1][1])])
+    passage = "one two three four five six\nseven eight nine ten"
+    rows = [(1, passage), (2, f"a b\n{passage}"), (2, f"x y z\nmore of it\nand the end {'w ' * 9}")]
+    left = {r["text"] for r in lines.without_common_blocks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert passage in left and rows[2][1] in left and left <= {passage, "a b", rows[1][1], rows[2][1]}
+
+
 def test_families_in_blocks(spark, monkeypatch):
     for name, value in (("BLOCK_DOCS", 5), ("BUCKET", 4)):
         monkeypatch.setattr(minhash, name, value)
