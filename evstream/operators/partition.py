@@ -12,13 +12,21 @@ def rebalance(df: DataFrame, n: int) -> DataFrame:
 
 def widened(df: DataFrame) -> DataFrame:
     """Spread a table that is read in fewer parts than there are cores, before costly row-wise
-    work. A table of many parts, as any large one, is left alone."""
-    if df.isStreaming:
+    work. A table of many parts, as any large one, is left alone, and so are results of other
+    work, whose parts cannot be counted without running it."""
+    if df.isStreaming or not _bare_scan(df):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _bare_scan(df: DataFrame) -> bool:
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return node.children().isEmpty()
+
+
 def shuffle_random(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """Spread rows at random, the same way on every recomputation."""
     return df.repartition(n, F.rand(seed))
