@@ -102,7 +102,7 @@ def blocks(pairs: list[tuple[int, int]], words: list[int], least: int) -> list[t
 def common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_hash, start, end``: line blocks that an earlier document holds too, each once.
 
-    A line that occurs once in a document and in other documents as well is an anchor; each
+    A line that occurs in several documents is an anchor, however often each holds it; each
     document is aligned with the earliest holder of each of its anchors. So the number of
     alignments follows the lines, however many documents share one, and the earliest holder of a
     line never loses it. Lines are compared by 64-bit hashes of their whole text; blank lines are
@@ -116,7 +116,7 @@ def common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
         F.transform(t, lambda x: F.size(F.filter(F.split(x, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))).alias("w"))
     lines = saved(lines.groupBy("doc_id").agg(F.max(F.struct("text_hash", "h", "w")).alias("l")).select("doc_id", "l.*"), "lines")
     each = lines.select("doc_id", F.explode(F.arrays_zip("h", "w")).alias("x")).where("x.w > 0")
-    each = each.groupBy("doc_id", F.col("x.h").alias("line")).agg(F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
+    each = each.select("doc_id", F.col("x.h").alias("line")).distinct()
     first = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     pairs = each.join(grows(first.drop("n")), "line").where("first < doc_id").select("first", "doc_id").distinct()
     both = (pairs.join(grows(lines), "doc_id").join(lines.select(F.col("doc_id").alias("first"), F.col("h").alias("a")), "first")

@@ -336,6 +336,14 @@ def test_line_dedup(spark, nothing):
     assert lines.line_deduped(nothing).count() == 0
 
 
+def test_line_dedup_of_lines_repeated_in_a_document(spark):
+    passage, verse = "one two three four five six\nseven eight nine ten", "a line of the refrain again\n" * 3 + "and again"
+    verse += "\nand again"
+    rows = [(1, passage), (2, f"{passage}\n{passage}"), (3, verse), (4, verse), (5, "la la la\nla la la"), (6, "la la la\nla la la")]
+    got = by_id(lines.without_common_blocks(spark.createDataFrame(rows, "doc_id long, text string")), "text", "n_deleted")
+    assert got == {1: (passage, 0), 2: (passage, 2), 3: (verse, 0), 4: ("", 5), 5: (rows[4][1], 0), 6: ("", 2)}
+
+
 def test_pipeline(spark):
     d = table(spark, DATA, "documents")
     whole = d.count()
