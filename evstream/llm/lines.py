@@ -1,16 +1,18 @@
-"""Line dedup: documents that share lines are aligned by patience, common blocks leave the later."""
+"""Line dedup: documents that share blocks of lines are aligned by patience, common blocks leave the later."""
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from evstream.llm.common import grows, query, saved, table, without
 
 MIN_WORDS = 5  # a block of fewer words stays
+BASE, PRIME = 0x1F3A5C7E9B2D4861, (1 << 61) - 1
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -99,39 +101,147 @@ def blocks(pairs: list[tuple[int, int]], words: list[int], least: int) -> list[t
     return out
 
 
+def windows(h: list[int], words: list[int], least: int) -> list[tuple[int, int, int]]:
+    """``(key, start, end)``: the shortest stretches of ``least`` words from every line on and up
+    to every line, with a hash of their lines.
+
+    They cover every block of ``least`` words, here and in any other document that holds it.
+    """
+    n, ends = len(h), set()
+    end = total = 0
+    for start in range(n):
+        while end < n and (end <= start or total < least):
+            total += words[end]
+            end += 1
+        if total < least:
+            break
+        ends.add((start, end))
+        total -= words[start]
+    start, total = n, 0
+    for end in range(n, 0, -1):
+        while start > 0 and (start >= end or total < least):
+            start -= 1
+            total += words[start]
+        if total < least:
+            break
+        ends.add((start, end))
+        total -= words[end - 1]
+    sums, powers = [0], [1]
+    for x in h:
+        sums.append((sums[-1] * BASE + x) % PRIME)
+        powers.append(powers[-1] * BASE % PRIME)
+    return [((sums[e] - sums[s] * powers[e - s]) % PRIME, s, e) for s, e in sorted(ends)]
+
+
+def _rows(batches, columns):
+    for b in batches:
+        yield from zip(*[b.column(c).to_pylist() for c in columns], strict=True)
+
+
+def _batches(rows, schema: pa.Schema, size: int = 20_000):
+    """Batches of rows of integers."""
+    rows = iter(rows)
+    while True:
+        part = list(islice(rows, size))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in part], f.type) for k, f in enumerate(schema)], schema=schema)
+        if len(part) < size:
+            return
+
+
+def _mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df`` through ``run``, from tuples of its columns to tuples of longs."""
+    columns, types = df.columns, pa.schema([(c.split()[0], pa.int64()) for c in schema.split(", ")])
+    return df.mapInArrow(lambda b: _batches(run(_rows(b, columns)), types), schema)
+
+
 def common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``doc_id, text_hash, start, end``: line blocks that an earlier document holds too, each once.
 
-    A line that occurs in several documents is an anchor, however often each holds it; each
-    document is aligned with the earliest holder of each of its anchors. So the number of
-    alignments follows the lines, however many documents share one, and the earliest holder of a
-    line never loses it. Lines are compared by 64-bit hashes of their whole text; blank lines are
-    no anchors. Rows without an id or text take no part; equal rows are one document, and of
-    different texts of one id a single one takes part.
+    The result is that of aligning every document with every earlier one. Copies of a text lose all
+    of it, and distinct texts take the place of their first document. A block that an alignment
+    finds is covered by :func:`windows` that both texts hold; so a text is aligned with the
+    earliest holder of each of its windows, then those of its windows that are not deleted yet
+    with the next holders, in rounds of four times as many, until no window or no earlier holder is
+    left. Most windows go with their first holder, so the number of alignments follows the lines;
+    only windows that stay because texts hold them in another order or another number meet all
+    their holders. The earliest holder of a window never loses it. Lines are compared by 64-bit
+    hashes of their whole text. Rows without an id or text take no part; equal rows are one
+    document, and texts of one id come in the order of their hashes.
     """
     t = F.split("text", "\n")
     lines = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         F.transform(t, lambda x: F.xxhash64(x)).alias("h"),
         F.transform(t, lambda x: F.size(F.filter(F.split(x, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))).alias("w"))
-    lines = saved(lines.groupBy("doc_id").agg(F.max(F.struct("text_hash", "h", "w")).alias("l")).select("doc_id", "l.*"), "lines")
-    each = lines.select("doc_id", F.explode(F.arrays_zip("h", "w")).alias("x")).where("x.w > 0")
-    each = each.select("doc_id", F.col("x.h").alias("line")).distinct()
-    first = each.groupBy("line").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = each.join(grows(first.drop("n")), "line").where("first < doc_id").select("first", "doc_id").distinct()
-    both = (pairs.join(grows(lines), "doc_id").join(lines.select(F.col("doc_id").alias("first"), F.col("h").alias("a")), "first")
-            .select("doc_id", "text_hash", "a", "h", "w"))
+    ids = saved(lines.select("doc_id", "text_hash").distinct(), "line-ids")
+    lines = saved(lines.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct("h", "w")).alias("l"))
+                  .select("text_hash", "doc_id", "l.*"), "lines")
+    size = F.aggregate("w", F.lit(0).cast("long"), lambda a, x: a + x)
+    copied = lines.where(size >= least).select("text_hash", F.col("doc_id").alias("first"), F.size("h").alias("end"))
+    copies = ids.join(grows(copied), "text_hash").where("doc_id > first").select("doc_id", "text_hash", F.lit(0).alias("start"), "end")
 
-    def run(batches):
-        for b in batches:
-            out = [(doc, t, s, e) for doc, t, a, h, w in zip(*[c.to_pylist() for c in b.columns], strict=True)
-                   for s, e in blocks(aligned(a, h), w, least)]
-            doc, t, s, e = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(t, pa.int64()), pa.array(s, pa.int32()), pa.array(e, pa.int32())],
-                names=["doc_id", "text_hash", "start", "end"])
-
-    return saved(both.mapInArrow(run, "doc_id long, text_hash long, start int, end int").distinct(), "blocks")
+    held = saved(_mapped(
+        lines.select("doc_id", "text_hash", "h", "w"),
+        lambda rows: ((key, doc, text, s, e) for doc, text, h, w in rows for key, s, e in windows(h, w, least)),
+        "key long, doc_id long, text_hash long, start long, end long"), "windows")
+    place = F.struct("doc_id", "text_hash")
+    first = held.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last").select("key", "first")
+    left = saved(held.join(grows(first), "key").where(F.col("first") < place), "left-windows")
+    pairs = saved(left.select(F.col("first.text_hash").alias("a"), F.col("text_hash").alias("b")).distinct(), "pairs")
+    left, found, done, holders = left.drop("first"), copies, pairs, None
+    low, high = 1, 5
+    while True:
+        found = found.union(saved(_aligned(lines, pairs, least), "blocks"))
+        left = saved(_uncovered(left, found), "left-windows")
+        if holders is None:
+            # Holders of what is left, numbered in their order.
+            every = held.join(grows(left.select("key").distinct()), "key").select("key", "doc_id", "text_hash").distinct()
+            order = Window.partitionBy("key").orderBy("doc_id", "text_hash")
+            holders = saved(every.withColumn("place", F.row_number().over(order).cast("long") - 1), "holders")
+            left = left.join(grows(holders), ["key", "doc_id", "text_hash"])
+        left = saved(left.where(F.col("place") > low), "left-windows")
+        if not left.head(1):
+            return saved(found.distinct(), "blocks")
+        tries = left.select("key", F.col("text_hash").alias("b"), "place").distinct().select(
+            "key", "b", F.explode(F.sequence(F.lit(low).cast("long"), F.least(F.col("place"), F.lit(high)) - 1)).alias("place"))
+        pairs = tries.join(grows(holders.select("key", "place", F.col("text_hash").alias("a"))), ["key", "place"]).select("a", "b").distinct()
+        pairs = saved(pairs.join(grows(done), ["a", "b"], "left_anti"), "pairs")
+        done, low, high = done.union(pairs), high, high + 4 * (high - low)
+
+
+def _aligned(lines: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
+    """``doc_id, text_hash, start, end``: blocks of the texts ``b`` that their partners ``a`` hold."""
+    theirs = lines.select(F.col("text_hash").alias("a"), F.col("h").alias("g"))
+    both = pairs.join(grows(lines.withColumnRenamed("text_hash", "b")), "b").join(grows(theirs), "a")
+    out = _mapped(
+        both.select("doc_id", "b", "g", "h", "w"),
+        lambda rows: ((doc, text, s, e) for doc, text, g, h, w in rows for s, e in blocks(aligned(g, h), w, least)),
+        "doc_id long, text_hash long, start long, end long")
+    return out.select("doc_id", "text_hash", F.col("start").cast("int"), F.col("end").cast("int")).distinct()
+
+
+def _uncovered(left: DataFrame, found: DataFrame) -> DataFrame:
+    """The windows ``left`` with a line that no block of ``found`` holds."""
+    by = ["doc_id", "text_hash"]
+    spans = found.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    others = [c for c in left.columns if c not in by]
+    rows = left.groupBy(*by).agg(F.collect_list(F.struct(*others)).alias("rows")).join(grows(spans), by, "left")
+
+    def run(rows):
+        for doc, text, held, spans in rows:
+            merged: list[list[int]] = []
+            for s in spans or ():
+                if merged and s["start"] <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], s["end"])
+                else:
+                    merged.append([s["start"], s["end"]])
+            starts = [s for s, _ in merged]
+            for r in held:
+                k = bisect_right(starts, r["start"]) - 1
+                if k < 0 or merged[k][1] < r["end"]:
+                    yield doc, text, *[r[c] for c in others]
+
+    return _mapped(rows.select(*by, "rows", "spans"), run, ", ".join(f"{c} long" for c in [*by, *others]))
 
 
 def without_common_blocks(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:

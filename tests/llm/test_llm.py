@@ -344,6 +344,19 @@ def test_line_dedup_of_lines_repeated_in_a_document(spark):
     assert got == {1: (passage, 0), 2: (passage, 2), 3: (verse, 0), 4: ("", 5), 5: (rows[4][1], 0), 6: ("", 2)}
 
 
+def test_line_dedup_meets_later_holders(spark):
+    one, two = "first passage of six words here\nits second line", "then another passage of words follows\nand its end"
+    rows = [(1, f"{one}\n{two}"), (2, f"head of it\n{two}\n{one}"), (3, f"{two}\n{one}\ntail of it"),
+            (11, "a b\nx\nc d\ny\ne f"), (12, "a b\nc d\ne f"), (13, "z\na b\nc d\ne f"),
+            (21, f"u\nother one two three four five\nv"), (22, "other one two three four five"), (23, "other one two three four five\n" * 2 + "w"),
+            (24, "t\n" + "other one two three four five\n" * 3 + "s")]
+    got = by_id(lines.without_common_blocks(spark.createDataFrame(rows, "doc_id long, text string")), "text", "n_deleted")
+    assert got[1][1] == 0 and got[2][1] == 2 and got[3] == ("tail of it", 4)
+    assert got[11][1] == got[12][1] == 0 and got[13] == ("z", 3)
+    # Against the ends of 21 and 22 the first occurrence goes; the third of 24 has no partner.
+    assert got[22] == ("", 1) and got[23][1] == 1 and got[24][1] == 2
+
+
 def test_pipeline(spark):
     d = table(spark, DATA, "documents")
     whole = d.count()
