@@ -17,6 +17,9 @@ COORDINATES, ROWS = 128, 4  # 32 bands of 4: a pair at 0.75 is missed by all wit
 # Sketches this much alike belong to one family. At 0.75 the estimate of 128 coordinates falls
 # below one half with odds under 2e-7 (Hoeffding); families are only searched, links are verified.
 ALIKE = 0.5
+# Differing coordinates obey the triangle inequality: if two sketches agree in 74 of 128, the one
+# agrees with what the other is like (64) in 10. At 0.75 fewer than 74 agree with odds of 7e-6.
+REACH = 10
 BUCKET = 20_000  # documents of one bucket that a task compares with leaders
 BLOCK_DOCS, BLOCK_SHINGLES = 192, 1_500_000  # what one side of an exact comparison holds
 
@@ -115,8 +118,9 @@ def _batch(rows, names):
 
 
 def _leaders(batches):
-    """Rows (key, rep, coarse sketch), sorted by key: each is tied to all leaders of its bucket it
-    is like, and leads itself if there are none (tied to itself). Holds the leaders alone."""
+    """Rows (key, rep, coarse sketch), sorted by key: each is tied to all leaders of its bucket in
+    reach, so to those of every row it may be linked with, and leads itself (tied to itself) if it
+    is like none. Holds the leaders alone."""
 
     def found():
         for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
@@ -124,9 +128,9 @@ def _leaders(batches):
             n = 0
             for _, rep, coarse in rows:
                 v = np.frombuffer(coarse, np.uint8)
-                like = np.flatnonzero((lead[:n] == v).sum(axis=1) >= ALIKE * COORDINATES) if n else ()
-                if len(like):
-                    yield from ((rep, int(ids[k])) for k in like)
+                same = (lead[:n] == v).sum(axis=1)
+                yield from ((rep, int(ids[k])) for k in np.flatnonzero(same >= REACH))
+                if (same >= ALIKE * COORDINATES).any():
                     continue
                 if n == len(ids):
                     ids, lead = np.concatenate([ids, ids]), np.concatenate([lead, lead])
@@ -137,6 +141,25 @@ def _leaders(batches):
     return _edges(found())
 
 
+def _led(batches):
+    """Rows (group, side, rep, coarse sketch), sorted by group and side: rows of side 1 are tied to
+    all leaders, of side 0, in reach."""
+
+    def found():
+        for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            ids, lead = [], []
+            for _, side, rep, coarse in rows:
+                v = np.frombuffer(coarse, np.uint8)
+                if side == 0:
+                    ids.append(rep)
+                    lead.append(v)
+                elif ids:
+                    lead = lead if isinstance(lead, np.ndarray) else np.array(lead)
+                    yield from ((rep, ids[k]) for k in np.flatnonzero((lead == v).sum(axis=1) >= REACH))
+
+    return _edges(found())
+
+
 def _families(reps: DataFrame) -> DataFrame:
     """``node, component``: documents that banding and sketches bring together."""
     pieces = F.array(*[F.xxhash64(F.lit(k), F.substring("bands", 1 + 2 * ROWS * k, 2 * ROWS))
@@ -144,16 +167,25 @@ def _families(reps: DataFrame) -> DataFrame:
     rows = reps.select("rep", F.explode(pieces).alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     rows = rows.join(grows(shared), "key").join(grows(reps.select("rep", "coarse")), "rep")
-    # A large bucket is compared in parts, and then the leaders of its parts with each other.
+    # A large bucket is compared in parts, and then each part with bounded groups of all leaders.
     parts = F.ceil(F.col("_n") / F.lit(BUCKET))
     rows = rows.withColumn("_part", F.pmod(F.xxhash64("rep", F.lit(3)), parts))
-    rows = saved(rows.select("key", "rep", "coarse", "_part", (parts > 1).alias("_cut")), "buckets")
+    rows = saved(rows.select("key", "rep", "coarse", "_part", parts.alias("_parts")), "buckets")
     lead = lambda df, *by: (df.repartition(*by).sortWithinPartitions(*by, "rep")
                             .select(F.xxhash64(*by), "rep", "coarse").mapInArrow(_leaders, "a long, b long"))
     edges = lead(rows, "key", "_part")
-    if rows.where("_cut").head(1):
-        tops = lead(rows.where("_cut"), "key", "_part").where("a = b").select(F.col("a").alias("rep")).distinct()
-        edges = edges.union(lead(rows.where("_cut").join(tops, "rep"), "key"))
+    cut, zero = rows.where("_parts > 1"), F.lit(0).cast("long")
+    if cut.head(1):
+        tops = lead(cut, "key", "_part").where("a = b").select(F.col("a").alias("rep")).distinct()
+        tops = saved(cut.join(grows(tops), "rep"), "leaders")
+        groups = tops.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BUCKET)).alias("_groups"))
+        group, by = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("_groups")), ["key", "_part", "_group"]
+        ours = tops.join(groups, "key").withColumn("_part", F.explode(F.sequence(zero, F.col("_parts") - 1)))
+        theirs = cut.join(groups, "key").withColumn("_group", F.explode(F.sequence(zero, F.col("_groups") - 1)))
+        both = (ours.select("key", "_part", group.alias("_group"), zero.alias("_side"), "rep", "coarse")
+                .union(theirs.select(*by, F.lit(1).cast("long"), "rep", "coarse")))
+        edges = edges.union(both.repartition(*by).sortWithinPartitions(*by, "_side")
+                            .select(F.xxhash64(*by), "_side", "rep", "coarse").mapInArrow(_led, "a long, b long"))
     return components(edges)
 
 

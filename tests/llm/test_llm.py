@@ -285,6 +285,23 @@ def test_families_in_blocks(spark, monkeypatch):
     assert {d: c for d, (c,) in got.items()} == {d: c for d, (_, c) in brute.near(family).items()}
 
 
+@pytest.mark.parametrize("bucket", [minhash.BUCKET, 2])
+def test_rows_like_a_leader_meet_rows_unlike_it(spark, bucket, monkeypatch):
+    monkeypatch.setattr(minhash, "BUCKET", bucket)
+    # 2 is like the leader 1, 3 is near 2 and not like 1; they share the first band alone.
+    v = np.arange(128, dtype="<u2")
+    coarse = [v.copy() for _ in range(3)]
+    coarse[1][:60] += 200
+    coarse[2][:60] += 200
+    coarse[2][96:] += 300
+    coarse[2][60:66] += 400
+    bands = [np.r_[v[:4], v[4:] + 1000 * i].astype("<u2").tobytes() for i in range(3)]
+    rows = [(i + 1, bytearray(bands[i]), bytearray((c & 0xFF).astype(np.uint8).tobytes())) for i, c in enumerate(coarse)]
+    assert (coarse[1] == coarse[0]).sum() >= 64 > (coarse[2] == coarse[0]).sum() and (coarse[2] == coarse[1]).sum() >= 74
+    got = {tuple(r) for r in minhash._families(spark.createDataFrame(rows, "rep long, bands binary, coarse binary")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_sketches_fill_and_estimate():
     sets = [np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for n in (0, 1, 3, 400)]
     sets.append(np.arange(100, 500, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
