@@ -89,6 +89,18 @@ def repeats(docs, k=400):
     return out
 
 
+def common_lines(docs, aligned, blocks, least=5):
+    """doc -> text left, lines deleted: every document is aligned with every earlier one."""
+    out, earlier = {}, []
+    for d, text in sorted(docs):
+        own = text.split("\n")
+        n = [len(words(x)) for x in own]
+        gone = {j for other in earlier for s, e in blocks(aligned(other, own), n, least) for j in range(s, e)}
+        out[d] = ("\n".join(x for j, x in enumerate(own) if j not in gone), len(gone))
+        earlier.append(own)
+    return out
+
+
 def vectors(rows, least=0.95):
     good = {}
     for i, v in rows:

@@ -374,6 +374,15 @@ def test_line_dedup_meets_later_holders(spark):
     assert got[22] == ("", 1) and got[23][1] == 1 and got[24][1] == 2
 
 
+def test_line_dedup_against_all_earlier_documents(spark):
+    r = random.Random(11)
+    short = ["a b", "c", "", "d e f", "g", "h i"]
+    parts = [*short, "one two three four five six", "\n".join(short[:4]), "seven eight nine ten eleven\nc\nlast of it"]
+    rows = [(i, "\n".join(r.choice(parts) for _ in range(r.randint(1, 7)))) for i in range(150)]
+    got = by_id(lines.without_common_blocks(spark.createDataFrame(rows, "doc_id long, text string")), "text", "n_deleted")
+    assert got == brute.common_lines(rows, lines.aligned, lines.blocks)
+
+
 def test_pipeline(spark):
     d = table(spark, DATA, "documents")
     whole = d.count()
