@@ -11,6 +11,7 @@ from evstream.llm import (  # noqa: F401  (register)
     secrets,
     sharding,
     suffixes,
+    whitening,
 )
 from evstream.llm.common import ORACLE, QUERIES
 
