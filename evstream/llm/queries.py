@@ -2,6 +2,7 @@
 
 from evstream.llm import (  # noqa: F401  (register)
     bitpack,
+    conversations,
     embeddings,
     lines,
     minhash,
