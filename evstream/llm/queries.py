@@ -9,6 +9,7 @@ from evstream.llm import (  # noqa: F401  (register)
     packing,
     pieces,
     quality,
+    scoring,
     secrets,
     sharding,
     suffixes,
