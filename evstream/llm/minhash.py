@@ -14,12 +14,11 @@ from evstream.llm.common import components, grows, query, saved, table
 
 WIDTH, PERCENT = 5, 75
 COORDINATES, ROWS = 128, 4  # 32 bands of 4: a pair at 0.75 is missed by all with odds of 5e-6
-# Sketches this much alike belong to one family. At 0.75 the estimate of 128 coordinates falls
-# below one half with odds under 2e-7 (Hoeffding); families are only searched, links are verified.
-ALIKE = 0.5
-# Differing coordinates obey the triangle inequality: if two sketches agree in 74 of 128, the one
-# agrees with what the other is like (64) in 10. At 0.75 fewer than 74 agree with odds of 7e-6.
-REACH = 10
+# A pair at 0.75 agrees in fewer than LINK of 128 coordinates with odds of 7e-6: pairs that agree in LINK
+# are candidates, which are then verified on full sets.
+LINK = 74
+# Rows that agree in ALIKE coordinates with a leader follow it and need not lead themselves.
+ALIKE = 64
 BUCKET = 20_000  # documents of one bucket that a task compares with leaders
 BLOCK_DOCS, BLOCK_SHINGLES = 192, 1_500_000  # what one side of an exact comparison holds
 
@@ -102,8 +101,8 @@ def _rows(batches) -> Iterator[tuple]:
         yield from zip(*[c.to_pylist() for c in b.columns], strict=True)
 
 
-def _edges(found: Iterator[tuple[int, int]], names=("a", "b"), size: int = 20_000) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[int, int]] = []
+def _edges(found: Iterator[tuple], names=("a", "b"), size: int = 20_000) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
     for x in found:
         held.append(x)
         if len(held) >= size:
@@ -113,51 +112,105 @@ def _edges(found: Iterator[tuple[int, int]], names=("a", "b"), size: int = 20_00
 
 
 def _batch(rows, names):
-    a, b = zip(*rows, strict=True) if rows else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=list(names))
+    columns = zip(*rows, strict=True) if rows else ((),) * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(names))
+
+
+class _Classes:
+    """Union-find over the leaders a task holds."""
+
+    def __init__(self):
+        self.root: list[int] = []
+
+    def add(self) -> None:
+        self.root.append(len(self.root))
+
+    def top(self, k: int) -> int:
+        while self.root[k] != k:
+            self.root[k] = self.root[self.root[k]]
+            k = self.root[k]
+        return k
+
+    def merge(self, hits: list[int]) -> list[int]:
+        """The first hit, and another of each class that was not yet joined with it."""
+        out = hits[:1]
+        first = self.top(hits[0])
+        for k in hits[1:]:
+            other = self.top(k)
+            if other != first:
+                out.append(k)
+                self.root[max(first, other)] = first = min(first, other)
+        return out
+
+
+# Differing coordinates obey the triangle inequality: if a row agrees with a leader in ``a``
+# coordinates, whatever agrees with that row in LINK agrees with the leader in a + LINK - 128. So a
+# leader is in reach of all that can be linked with it or with a follower, whose least agreement it
+# bears; a leader without loose followers is in reach of nothing but what is like itself.
+def _reach(least):
+    return np.minimum(LINK, least + LINK - COORDINATES)
+
+
+TIES = ("a", "b", "least", "at")
 
 
 def _leaders(batches):
-    """Rows (key, rep, coarse sketch), sorted by key: each is tied to all leaders of its bucket in
-    reach, so to those of every row it may be linked with, and leads itself (tied to itself) if it
-    is like none. Holds the leaders alone."""
+    """Rows (key, rep, coarse sketch), sorted by key: ties (row, leader), and a row (leader, leader,
+    least agreement of its followers, key) for each leader.
+
+    Each row is tied to the first leader of its bucket in reach, and leaders to each other where a
+    row is in reach of several that are not joined yet: as many ties as rows and leaders. A row
+    like no leader leads itself, which is a tie of its own. Holds the leaders alone."""
 
     def found():
-        for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
-            ids, lead = np.zeros(8, np.int64), np.zeros((8, COORDINATES), np.uint8)
-            n = 0
+        for key, rows in groupby(_rows(batches), key=lambda r: r[0]):
+            ids, lead, least = np.zeros(8, np.int64), np.zeros((8, COORDINATES), np.uint8), np.zeros(8, np.int64)
+            n, classes = 0, _Classes()
             for _, rep, coarse in rows:
                 v = np.frombuffer(coarse, np.uint8)
                 same = (lead[:n] == v).sum(axis=1)
-                yield from ((rep, int(ids[k])) for k in np.flatnonzero(same >= REACH))
-                if (same >= ALIKE * COORDINATES).any():
-                    continue
-                if n == len(ids):
-                    ids, lead = np.concatenate([ids, ids]), np.concatenate([lead, lead])
-                ids[n], lead[n] = rep, v
-                n += 1
-                yield rep, rep
-
-    return _edges(found())
+                hits = np.flatnonzero(same >= _reach(least[:n])).tolist()
+                follows = n and int(same.argmax())
+                if n and same[follows] >= ALIKE:
+                    least[follows] = min(least[follows], same[follows])
+                    if follows not in hits:
+                        hits.append(follows)
+                else:
+                    if n == len(ids):
+                        ids, lead, least = (np.concatenate([x, x]) for x in (ids, lead, least))
+                    ids[n], lead[n], least[n] = rep, v, COORDINATES
+                    classes.add()
+                    hits.insert(0, n)
+                    n += 1
+                for k in classes.merge(hits):
+                    if ids[k] != rep:
+                        yield rep, int(ids[k]), -1, 0
+            yield from ((int(ids[k]), int(ids[k]), int(least[k]), key) for k in range(n))
+
+    return _edges(found(), TIES)
 
 
 def _led(batches):
-    """Rows (group, side, rep, coarse sketch), sorted by group and side: rows of side 1 are tied to
-    all leaders, of side 0, in reach."""
+    """Rows (group, side, rep, coarse sketch, least), sorted by group and side: rows of side 1 are
+    tied to the leaders, of side 0, in reach, as above."""
 
     def found():
         for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
-            ids, lead = [], []
-            for _, side, rep, coarse in rows:
+            ids, lead, reach, classes = [], [], [], _Classes()
+            for _, side, rep, coarse, least in rows:
                 v = np.frombuffer(coarse, np.uint8)
                 if side == 0:
                     ids.append(rep)
                     lead.append(v)
+                    reach.append(_reach(least))
+                    classes.add()
                 elif ids:
-                    lead = lead if isinstance(lead, np.ndarray) else np.array(lead)
-                    yield from ((rep, ids[k]) for k in np.flatnonzero((lead == v).sum(axis=1) >= REACH))
+                    if not isinstance(lead, np.ndarray):
+                        lead, reach = np.array(lead), np.array(reach)
+                    hits = np.flatnonzero((lead == v).sum(axis=1) >= reach).tolist()
+                    yield from ((rep, ids[k], -1, 0) for k in (classes.merge(hits) if hits else ()))
 
-    return _edges(found())
+    return _edges(found(), TIES)
 
 
 def _families(reps: DataFrame) -> DataFrame:
@@ -171,22 +224,23 @@ def _families(reps: DataFrame) -> DataFrame:
     parts = F.ceil(F.col("_n") / F.lit(BUCKET))
     rows = rows.withColumn("_part", F.pmod(F.xxhash64("rep", F.lit(3)), parts))
     rows = saved(rows.select("key", "rep", "coarse", "_part", parts.alias("_parts")), "buckets")
-    lead = lambda df, *by: (df.repartition(*by).sortWithinPartitions(*by, "rep")
-                            .select(F.xxhash64(*by), "rep", "coarse").mapInArrow(_leaders, "a long, b long"))
-    edges = lead(rows, "key", "_part")
+    by = ["key", "_part"]
+    made = (rows.repartition(*by).sortWithinPartitions(*by, "rep").select(F.xxhash64(*by), "rep", "coarse")
+            .mapInArrow(_leaders, "a long, b long, least long, at long"))
+    edges = saved(made, "ties")
     cut, zero = rows.where("_parts > 1"), F.lit(0).cast("long")
     if cut.head(1):
-        tops = lead(cut, "key", "_part").where("a = b").select(F.col("a").alias("rep")).distinct()
-        tops = saved(cut.join(grows(tops), "rep"), "leaders")
+        tops = edges.where("a = b").select(F.col("a").alias("rep"), "at", "least")
+        tops = saved(cut.withColumn("at", F.xxhash64(*by)).join(grows(tops), ["rep", "at"]), "leaders")
         groups = tops.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(BUCKET)).alias("_groups"))
         group, by = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("_groups")), ["key", "_part", "_group"]
         ours = tops.join(groups, "key").withColumn("_part", F.explode(F.sequence(zero, F.col("_parts") - 1)))
         theirs = cut.join(groups, "key").withColumn("_group", F.explode(F.sequence(zero, F.col("_groups") - 1)))
-        both = (ours.select("key", "_part", group.alias("_group"), zero.alias("_side"), "rep", "coarse")
-                .union(theirs.select(*by, F.lit(1).cast("long"), "rep", "coarse")))
+        both = (ours.select("key", "_part", group.alias("_group"), zero.alias("_side"), "rep", "coarse", "least")
+                .union(theirs.select(*by, F.lit(1).cast("long"), "rep", "coarse", zero)))
         edges = edges.union(both.repartition(*by).sortWithinPartitions(*by, "_side")
-                            .select(F.xxhash64(*by), "_side", "rep", "coarse").mapInArrow(_led, "a long, b long"))
-    return components(edges)
+                            .select(F.xxhash64(*by), "_side", "rep", "coarse", "least").mapInArrow(_led, "a long, b long, least long, at long"))
+    return components(edges.where("a <> b"))
 
 
 def _common(sets: list[np.ndarray], split: int | None = None) -> np.ndarray:
@@ -249,26 +303,26 @@ def _verified(batches, crossed: bool):
 def _linked(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """``node, component`` by verified links. Everything within a family is compared exactly."""
     family = _families(reps).select(F.col("node").alias("rep"), F.col("component").alias("family"))
-    family = saved(family.join(reps.select("rep", "n_shingles", "set_id"), "rep"), "families")
+    family = saved(family.join(reps.select("rep", "holder", "n_shingles", "set_id"), "rep"), "families")
     blocks = F.ceil(F.greatest(F.col("_docs") / BLOCK_DOCS, F.col("_size") / BLOCK_SHINGLES))
     size = family.groupBy("family").agg(F.count(F.lit(1)).alias("_docs"), F.sum("n_shingles").alias("_size"))
     size = size.select("family", blocks.cast("int").alias("blocks"))
     placed = family.join(size, "family").select(
-        "rep", "family", "blocks", F.pmod(F.xxhash64("rep", F.lit(5)), "blocks").cast("int").alias("block"), "set_id")
+        "holder", "rep", "family", "blocks", F.pmod(F.xxhash64("rep", F.lit(5)), "blocks").cast("int").alias("block"), "set_id")
 
     def full_sets(batches):
         from xxhash import xxh3_128_digest
 
         for b in batches:
             sets = [shingle_hashes(t).tobytes() for t in b.column("text").to_pylist()]
-            # Another text may bear the same id.
+            # Other texts may bear the holder's id.
             own = pa.array([xxh3_128_digest(s) == d for s, d in zip(sets, b.column("set_id").to_pylist(), strict=True)])
             columns = [*b.columns[1:5], pa.array(sets, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["rep", "family", "blocks", "block", "set"]).filter(own)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text")
-    sets = saved(texts.join(grows(placed), "rep").select("text", "rep", "family", "blocks", "block", "set_id").mapInArrow(
-        full_sets, "rep long, family long, blocks int, block int, set binary"), "sets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("holder"), "text")
+    sets = saved(texts.join(grows(placed), "holder").select("text", "rep", "family", "blocks", "block", "set_id").mapInArrow(
+        full_sets, "rep long, family long, blocks int, block int, set binary").dropDuplicates(["rep"]), "sets")
 
     def compare(rows, crossed):
         keys = ["family", "ub", "block"]
@@ -320,12 +374,15 @@ def _classed(docs: DataFrame) -> DataFrame:
     sk = saved(sketched(docs), "sketches")
     some = sk.where("n_shingles > 0 and doc_id is not null")
     reps = some.groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"),
+        F.min("doc_id").alias("holder"), F.first("n_shingles").alias("n_shingles"),
         F.first("bands").alias("bands"), F.first("coarse").alias("coarse"))
-    reps = saved(reps, "reps")
+    # Sets bear numbers of their own, fixed by writing them: several may have the same holder.
+    reps = saved(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
     linked = _linked(docs, reps).withColumnRenamed("node", "rep")
-    of_set = reps.select("set_id", "rep").join(linked, "rep", "left").select(
-        "set_id", F.coalesce("component", "rep").alias("_component"))
+    classed = reps.select("set_id", "rep", "holder").join(linked, "rep", "left").select(
+        "set_id", "holder", F.coalesce("component", "rep").alias("_class"))
+    lowest = classed.groupBy("_class").agg(F.min("holder").alias("_component"))
+    of_set = classed.join(grows(lowest), "_class").select("set_id", "_component")
     out = sk.select("doc_id", "text_hash", "n_shingles", "set_id").join(of_set, "set_id", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     out = out.select("doc_id", "text_hash", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("_component")).alias("component_id"))

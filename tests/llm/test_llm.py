@@ -393,3 +393,42 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, DATA)
     assert {r[0] for r in out.select("doc_id").distinct().collect()} == {r[0] for r in d.select("doc_id").collect()}
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_two_sets_under_one_id_in_one_family(spark):
+    words = BASE.split(" ")
+    a, b = words, [w if k % 9 else "other" for k, w in enumerate(words)]  # alike, not near
+    near = lambda w, k: " ".join([*w[:-k], *["tail"] * k])
+    rows = [(7, " ".join(a)), (7, " ".join(b)), (9, near(a, 4)), (10, near(b, 4)), (5, prose(90, 31))]
+    want = brute.near([(str(k), t) for k, (_, t) in enumerate(rows)])
+    classes = {}
+    for k, (i, _) in enumerate(rows):
+        classes.setdefault(want[str(k)][1], []).append(i)
+    expected = sorted((i, min(c)) for c in classes.values() for i in c)
+    assert expected == [(5, 5), (7, 7), (7, 7), (9, 7), (10, 7)]
+    df = spark.createDataFrame([*rows, *rows[:2] * 20], "doc_id long, text string")
+    got = minhash.near_duplicates(df)
+    assert sorted({(r["doc_id"], r["component_id"]) for r in got.collect()}) == sorted(set(expected)) and got.count() == 45
+
+
+def test_ties_grow_with_rows_not_with_their_square():
+    import pyarrow as pa
+
+    r = np.random.default_rng(5)
+    base = r.integers(0, 255, 128).astype(np.uint8)
+    made = []
+    for n in (200, 800):
+        rows = []
+        for i in range(n):
+            v = base.copy()
+            v[r.choice(128, 45, replace=False)] = r.integers(0, 255, 45)
+            rows.append((1, i, v.tobytes()))
+        batch = pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["key", "rep", "coarse"])
+        out = [t for b in minhash._leaders([batch]) for t in zip(*[c.to_pylist() for c in b.columns])]
+        links = [(a, b) for a, b, *_ in out if a != b]
+        made.append(len(links))
+        sketches = [np.frombuffer(x[2], np.uint8) for x in rows]
+        real = [(i, j) for i in range(n) for j in range(i) if (sketches[i] == sketches[j]).sum() >= minhash.LINK]
+        want, got = brute.smallest_reachable(range(n), real), brute.smallest_reachable(range(n), links)
+        assert all(got[i] == got[j] for i, j in real) and len(set(want.values())) >= len(set(got.values()))
+    assert made[0] <= 400 and made[1] <= 1600
