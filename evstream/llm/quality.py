@@ -168,8 +168,9 @@ def fit(stats: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> list[
     known = (labels.where("quality is not null").groupBy("doc_id")
              .agg(F.min("quality").alias("_q"), F.max("quality").alias("_q2")).where("_q = _q2"))
     seen = F.xxhash64("doc_id", F.lit(7))
-    known = saved(stats.where(~base_failed()).dropDuplicates(["doc_id"]).join(known, "doc_id")
-                  .select(seen.alias("_o"), "_q", *FEATURES), "labelled")
+    # Of several texts under one id the one of least counts, whichever task comes first.
+    own = stats.where(~base_failed()).groupBy("doc_id").agg(F.min(F.struct(*FEATURES)).alias("_s")).select("doc_id", "_s.*")
+    known = saved(own.join(known, "doc_id").select(seen.alias("_o"), "_q", *FEATURES), "labelled")
     bucket = F.shiftright("_o", 64 - HASH_BITS)
     sizes = sorted(known.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect())
     if not sizes:
