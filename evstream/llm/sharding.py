@@ -84,12 +84,13 @@ def place(df: DataFrame, key: str, leaves: Sequence[Leaf], into: str = "shard")
 def slots(df: DataFrame, shard: str = "shard", order: str = "doc_id", into: str = "slot") -> DataFrame:
     """Number the rows of every shard from 0 without gaps, in order of ``order``.
 
-    Rows are dealt by ranges of ``order`` and numbered within (range, shard); a table with a row
+    Rows are dealt by ranges of ``order``, those of one value by their place in the input, so that a
+    value with many rows is cut as well, and numbered within (range, shard); a table with a row
     for each range and shard adds what stands before, so no shard is sorted in one task. Equal
     rows get different numbers, in any order among themselves; NULLs come first.
     """
-    dealt = df.repartitionByRange(order).withColumn("_range", F.spark_partition_id())
-    dealt = saved(dealt, "ranges")
+    dealt = df.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(order, "_row")
+    dealt = saved(dealt.withColumn("_range", F.spark_partition_id()).drop("_row"), "ranges")
     counts = dealt.groupBy("_range", shard).agg(F.count(F.lit(1)).alias("_n"))
     up_to = Window.partitionBy(shard).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("_range", shard, F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_before"))
