@@ -341,4 +341,6 @@ def op5_suffix_array(spark, folder):
     return out.select(
         "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         F.aggregate("removed", F.lit(0).cast("long"), lambda x, r: x + r["end"] - r["start"]).alias("n_removed"),
-        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.concat_ws(",", F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"]))).alias("removed"))
