@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from evstream.llm.common import components, query, saved, table, without
+from evstream.llm.common import components, grows, query, saved, table, without
 from evstream.llm.minhash import mixed
 
 COSINE = 0.95
@@ -184,15 +184,16 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", least: float = C
     Two vectors of one length are linked if their cosine, in double precision, is at least
     ``least``. NULL, zero and empty vectors and those with a NULL or non-finite component have no
     links, nor do rows without an id. Equal vectors are joined once and counted as often as they
-    occur. All vectors within reach are compared whatever their number; a crowded cell is cut
+    occur; different vectors under one id are judged each by its own. All vectors within reach are compared whatever their number; a crowded cell is cut
     into blocks of home vectors, which the rest of the cell passes by.
     """
     eps = float(np.sqrt(2 - 2 * least))
     rows, dtype = _usable(without(vectors, "raw", "dim"), column)
     rows = saved(rows.withColumn("key", F.md5("raw")), "vectors")
     classes = rows.where("raw is not null and vec_id is not null").groupBy("key").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw"), F.first("dim").alias("dim"))
-    classes = saved(classes, "classes")
+        F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw"), F.first("dim").alias("dim"))
+    # Classes of equal vectors bear numbers of their own, fixed by writing them: an id may name several.
+    classes = saved(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     wanted = min(MAX_PIVOTS, -(-classes.count() // CELL))
     pivots: dict[int, list[bytes]] = {}
     for r in classes.orderBy(F.xxhash64("key"), "rep").limit(wanted).select("dim", "raw").collect():
@@ -207,12 +208,15 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", least: float = C
         lambda b: _joined(b, least, dtype), "kind int, a long, b long"), "links")
     counts = found.where("kind = 0").select(F.col("a").alias("rep"), F.col("b").alias("_n"))
     joint = components(found.where("kind = 1")).withColumnRenamed("node", "rep")
-    of = classes.select("key", "rep").join(counts, "rep", "left").join(joint, "rep", "left")
+    of = classes.select("key", "rep", "least_id").join(counts, "rep", "left").join(joint, "rep", "left")
+    of = of.withColumn("component", F.coalesce("component", "rep"))
+    lowest = of.groupBy("component").agg(F.min("least_id").alias("lowest_id"))
+    of = of.join(grows(lowest), "component").select("key", "_n", "lowest_id")
     out = rows.select("vec_id", "key").join(of, "key", "left")
     none = F.col("vec_id").isNull()
     return out.select(
         "vec_id", F.when(none, 0).otherwise(F.coalesce("_n", F.lit(0))).cast("long").alias("n_links"),
-        F.when(~none, F.coalesce("component", "rep", "vec_id")).alias("component_id"),
+        F.when(~none, F.coalesce("lowest_id", "vec_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -148,6 +148,18 @@ def test_shards(spark, docs, nothing):
     assert moved.where("after < 4").count() == 0  # into the region whose weight grew, or within it
 
 
+def test_slots_of_one_id_are_numbered_by_many_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(sharding, "saved", lambda df, name: seen.append(saved(df, name)) or seen[-1])
+    rows = spark.range(40_000, numPartitions=8).select(F.when(F.col("id") % 2 == 0, 7).alias("doc_id"), F.lit("t").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    out = sharding.shard_documents(rows).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("a"), F.max("slot").alias("b"),
+                                                               F.countDistinct("slot").alias("d")).collect()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert all((r["a"], r["b"], r["d"]) == (0, r["n"] - 1, r["n"]) for r in out) and sum(r["n"] for r in out) == 40_000
+    assert seen[0].where("doc_id = 7").select("_range").distinct().count() > 1
+
+
 def test_encoders(spark):
     import public_tokenizers as p
     from tokenizers import Tokenizer
@@ -332,6 +344,18 @@ def test_embeddings_of_ids_in_steps(spark, monkeypatch):
     assert {x["vec_id"]: (x["n_links"], x["component_id"]) for x in embeddings.near_vectors(df).collect()} == brute.vectors(rows)
 
 
+def test_embeddings_of_repeated_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.999, 0.01, 0.0]
+    rows = [(7, a), (7, b), (8, c), (9, a), (9, [0.01, 0.999, 0.0]), (7, a), (3, [0.0, 0.0, 1.0])]
+    got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = brute.vectors([(str(k), v) for k, (_, v) in enumerate(rows)])
+    classes = {}
+    for k, (i, _) in enumerate(rows):
+        classes.setdefault(want[str(k)][1], []).append(i)
+    expected = [(i, want[str(k)][0], min(classes[want[str(k)][1]])) for k, (i, _) in enumerate(rows)]
+    assert sorted((x["vec_id"], x["n_links"], x["component_id"]) for x in got) == sorted(expected)
+
+
 def test_alignment():
     assert lines.aligned(list("abcxdef"), list("abcydef")) == [(0, 0), (1, 1), (2, 2), (4, 4), (5, 5), (6, 6)]
     assert lines.aligned([1, 2, 1, 2, 9], [7, 1, 2, 1]) == [(0, 1), (1, 2), (2, 3)]
