@@ -20,7 +20,7 @@ from evstream.llm.minhash import mixed
 
 ORDER = 2  # longest n-gram
 ADDED = 0.1  # of the base score
-BLOCK = 2_000_000  # tokens of a block; a longer document goes on in the next one
+BLOCK = 1_000_000  # tokens of a block; a longer document goes on in the next one
 RANGE = 2_000_000  # tokens of the corpus for each range of hashes, so that a range fits in a task
 READ = 1 << 22  # bytes of a text taken apart at once
 DEEPEST = 15  # bucket of contexts seen 2 ** 14 times or more
@@ -143,7 +143,7 @@ class _Block:
                     before = mixed(np.array([before * np.uint64(0x9E3779B97F4A7C15)]) + BEFORE + np.uint64(k + 1))[0]
             keys, at = np.unique(gram, return_inverse=True)
             self.keys.append(keys)
-            self.at.append(at)
+            self.at.append(at.astype(np.int32))
 
     def counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """How often each key stands in documents to count, and in those that weights are learned from."""
@@ -329,7 +329,10 @@ def _scores(order: int, tokens: int, docs: int, vocabulary: int, weights: dict[i
             bucket, p = _estimates(b, tables, tokens, docs, vocabulary)
             kinds, at = np.unique(bucket, return_inverse=True)
             w = np.array([weights.get(int(k), start_weights(int(k), order)) for k in kinds]).reshape(len(kinds), order + 1)
-            each = np.log10((w[at].T * p).sum(0)) * b.counted
+            mixed_p = np.zeros(len(at))
+            for k in range(order + 1):
+                mixed_p += w[:, k][at] * p[k]
+            each = np.log10(mixed_p) * b.counted
             count = tables[0][b.at[0]]
             base = np.log10((count + ADDED) / (tokens + ADDED * (vocabulary + 1))) * b.counted
             sums = [np.add.reduceat(x, b.start) for x in (b.counted.astype(np.int64), ((count > 0) & b.counted).astype(np.int64), base, each)]
