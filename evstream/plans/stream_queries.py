@@ -185,19 +185,52 @@ def stream_late_totals(t):
     return late.first_firing(_delivered(t), ["user_id"], F.sum("c").alias("cents"))
 
 
+@query("stream_late_refire", f"""{LATE_STREAM_SQL},
+    p as (select user_id, window_start, window_end, -1 as arrival, sum(c) as part from l
+          where lateness = 'on_time' group by 1, 2, 3
+          union all select user_id, window_start, window_end, arrival, sum(c) from l
+          where lateness = 'refire' group by 1, 2, 3, 4)
+    select user_id, window_start, window_end, row_number() over w as firing, cast(sum(part) over w as bigint) as cents
+    from p window w as (partition by user_id, window_start order by arrival)""")
+def stream_late_refire(t):
+    """Totals of every user and hour, put out again with every delivery that corrects them."""
+    return _delivered_to(t, lambda rows_: jobs.refiring_totals(
+        rows_, "ts", ["user_id"], F.col("c"), "3 hours", "1 hour", "3 hours", "cents").drop("_e"), closed=True)
+
+
+@query("stream_late_top3", f"""{LATE_STREAM_SQL},
+    p as (select user_id, window_end, -1 as arrival, count(*) as part from l where lateness = 'on_time' group by 1, 2
+          union all select user_id, window_end, arrival, count(*) from l where lateness = 'refire' group by 1, 2, 3),
+    f as (select window_end, arrival, row_number() over (partition by window_end order by arrival) as firing
+          from (select distinct window_end, arrival from p)),
+    c as (select f.window_end, f.firing, p.user_id, cast(sum(p.part) as bigint) as cnt
+          from f join p on p.window_end = f.window_end and p.arrival <= f.arrival group by all)
+    select window_end, firing, cast(row_number() over w as int) as rank, user_id, cnt from c
+    window w as (partition by window_end, firing order by cnt desc, user_id) qualify row_number() over w <= 3""")
+def stream_late_top3(t):
+    """The three busiest users of every hour, ranked again with every delivery that has late rows."""
+    return _delivered_to(t, lambda rows_: jobs.refiring_top(
+        rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours", 3, lanes=4), closed=True)
+
+
 def _delivered(t):
-    """The events in three deliveries, each a micro-batch of one query."""
+    """The events in three deliveries, with what a watermark makes of each row."""
+    return _delivered_to(t, lambda rows_: jobs.split_late(rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours"))
+
+
+def _delivered_to(t, job, closed: bool = False):
+    """What ``job`` makes of the events in three deliveries, each a micro-batch of one query."""
     folder = scratch_path(prepare_streaming(t.spark), "deliveries")
     rows_ = tq.shifted_times(t.events)
     ids = t.events.agg(F.max("event_id") + 1).first()[0] or 1
     number = F.call_function("div", F.col("event_id") * DELIVERIES, F.lit(ids))
     rows_.limit(0).write.parquet(f"{folder}/source")
-    split = jobs.split_late(
-        t.spark.readStream.schema(rows_.schema).parquet(f"{folder}/source"),
-        "ts", "user_id", "3 hours", "1 hour", "3 hours")
+    source = t.spark.readStream.schema(rows_.schema).parquet(f"{folder}/source")
+    end = Closing(rows_, "ts") if closed else None
+    out = job(end.follow(source) if end else source)
     for n in range(DELIVERIES):
         rows_.where(number == n).write.mode("append").parquet(f"{folder}/source")
-        told = run_to_table(split, "late", folder=folder, source=t.events)
+        told = run_to_table(out, "late", folder=folder, source=t.events, closing=end if n == DELIVERIES - 1 else None)
     return told
 
 

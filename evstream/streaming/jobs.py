@@ -59,11 +59,12 @@ def _process(df, keys, processor, out: list[T.StructField], mode: str) -> DataFr
 
 
 def _ordered(df, keys, processor_cls, order, carried, out, **args) -> DataFrame:
-    """Run an event-order processor over ``carried`` columns; ``order`` follows ``_us``."""
+    """Run an event-order processor over ``carried`` columns; ``order`` follows ``_us``. Rows
+    without an event time have no place in the order and take no part."""
     needed = [US, *order, *[c for c in carried if c not in order]]
     fields = T.StructType(_fields(df, *needed))
     ts = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    slim = df.select(*keys, *ts, *[c for c in needed if c not in keys])
+    slim = df.where(F.col(US).isNotNull()).select(*keys, *ts, *[c for c in needed if c not in keys])
     return _process(slim, keys, processor_cls(fields, [US, *order], **args), out, EVENT_TIME)
 
 
@@ -85,35 +86,59 @@ def unique_visitors(df: DataFrame, ts: str, user: str, size: str) -> DataFrame:
     return plain_times(per_window.select(F.col("w.end").alias("window_end"), "uv"))
 
 
+def _best(df: DataFrame, keys: Sequence[str], item: str, n: int, again: str | None = None) -> DataFrame:
+    fields = [*_fields(df, item), T.StructField("cnt", T.LongType())]
+    best = p.BestOfWindow(n, item, "cnt", T.StructType(fields), None if again is None else micros(again))
+    out = [*_long("firing"), T.StructField("rank", T.IntegerType()), *fields]
+    return _process(df.select(*keys, item, "cnt"), keys, best, out, EVENT_TIME)
+
+
+def _best_in_lanes(counts: DataFrame, item: str, n: int, lanes: int, again: str | None = None) -> DataFrame:
+    """``_e, firing, rank, item, cnt``: the best of each of ``lanes`` groups of items first, by many
+    tasks, then the best of those few."""
+    lane = F.pmod(F.hash(item), F.lit(lanes)).alias("_lane")
+    few = _best(counts.select("_e", lane, item, "cnt"), ["_e", "_lane"], item, n, again)
+    return _best(few, ["_e"], item, n, again)
+
+
 def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, lanes: int = 256) -> DataFrame:
-    """Top ``n`` per sliding window, put out when the window closes.
+    """Top ``n`` per sliding window, put out when the window closes, ties to the smaller key.
 
-    The keys of a window are ranked in ``lanes`` groups first, so that no state row gathers more
-    than a ``lanes``-th of them, and the few best of each group are ranked again.
+    A state row holds ``n`` keys, whatever the number of keys in a window: they are ranked in
+    ``lanes`` groups first, and the few best of each group are ranked again.
     """
-    counts = _slide_counts(df, ts, size, slide, [key])
+    counts = _slide_counts(df, ts, size, slide, [key]).select(epoch_us("w.end").alias("_e"), key, "cnt")
+    best = _best_in_lanes(counts, key, n, lanes)
+    return best.select(from_epoch_us("_e").alias("window_end"), "rank", key, "cnt")
 
-    def best(ranked: Column) -> Column:
-        return F.slice(F.sort_array(ranked), 1, n)
 
-    entry = F.struct((-F.col("cnt")).alias("neg"), F.col(key).alias("key"))
-    lane = F.pmod(F.hash(key), F.lit(lanes))
-    # F.window over a window column keeps the event time and regroups by the same window.
-    first = counts.groupBy(F.window("w", slide).alias("w"), lane.alias("lane")).agg(
-        best(F.collect_list(entry)).alias("few")
-    )
-    second = first.groupBy(F.window("w", slide).alias("w")).agg(
-        best(F.flatten(F.collect_list("few"))).alias("top")
-    )
-    ranked = second.select(F.col("w.end").alias("window_end"), F.posexplode("top").alias("pos", "r"))
-    return plain_times(
-        ranked.select(
-            "window_end",
-            (F.col("pos") + 1).alias("rank"),
-            F.col("r.key").alias(key),
-            (-F.col("r.neg")).alias("cnt"),
-        )
-    )
+def refiring_totals(
+    df: DataFrame, ts: str, keys: Sequence[str], value: Column, bound: str, window: str, lateness: str, out: str = "total"
+) -> DataFrame:
+    """Sums of whole numbers per key and tumbling window that late rows correct: a row when the
+    watermark (``bound`` behind the latest time) passes the window's end, ``firing`` 1, and one after
+    every micro-batch with rows for it, until it is ``lateness`` past. Later rows are left out, as
+    are those without an event time. The last firing of a window is the last word on it.
+    """
+    keys, width = list(keys), micros(window)
+    timed = with_watermark(df.withColumn(ts, F.col(ts).cast("timestamp")), ts, bound)
+    timed = _before_end(timed, ts).where(F.col(ts).isNotNull())
+    # Without the event-time column Spark does not look for late rows itself.
+    slim = timed.select(*keys, ((floor_div(epoch_us(ts), width) + 1) * width).alias("_e"), value.cast("bigint").alias("_v"))
+    fired = _process(
+        _summed(slim, [*keys, "_e"]), [*keys, "_e"], p.RefiringWindow("_v", micros(lateness)), _long("firing", out), EVENT_TIME)
+    return fired.withColumns({"window_start": from_epoch_us(F.col("_e") - width), "window_end": from_epoch_us("_e")})
+
+
+def refiring_top(
+    df: DataFrame, ts: str, key: str, bound: str, window: str, lateness: str, n: int, value: Column | None = None, lanes: int = 256
+) -> DataFrame:
+    """``window_end, firing, rank, key, cnt``: the top ``n`` of each window as it closes, and the whole
+    ranking anew after every micro-batch with late rows for it. Counts, or sums of a ``value`` that is
+    never negative."""
+    counts = refiring_totals(df, ts, [key], F.lit(1) if value is None else value, bound, window, lateness, "cnt")
+    best = _best_in_lanes(counts.select("_e", key, "cnt"), key, n, lanes, lateness)
+    return best.select(from_epoch_us("_e").alias("window_end"), "firing", "rank", key, "cnt")
 
 
 def _slide_counts(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[str]) -> DataFrame:
@@ -130,6 +155,19 @@ def slide_counts(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[s
         counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "cnt"))
 
 
+def _summed(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """``rows`` of ``group`` and ``_v`` with ``_v`` summed up within every batch of rows of a task."""
+    group = list(group)
+
+    def summed(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b]).group_by(group).aggregate([("_v", "sum")])
+            for part in t.rename_columns([*group, "_v"] if t.column_names[0] == group[0] else ["_v", *group]).to_batches():
+                yield part.select([*group, "_v"])
+
+    return rows.mapInArrow(summed, rows.schema)
+
+
 def early_totals(
     df: DataFrame, ts: str, size: str, keys: Sequence[str], value: str, offset: str | None = None,
     forget: str | None = None,
@@ -146,13 +184,7 @@ def early_totals(
     rows = rows.select(epoch_us("_w.start").alias("_a"), epoch_us("_w.end").alias("_b"), *keys, "_v")
     group = ["_a", "_b", *keys]
 
-    def summed(batches):
-        for b in batches:
-            t = pa.Table.from_batches([b]).group_by(group).aggregate([("_v", "sum")])
-            for part in t.rename_columns([*group, "_v"] if t.column_names[0] == "_a" else ["_v", *group]).to_batches():
-                yield part.select([*group, "_v"])
-
-    partial = rows.mapInArrow(summed, rows.schema)
+    partial = _summed(rows, group)
     mode = PROCESSING_TIME if forget else BY_ARRIVAL
     out = _process(partial, group, p.EarlyTotal("_v", forget and micros(forget) // 1000), _long("firing", "total"), mode)
     return out.select(

@@ -9,7 +9,6 @@ processor with their event time in ``_us`` (microseconds), added by :mod:`.jobs`
 from __future__ import annotations
 
 import heapq
-import math
 from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain, islice
@@ -382,6 +381,124 @@ class LateTag(Processor):
             yield self.row(*key, *[row[c] for c in self.carried], self.names[tag])
 
 
+class RefiringWindow(Processor):
+    """Totals of a key and window: put out when the watermark passes the window's end and again
+    after every micro-batch that brings rows for it within ``lateness`` more.
+
+    The key's last field is the window's end in microseconds. Firings are numbered from 1; rows that
+    come later still are left out, and the state goes with a timer. A window whose first rows come
+    late fires with them. Rows are partial sums ``value``, so a hot key sends few of them.
+    """
+
+    def __init__(self, value: str, lateness: int):
+        self.value, self.lateness = value, lateness
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "firing bigint, total bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        mark, end = timerValues.getCurrentWatermarkInMs() * 1000, key[-1]
+        if mark > 0 and end + self.lateness <= mark:
+            return
+        firing, total = self.held.get() if self.held.exists() else (0, None)
+        if mark > 0 and end <= mark and firing == 0 and self.held.exists():
+            # Due in this very micro-batch: what came in time is told first.
+            self.handle.deleteTimer(_ms_up(end))
+            firing = 1
+            yield self.row(*key, firing, total)
+        if not self.held.exists():
+            self.handle.registerTimer(_ms_up(end + self.lateness))
+            if not (mark > 0 and end <= mark):
+                self.handle.registerTimer(_ms_up(end))
+        for row in rows:
+            if row[self.value] is not None:
+                total = (total or 0) + row[self.value]
+        if mark > 0 and end <= mark:
+            firing += 1
+            yield self.row(*key, firing, total)
+        self.held.update((firing, total))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if not self.held.exists():
+            return
+        firing, total = self.held.get()
+        if firing == 0:
+            firing = 1
+            self.held.update((firing, total))
+            yield self.row(*key, firing, total)
+        if expiredTimerInfo.getExpiryTimeInMs() >= _ms_up(key[-1] + self.lateness):
+            self.held.clear()
+
+
+class BestOfWindow(Processor):
+    """The ``n`` greatest counts of a window, ties to the smaller item: a heap of ``n`` rows as state.
+
+    The key's first field is the window's end in microseconds. A new count of an item takes the place
+    of the old one. Counts never fall, so whatever was pushed out and is not told anew stays below
+    what is held, and ``n`` rows are enough. With ``again`` None the best are put out once, when
+    the watermark passes the end; else after every micro-batch that brought counts, numbered, until
+    the end is ``again`` microseconds past.
+    """
+
+    def __init__(self, n: int, item: str, count: str, fields: T.StructType, again: int | None = None):
+        self.n, self.item, self.count, self.fields, self.again = n, item, count, fields, again
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getListState("best", self.fields)
+        self.firing = handle.getValueState("firing", "n bigint")
+
+    def _merged(self, rows) -> list[tuple]:
+        held = {r[0]: r[1] for r in self.best.get()}
+        heap: list[tuple] = []  # the least of those held stands first
+        for item, count in chain(held.items(), ((r[self.item], r[self.count]) for r in rows)):
+            if item is None or count is None:
+                continue
+            for i, (c, x) in enumerate(heap):
+                if x.value == item:
+                    heap[i] = (max(c, count), x)
+                    heapq.heapify(heap)
+                    break
+            else:
+                entry = (count, _Later(item))
+                if len(heap) < self.n:
+                    heapq.heappush(heap, entry)
+                elif heap[0] < entry:
+                    heapq.heapreplace(heap, entry)
+        return [(x.value, c) for c, x in sorted(heap, reverse=True)]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        best = self._merged(rows)
+        self.best.put(best)
+        self.handle.registerTimer(_ms_up(key[0] + (self.again or 0)))
+        if self.again is not None:
+            firing = (self.firing.get()[0] if self.firing.exists() else 0) + 1
+            self.firing.update((firing,))
+            yield from (self.row(*key, firing, i, item, count) for i, (item, count) in enumerate(best, 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.again is None:
+            yield from (self.row(*key, 1, i, item, count) for i, (item, count) in enumerate((tuple(r) for r in self.best.get()), 1))
+        self.best.clear()
+        self.firing.clear()
+
+
+class _Later:
+    """Orders items the other way round."""
+
+    __slots__ = ("value",)
+
+    def __init__(self, value):
+        self.value = value
+
+    def __lt__(self, other):
+        return other.value < self.value
+
+    def __eq__(self, other):
+        return self.value == other.value
+
+
 class RepeatedFailure(EventOrderProcessor):
     """A failure less than ``within`` microseconds after the previous row, itself a failure."""
 
@@ -621,7 +738,9 @@ class MarkedWindow(Processor):
     def handleInputRows(self, key, rows, timerValues):
         mark = timerValues.getCurrentWatermarkInMs() * 1000
         for row in rows:
-            start = math.floor(row[self.us] / self.size) * self.size
+            if row[self.us] is None:
+                continue
+            start = row[self.us] // self.size * self.size
             if start + self.size <= mark:
                 continue
             held = self.least.getValue((start,))[0] if self.least.containsKey((start,)) else None
