@@ -1,4 +1,8 @@
-"""Alerts and caps that depend on the earlier rows of a key."""
+"""Alerts and caps that depend on the earlier rows of a key.
+
+Rows without an event time (the first order column) have no place in the order and take no part, here
+as in the streaming forms.
+"""
 
 from __future__ import annotations
 
@@ -12,11 +16,15 @@ from evstream.operators.timeline import adjacent, nearest, running_count, runnin
 PAID, LATE, UNPAID, NO_CREATE = "paid", "late", "timeout", "no create"
 
 
+def _timed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    return df.where(F.col(order[0]).isNotNull())
+
+
 def jump_alert(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float
 ) -> DataFrame:
     """Rows whose value differs from the key's previous one by more than ``threshold``."""
-    rows = timeline(df, keys, order).forward(include_current=False, previous=adjacent(value)).done()
+    rows = timeline(_timed(df, order), keys, order).forward(include_current=False, previous=adjacent(value)).done()
     return rows.where(F.abs(F.col(value) - F.col("previous")) > threshold)
 
 
@@ -25,7 +33,7 @@ def rise_alert(
 ) -> DataFrame:
     """One alert per run without a fall whose first rise is not followed by a fall for
     ``lasting``. Equal values neither start nor end a run."""
-    rows = timeline(df, keys, order).forward(include_current=False, _prev=adjacent(value))
+    rows = timeline(_timed(df, order), keys, order).forward(include_current=False, _prev=adjacent(value))
     us = epoch_us(order[0])
     rows = rows.with_rows(
         rows.rows.withColumns(
@@ -57,7 +65,7 @@ def daily_cap(
     ``warn``; later rows of the day are left out. Spark discards them before the shuffle."""
     day = F.to_date(F.col(order[0]))
     w = Window.partitionBy(*keys, "_day").orderBy(*order)
-    ranked = df.withColumn("_day", day).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap + 1)
+    ranked = _timed(df, order).withColumn("_day", day).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap + 1)
     return ranked.withColumn("tag", F.when(F.col("_rn") <= cap, "pass").otherwise("warn")).drop("_day", "_rn")
 
 
@@ -65,7 +73,7 @@ def repeated_failure(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column, within: str
 ) -> DataFrame:
     """Failures less than ``within`` after the key's previous row, that row a failure as well."""
-    rows = df.withColumn("_failed", failed)
+    rows = _timed(df, order).withColumn("_failed", failed)
     rows = timeline(rows, keys, order).forward(
         include_current=False, _prev=adjacent(F.when(F.col("_failed"), F.col(order[0])))
     ).done()
@@ -81,7 +89,7 @@ def order_status(
     """One status per create, from the first pay after it: ``paid`` before ``limit`` has passed,
     ``late`` from then on, ``timeout`` without one. A pay before any create is ``no create``."""
     ts = order[0]
-    used = df.where(created | paid).withColumns({"_created": created, "_paid": paid})
+    used = _timed(df, order).where(created | paid).withColumns({"_created": created, "_paid": paid})
     rows = timeline(used, keys, order)
     rows = rows.forward(_creates=running_sum(F.col("_created").cast("int"))).backward(
         include_current=False, _pay=nearest(F.when(F.col("_paid"), F.col(ts)))
@@ -105,7 +113,7 @@ def order_check(
     """The fixed check: for every create with no pay before it, whether a pay has come by the
     time ``limit`` has passed, that moment included."""
     ts = order[0]
-    used = df.where(created | paid).withColumns({"_created": created, "_paid": paid})
+    used = _timed(df, order).where(created | paid).withColumns({"_created": created, "_paid": paid})
     rows = timeline(used, keys, order)
     rows = rows.forward(_pays=running_sum(F.col("_paid").cast("int"))).backward(
         include_current=False, _pay=nearest(F.when(F.col("_paid"), F.col(ts)))

@@ -30,7 +30,7 @@ def match_sequence(
 ) -> DataFrame:
     """Every row that fits the first step, with the rows that complete the sequence.
 
-    The order's first column is the event time. Result: the keys, one struct per step (order and
+    The order's first column is the event time; rows without one take no part. Result: the keys, one struct per step (order and
     ``keep`` columns), ``matched`` (steps reached in time) and ``tag``: ``match`` when all steps
     came less than ``within`` after the first, else ``timeout``.
 
@@ -40,7 +40,7 @@ def match_sequence(
     if len(steps) < 2:
         raise ValueError("a sequence has at least two steps")
     cols = [*order, *[c for c in keep if c not in order]]
-    flagged = df.withColumns({f"_is{i}": s.when for i, s in enumerate(steps)})
+    flagged = df.where(F.col(order[0]).isNotNull()).withColumns({f"_is{i}": s.when for i, s in enumerate(steps)})
     if not any(s.strict for s in steps):
         # Rows that fit no step cannot stand between two: leave them out before the shuffle.
         flagged = flagged.where(reduce(lambda a, b: a | b, [s.when for s in steps]))

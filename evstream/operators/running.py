@@ -191,8 +191,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 def bitmap_distinct_running(
     df: DataFrame, ts: str, size: str, value: str, order: Sequence[str], out: str = "uv"
 ) -> DataFrame:
-    """For every row, the bitmap estimate of distinct values in its window so far."""
-    rows = df.select(*df.columns, tumbling(F.col(ts), size).alias("_w")).select(
+    """For every row, the bitmap estimate of distinct values in its window so far. Rows without an
+    event time are in no window and left out."""
+    rows = df.where(F.col(ts).isNotNull()).select(*df.columns, tumbling(F.col(ts), size).alias("_w")).select(
         *df.columns,
         F.col("_w.end").alias("window_end"),
         bitmap_offset(value).alias("_bit"),

@@ -190,12 +190,13 @@ def stream_late_totals(t):
           where lateness = 'on_time' group by 1, 2, 3
           union all select user_id, window_start, window_end, arrival, sum(c) from l
           where lateness = 'refire' group by 1, 2, 3, 4)
-    select user_id, window_start, window_end, row_number() over w as firing, cast(sum(part) over w as bigint) as cents
+    select user_id, window_start, window_end, row_number() over w as firing, cast(sum(part) over w as bigint) as cents,
+           arrival >= 0 as late
     from p window w as (partition by user_id, window_start order by arrival)""")
 def stream_late_refire(t):
     """Totals of every user and hour, put out again with every delivery that corrects them."""
     return _delivered_to(t, lambda rows_: jobs.refiring_totals(
-        rows_, "ts", ["user_id"], F.col("c"), "3 hours", "1 hour", "3 hours", "cents").drop("_e"), closed=True)
+        rows_, "ts", ["user_id"], F.col("c"), "3 hours", "1 hour", "3 hours", "cents"), closed=True)
 
 
 @query("stream_late_top3", f"""{LATE_STREAM_SQL},

@@ -87,18 +87,18 @@ def unique_visitors(df: DataFrame, ts: str, user: str, size: str) -> DataFrame:
 
 
 def _best(df: DataFrame, keys: Sequence[str], item: str, n: int, again: str | None = None) -> DataFrame:
-    fields = [*_fields(df, item), T.StructField("cnt", T.LongType())]
-    best = p.BestOfWindow(n, item, "cnt", T.StructType(fields), None if again is None else micros(again))
-    out = [*_long("firing"), T.StructField("rank", T.IntegerType()), *fields]
-    return _process(df.select(*keys, item, "cnt"), keys, best, out, EVENT_TIME)
+    fields, late = [*_fields(df, item), T.StructField("cnt", T.LongType())], T.StructField("_late", T.BooleanType())
+    best = p.BestOfWindow(n, item, "cnt", T.StructType(fields), None if again is None else micros(again), "_late")
+    out = [*_long("firing"), T.StructField("rank", T.IntegerType()), *fields, late]
+    return _process(df.select(*keys, item, "cnt", "_late"), keys, best, out, EVENT_TIME)
 
 
 def _best_in_lanes(counts: DataFrame, item: str, n: int, lanes: int, again: str | None = None) -> DataFrame:
     """``_e, firing, rank, item, cnt``: the best of each of ``lanes`` groups of items first, by many
     tasks, then the best of those few."""
     lane = F.pmod(F.hash(item), F.lit(lanes)).alias("_lane")
-    few = _best(counts.select("_e", lane, item, "cnt"), ["_e", "_lane"], item, n, again)
-    return _best(few, ["_e"], item, n, again)
+    few = _best(counts.select("_e", lane, item, "cnt", "_late"), ["_e", "_lane"], item, n, again)
+    return _best(few, ["_e"], item, n, again).drop("_late")
 
 
 def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, lanes: int = 256) -> DataFrame:
@@ -107,7 +107,8 @@ def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, la
     A state row holds ``n`` keys, whatever the number of keys in a window: they are ranked in
     ``lanes`` groups first, and the few best of each group are ranked again.
     """
-    counts = _slide_counts(df, ts, size, slide, [key]).select(epoch_us("w.end").alias("_e"), key, "cnt")
+    counts = _slide_counts(df, ts, size, slide, [key]).select(
+        epoch_us("w.end").alias("_e"), key, "cnt", F.lit(False).alias("_late"))
     best = _best_in_lanes(counts, key, n, lanes)
     return best.select(from_epoch_us("_e").alias("window_end"), "rank", key, "cnt")
 
@@ -126,8 +127,10 @@ def refiring_totals(
     # Without the event-time column Spark does not look for late rows itself.
     slim = timed.select(*keys, ((floor_div(epoch_us(ts), width) + 1) * width).alias("_e"), value.cast("bigint").alias("_v"))
     fired = _process(
-        _summed(slim, [*keys, "_e"]), [*keys, "_e"], p.RefiringWindow("_v", micros(lateness)), _long("firing", out), EVENT_TIME)
-    return fired.withColumns({"window_start": from_epoch_us(F.col("_e") - width), "window_end": from_epoch_us("_e")})
+        _summed(slim, [*keys, "_e"]), [*keys, "_e"], p.RefiringWindow("_v", micros(lateness)),
+        [*_long("firing", out), T.StructField("late", T.BooleanType())], EVENT_TIME)
+    return fired.select(
+        *keys, from_epoch_us(F.col("_e") - width).alias("window_start"), from_epoch_us("_e").alias("window_end"), "firing", out, "late")
 
 
 def refiring_top(
@@ -137,7 +140,8 @@ def refiring_top(
     ranking anew after every micro-batch with late rows for it. Counts, or sums of a ``value`` that is
     never negative."""
     counts = refiring_totals(df, ts, [key], F.lit(1) if value is None else value, bound, window, lateness, "cnt")
-    best = _best_in_lanes(counts.select("_e", key, "cnt"), key, n, lanes, lateness)
+    counts = counts.select(epoch_us("window_end").alias("_e"), key, "cnt", F.col("late").alias("_late"))
+    best = _best_in_lanes(counts, key, n, lanes, lateness)
     return best.select(from_epoch_us("_e").alias("window_end"), "firing", "rank", key, "cnt")
 
 
@@ -272,12 +276,13 @@ def split_late(
 
 def jump_alert(df, keys, order, value, threshold) -> DataFrame:
     out = _long(US) + _fields(df, *order) + [T.StructField(n, T.DoubleType()) for n in (value, "previous")]
+    df = df.withColumn(value, F.col(value).cast("double"))  # as the state holds it
     return _ordered(df, keys, p.JumpAlert, order, [value], out, value=value, threshold=threshold).drop(US)
 
 
 def rise_alert(df, keys, order, value, lasting) -> DataFrame:
     out = _ordered(
-        df, keys, p.RiseAlert, order, [value], _long("_a", "_b"), value=value, lasting=micros(lasting)
+        df.withColumn(value, F.col(value).cast("double")), keys, p.RiseAlert, order, [value], _long("_a", "_b"), value=value, lasting=micros(lasting)
     )
     return out.select(*keys, from_epoch_us("_a").alias("rise_start"), from_epoch_us("_b").alias("alert_time"))
 
@@ -288,15 +293,33 @@ def daily_cap(df, keys, order, cap) -> DataFrame:
     return capped.select(*keys, from_epoch_us(US).alias("ts"), *order, "tag")
 
 
-def running_distinct_bitmap(df, ts, size, value, order, out="uv") -> DataFrame:
-    """For every row, the bitmap estimate of distinct values in its window so far. The rows of a
-    window are taken in order, so by one task."""
+PAGE_BITS = 1 << 20  # bits of one page of a window's bitmap
+SLICES = 16  # parts of a window that are counted by tasks of their own
+
+
+def running_distinct_bitmap(
+    df, ts, size, value, order, out="uv", page_bits: int = PAGE_BITS, slices: int = SLICES
+) -> DataFrame:
+    """For every row, the bitmap estimate of distinct values in its window so far.
+
+    The rows of a window are spread twice: by the page of the bitmap their bit lies in, where
+    first-seen bits are marked, and by time into slices, which are counted by themselves and then
+    raised by the totals of the slices before.
+    ``order`` are whole-number columns that order rows of one time.
+    """
     width = micros(size)
-    flagged = df.withColumns({"_end": (floor_div(F.col(US), width) + 1) * width, "_bit": bitmap_offset(value)})
-    flagged = flagged.withColumn("_until", F.col("_end"))
-    held = _ordered(
-        flagged, ["_end"], p.RunningDistinct, order, ["_bit", "_until"], _long(US) + _fields(df, *order) + _long(out),
-        value="_bit", end="_until")
+    bit = df.withColumns({"_end": (floor_div(F.col(US), width) + 1) * width, "_at": bitmap_offset(value)})
+    paged = bit.withColumns({"_page": F.coalesce(floor_div(F.col("_at"), page_bits), F.lit(-1)),
+                             "_bit": F.pmod(F.col("_at"), F.lit(page_bits)), "_until": F.col("_end")})
+    columns = _long(US) + _fields(df, *order)
+    flagged = _ordered(paged, ["_end", "_page"], p.FirstSeen, order, ["_bit", "_until"], columns + _long("_fresh"),
+                       bit="_bit", end="_until")
+    part = F.least(floor_div(F.col(US) - (F.col("_end") - width), width // slices), F.lit(slices - 1))
+    counted = _ordered(
+        flagged.withColumn("_slice", part), ["_end", "_slice"], p.SliceCount, order, ["_fresh"],
+        [T.StructField("_carry", T.BooleanType()), *columns, *_long("_n")], fresh="_fresh", window=width, slices=slices)
+    held = _ordered(counted, ["_end", "_slice"], p.Carry, order, ["_carry", "_n"], columns + _long(out),
+                    carry="_carry", n="_n", window=width)
     return held.select(*order, from_epoch_us("_end").alias("window_end"), out)
 
 

@@ -173,6 +173,7 @@ class EventOrderProcessor(Processor):
         rows = T.StructType([T.StructField("rows", T.ArrayType(self.fields))])
         self.runs = handle.getMapState("runs", first, rows)
         self.memory = handle.getValueState("memory", self.state)
+        self.timer = handle.getValueState("timer", "us bigint")
         self.names = self.fields.fieldNames()
         self.at = [self.names.index(c) for c in self.order]
 
@@ -195,11 +196,22 @@ class EventOrderProcessor(Processor):
             first = self._store(run)
             earliest = first if earliest is None else min(earliest, first)
         if earliest is not None:
-            self._wake(earliest)
+            held = self.timer.get()[0] if self.timer.exists() else None
+            if held is None or earliest < held:
+                self._wake(held, earliest)
         return iter(())
 
-    def _wake(self, us: int) -> None:
-        self.handle.registerTimer(_ms_up(us))
+    def _wake(self, held: int | None, us: int | None) -> None:
+        """Let the key's one timer stand at ``us``: the first waiting row or the first time-out still
+        open. What it stood at before, ``held``, is deleted, so that nothing fires for an item that was
+        resolved meanwhile."""
+        if held is not None and (us is None or _ms_up(held) != _ms_up(us)):
+            self.handle.deleteTimer(_ms_up(held))
+        if us is None:
+            self.timer.clear()
+        elif us != held:
+            self.handle.registerTimer(_ms_up(us))
+            self.timer.update((us,))
 
     def _due(self, passed: int, left: list[int]) -> Iterator[tuple]:
         """The waiting rows up to ``passed`` in order, merged from the runs and taken out of the
@@ -241,8 +253,11 @@ class EventOrderProcessor(Processor):
         limit = self.deadline(memory)
         if limit is not None:
             left.append(limit)
-        if left:
-            self._wake(min(left))
+        held = self.timer.get()[0] if self.timer.exists() else None
+        if held is not None and held <= passed:
+            self.timer.clear()  # it is this one that fires
+            held = None
+        self._wake(held, min(left, default=None))
 
     def load(self, held: tuple):
         """What ``on_row`` and ``on_time`` work on, from what the state holds."""
@@ -330,37 +345,117 @@ class DailyCap(EventOrderProcessor):
         return (today, min(n, self.cap + 1))
 
 
-class RunningDistinct(EventOrderProcessor):
-    """For every row the number of different ``value`` seen; forgotten when ``end`` has passed."""
+class FirstSeen(EventOrderProcessor):
+    """Marks the rows whose bit of a page was not set before: key (window's end, page, ...).
 
-    state, initial = "n bigint, until bigint", (0, None)
+    The page is held as words of 64 bits, those in use alone, and forgotten when the window's end has
+    passed. Rows keep their order columns; ``fresh`` is 1 or 0.
+    """
+
+    state, initial = "until bigint", (None,)
 
-    def __init__(self, fields, order, value: str, end: str):
+    def __init__(self, fields, order, bit: str, end: str):
         super().__init__(fields, order)
-        self.value, self.end = value, end
+        self.bit, self.end = bit, end
 
     def init(self, handle):
         super().init(handle)
-        self.seen = handle.getMapState("seen", "v bigint", "n bigint")
+        self.page = handle.getMapState("page", "word bigint", "bits bigint")
+
+    def load(self, held):
+        return [held[0], {}]
+
+    def save(self, memory):
+        for word, (old, bits) in memory[1].items():
+            if bits != old:
+                self.page.updateValue((word,), (bits - (1 << 64) if bits >> 63 else bits,))
+        return (memory[0],)
 
     def on_row(self, key, memory, row, out):
-        n, _ = memory
-        value = (row[self.value],)
-        if value[0] is not None and not self.seen.containsKey(value):
-            n += 1
-            self.seen.updateValue(value, (n,))
-        out.append(self.row(*key, *[row[c] for c in self.order], n))
-        return (n, row[self.end])
+        bit, fresh = row[self.bit], 0
+        if bit is not None:
+            word, mask = bit >> 6, 1 << (bit & 63)
+            if word not in memory[1]:
+                bits = self.page.getValue((word,))[0] & (1 << 64) - 1 if self.page.containsKey((word,)) else 0
+                memory[1][word] = (bits, bits)
+            old, bits = memory[1][word]
+            if not bits & mask:
+                memory[1][word], fresh = (old, bits | mask), 1
+        memory[0] = row[self.end]
+        out.append(self.row(*key, *[row[c] for c in self.order], fresh))
+        return memory
 
     def on_time(self, key, memory, us, out):
-        n, until = memory
-        if until is not None and us + 1 >= until:
-            self.seen.clear()
-            until = None
-        return (n, until)
+        if memory[0] is not None and us + 1 >= memory[0]:
+            self.page.clear()
+            memory[0], memory[1] = None, {}
+        return memory
 
     def deadline(self, memory):
-        return memory[1]
+        return memory[0]
+
+
+class SliceCount(EventOrderProcessor):
+    """Counts ``fresh`` within a slice of a window: key (window's end, slice), slices numbered in order
+    of time. Every row comes out with the count so far in its slice; once the slice is over, a row
+    for each later slice carries its total there, with the time at which that slice starts.
+    Rows out: window's end, slice, ``carry`` (a total and no row), the order columns, n."""
+
+    state, initial = "n bigint, open boolean", (0, False)
+
+    def __init__(self, fields, order, fresh: str, window: int, slices: int):
+        super().__init__(fields, order)
+        self.fresh, self.slice, self.window, self.slices = fresh, window // slices, window, slices
+
+    def on_row(self, key, memory, row, out):
+        n = memory[0] + row[self.fresh]
+        out.append(self.row(*key, False, *[row[c] for c in self.order], n))
+        return (n, True)
+
+    def _over(self, key) -> int:
+        end, k = key
+        return end - self.window + (k + 1) * self.slice if k + 1 < self.slices else end
+
+    def on_time(self, key, memory, us, out):
+        n, open_ = memory
+        if not open_ or us + 1 < self._over(key):
+            return memory
+        end, k = key
+        blank = [None] * (len(self.order) - 1)
+        if n:
+            for later in range(k + 1, self.slices):
+                out.append(self.row(end, later, True, end - self.window + later * self.slice, *blank, n))
+        return (0, False)
+
+    def deadline(self, memory):
+        return None if not memory[1] else self._due_at
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self._due_at = self._over(key)
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+
+
+class Carry(EventOrderProcessor):
+    """Adds the totals of earlier slices to the counts within a slice: key (window's end, slice).
+    Totals bear the start of the slice, so they come before its rows, whose watermark has passed
+    all earlier slices."""
+
+    state, initial = "n bigint", (0,)
+
+    def __init__(self, fields, order, carry: str, n: str, window: int):
+        super().__init__(fields, order)
+        self.carry, self.n, self.window = carry, n, window
+
+    def _place(self, row):
+        # Carried totals have no other order columns than the time.
+        place = super()._place(row)
+        return tuple(-(1 << 62) if v is None else v for v in place)
+
+    def on_row(self, key, memory, row, out):
+        if row[self.carry]:
+            return (memory[0] + row[self.n],)
+        out.append(self.row(*key, *[row[c] for c in self.order], memory[0] + row[self.n]))
+        return memory
 
 
 class LateTag(Processor):
@@ -387,7 +482,7 @@ class RefiringWindow(Processor):
 
     The key's last field is the window's end in microseconds. Firings are numbered from 1; rows that
     come later still are left out, and the state goes with a timer. A window whose first rows come
-    late fires with them. Rows are partial sums ``value``, so a hot key sends few of them.
+    late fires with them. A row out ends with whether late rows brought it about. Rows are partial sums ``value``, so a hot key sends few of them.
     """
 
     def __init__(self, value: str, lateness: int):
@@ -406,7 +501,7 @@ class RefiringWindow(Processor):
             # Due in this very micro-batch: what came in time is told first.
             self.handle.deleteTimer(_ms_up(end))
             firing = 1
-            yield self.row(*key, firing, total)
+            yield self.row(*key, firing, total, False)
         if not self.held.exists():
             self.handle.registerTimer(_ms_up(end + self.lateness))
             if not (mark > 0 and end <= mark):
@@ -416,7 +511,7 @@ class RefiringWindow(Processor):
                 total = (total or 0) + row[self.value]
         if mark > 0 and end <= mark:
             firing += 1
-            yield self.row(*key, firing, total)
+            yield self.row(*key, firing, total, True)
         self.held.update((firing, total))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -426,7 +521,7 @@ class RefiringWindow(Processor):
         if firing == 0:
             firing = 1
             self.held.update((firing, total))
-            yield self.row(*key, firing, total)
+            yield self.row(*key, firing, total, False)
         if expiredTimerInfo.getExpiryTimeInMs() >= _ms_up(key[-1] + self.lateness):
             self.held.clear()
 
@@ -438,48 +533,64 @@ class BestOfWindow(Processor):
     of the old one. Counts never fall, so whatever was pushed out and is not told anew stays below
     what is held, and ``n`` rows are enough. With ``again`` None the best are put out once, when
     the watermark passes the end; else after every micro-batch that brought counts, numbered, until
-    the end is ``again`` microseconds past.
+    the end is ``again`` microseconds past. Counts that come in time and counts that late rows
+    corrected (``late``) are ranked one after the other if one micro-batch brings both.
+    Rows out: key, firing, rank, item, count, whether it was late.
     """
 
-    def __init__(self, n: int, item: str, count: str, fields: T.StructType, again: int | None = None):
-        self.n, self.item, self.count, self.fields, self.again = n, item, count, fields, again
+    def __init__(self, n: int, item: str, count: str, fields: T.StructType, again: int | None = None, late: str | None = None):
+        self.n, self.item, self.count, self.fields, self.again, self.late = n, item, count, fields, again, late
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.best = handle.getListState("best", self.fields)
         self.firing = handle.getValueState("firing", "n bigint")
 
-    def _merged(self, rows) -> list[tuple]:
-        held = {r[0]: r[1] for r in self.best.get()}
-        heap: list[tuple] = []  # the least of those held stands first
-        for item, count in chain(held.items(), ((r[self.item], r[self.count]) for r in rows)):
-            if item is None or count is None:
-                continue
-            for i, (c, x) in enumerate(heap):
-                if x.value == item:
-                    heap[i] = (max(c, count), x)
-                    heapq.heapify(heap)
-                    break
-            else:
-                entry = (count, _Later(item))
-                if len(heap) < self.n:
-                    heapq.heappush(heap, entry)
-                elif heap[0] < entry:
-                    heapq.heapreplace(heap, entry)
-        return [(x.value, c) for c, x in sorted(heap, reverse=True)]
+    def _put(self, heap: list[tuple], item, count) -> None:
+        """The least of the items in ``heap`` stands first and gives way."""
+        for i, (c, x) in enumerate(heap):
+            if x.value == item:
+                heap[i] = (max(c, count), x)
+                heapq.heapify(heap)
+                return
+        entry = (count, _Later(item))
+        if len(heap) < self.n:
+            heapq.heappush(heap, entry)
+        elif heap[0] < entry:
+            heapq.heapreplace(heap, entry)
+
+    def _merged(self, rows) -> tuple[list[tuple], list[tuple], set[bool]]:
+        """The best after the counts in time, those after the late ones too, and which of both came."""
+        heaps: tuple[list, list] = ([], [])
+        for r in self.best.get():
+            self._put(heaps[0], r[0], r[1])
+        came = set()
+        for r in rows:
+            if r[self.item] is not None and r[self.count] is not None:
+                late = bool(self.late and r[self.late])
+                came.add(late)
+                self._put(heaps[late], r[self.item], r[self.count])
+        ranked = [(x.value, c) for c, x in sorted(heaps[0], reverse=True)]
+        for c, x in heaps[1]:
+            self._put(heaps[0], x.value, c)
+        return ranked, [(x.value, c) for c, x in sorted(heaps[0], reverse=True)], came
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        best = self._merged(rows)
+        in_time, best, came = self._merged(rows)
         self.best.put(best)
         self.handle.registerTimer(_ms_up(key[0] + (self.again or 0)))
-        if self.again is not None:
-            firing = (self.firing.get()[0] if self.firing.exists() else 0) + 1
-            self.firing.update((firing,))
-            yield from (self.row(*key, firing, i, item, count) for i, (item, count) in enumerate(best, 1))
+        if self.again is None:
+            return
+        firing = self.firing.get()[0] if self.firing.exists() else 0
+        for late, ranked in ((False, in_time), (True, best)):
+            if late in came:
+                firing += 1
+                yield from (self.row(*key, firing, i, *entry, late) for i, entry in enumerate(ranked, 1))
+        self.firing.update((firing,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.again is None:
-            yield from (self.row(*key, 1, i, item, count) for i, (item, count) in enumerate((tuple(r) for r in self.best.get()), 1))
+            yield from (self.row(*key, 1, i, r[0], r[1], False) for i, r in enumerate(self.best.get(), 1))
         self.best.clear()
         self.firing.clear()
 
