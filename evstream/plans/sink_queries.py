@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from evstream.operators import partition, rows
 from evstream.operators.common import cents
@@ -10,7 +10,7 @@ from evstream.plans import table_queries as tq
 from evstream.plans.registry import ORACLE, query
 from evstream.session import scratch_path
 from evstream.sinks import files
-from evstream.sinks.keyed import KeyValueTable
+from evstream.sinks.leveled import LeveledTable
 from evstream.sources.readers import text_lines
 
 
@@ -41,13 +41,24 @@ def sink_delimited_read_back(t):
     select user_id, arg_max(event_id, (event_type, ts)) as event_id, max(event_type) as event_type
     from events group by user_id""")
 def sink_key_value_snapshot(t):
-    """One batch per kind of event, in alphabetical order; a later batch replaces a key's value."""
-    table = KeyValueTable(scratch_path(t.spark, "key-value"), ["user_id"])
+    """A batch for each kind of event, in alphabetical order; a later batch replaces a key's value.
+    Runs are merged on the way, and the version before the last merge says the same."""
     events = t.events.select("user_id", "event_id", "event_type", "ts")
-    kinds = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").collect()]
-    for number, kind in enumerate(kinds):
-        table.write_batch(events.where(tq.is_(kind)), number, ["ts", "event_id"])
-    return table.snapshot(t.spark, events.schema).drop("ts")
+    dealt = scratch_path(t.spark, "by-kind")
+    number = F.dense_rank().over(Window.orderBy("event_type")) - 1
+    kinds = saved_kinds(t, events, number, dealt)
+    table = LeveledTable(t.spark, scratch_path(t.spark, "key-value"), ["user_id"], fan_in=2)
+    for k in range(kinds):
+        table.write_batch(t.spark.read.schema(events.schema).parquet(f"{dealt}/number={k}"), k, ["ts", "event_id"])
+        table.compact(events.schema)
+    return table.snapshot(events.schema).drop("ts")
+
+
+def saved_kinds(t, events, number, folder) -> int:
+    """Write the events once, a folder for each kind of event; gives the number of kinds."""
+    kinds = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).select("event_type", number.alias("number"))
+    events.join(kinds, "event_type").select(*events.columns, "number").write.partitionBy("number").parquet(folder)
+    return kinds.count()
 
 
 @query("partition_spreads", """

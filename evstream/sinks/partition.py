@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
@@ -14,6 +13,8 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from evstream.sinks.committed import opened, qualified
+
 
 @dataclass
 class Written(WriterCommitMessage):
@@ -75,15 +76,16 @@ def partition_sink(
 def text_sink(spark: SparkSession, name: str, folder: str) -> str:
     """Register a sink that writes the first column of its rows as lines, a file per micro-batch
     and task. A file appears when its task ends well, and a task that runs again replaces its
-    own. ``folder`` lies where all executors reach it."""
+    own. ``folder`` lies where all executors reach it, on Spark's own file system if it names none.
+    For files that appear all together see :mod:`.committed`."""
+    url = qualified(spark, folder)
 
     def open_():
-        from pyarrow import fs
         from pyspark import TaskContext
 
         task = TaskContext.get()
         batch = task.getLocalProperty("streaming.sql.batchId") or "0"
-        files, base = fs.FileSystem.from_uri(folder) if urlsplit(folder).scheme else (fs.LocalFileSystem(), folder)
+        files, base = opened(url)
         files.create_dir(base, recursive=True)
         path = f"{base}/batch-{int(batch):09d}-part-{task.partitionId():05d}.txt"
         held = f"{base}/_{task.taskAttemptId()}-{int(batch)}.tmp"
