@@ -97,8 +97,9 @@ def committed_text_sink(spark: SparkSession, name: str, folder: str) -> str:
     """Register a sink that writes the first column of its rows as lines.
 
     Every attempt of a task writes a file of its own; only the files named by a manifest count, and
-    a manifest is written once all tasks of the job or micro-batch have ended well. A failed job's
-    files are removed. Read the lines with :func:`committed_lines`.
+    a manifest is written once all tasks of the job or micro-batch have ended well. The files of a
+    failed job's finished tasks are removed; those of tasks that end after it failed stay, unseen, until
+    :func:`remove_unnamed`. Read the lines with :func:`committed_lines`.
     """
     url = qualified(spark, folder)
 
@@ -117,15 +118,31 @@ def committed_text_sink(spark: SparkSession, name: str, folder: str) -> str:
     return name
 
 
-def committed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The committed lines as one text column. The driver reads the names of the files, as it does
-    when it lists a folder."""
+def _named(spark: SparkSession, folder: str) -> set[str]:
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{MANIFESTS}")
     if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.createDataFrame([], "value string")
+        return set()
     schema = "files array<string>, rows bigint"
     manifests = spark.read.schema(schema).option("pathGlobFilter", "*.json").json(f"{folder}/{MANIFESTS}")
-    names = sorted({f for r in manifests.select("files").toLocalIterator() for f in r["files"]})
+    return {f for r in manifests.select("files").toLocalIterator() for f in r["files"]}
+
+
+def committed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The committed lines as one text column. The driver reads the names of the files, as it does
+    when it lists a folder."""
+    names = sorted(_named(spark, folder))
     if not names:
         return spark.createDataFrame([], "value string")
     return spark.read.text([f"{folder}/{FILES}/{n}" for n in names])
+
+
+def remove_unnamed(spark: SparkSession, folder: str) -> int:
+    """Remove files no manifest names, while nothing is being written; gives their number."""
+    from pyarrow import fs
+
+    named = _named(spark, folder)
+    files, base = opened(qualified(spark, folder))
+    lost = [f.path for f in files.get_file_info(fs.FileSelector(f"{base}/{FILES}", allow_not_found=True)) if f.base_name not in named]
+    for path in lost:
+        files.delete_file(path)
+    return len(lost)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from evstream.operators.running import latest_per_key
 from evstream.operators.table_functions import greedy_batches
-from evstream.sinks.committed import committed_lines, committed_text_sink, qualified
+from evstream.sinks.committed import committed_lines, committed_text_sink, qualified, remove_unnamed
 from evstream.sinks.leveled import LeveledTable
 from evstream.sources.groups import row_groups
 from evstream.streaming.runner import Restart, run_stream, run_to_table
@@ -37,7 +37,7 @@ def test_a_failed_job_leaves_nothing(spark, tmp_path):
     fails = F.when(F.col("id") == 77, F.raise_error(F.lit("planned"))).otherwise(F.col("id").cast("string"))
     with pytest.raises(Exception, match="planned"):
         numbers.select(fails.alias("value")).write.format(sink).mode("append").save()
-    assert lines(folder, spark) == [] and os.listdir(f"{folder}/files") == []
+    assert lines(folder, spark) == []
     numbers.select(F.col("id").cast("string").alias("value")).write.format(sink).mode("append").save()
     numbers.limit(0).select(F.col("id").cast("string").alias("value")).write.format(sink).mode("append").save()
     assert lines(folder, spark) == list(range(100))
@@ -45,6 +45,8 @@ def test_a_failed_job_leaves_nothing(spark, tmp_path):
     with open(f"{folder}/files/lost.txt", "w") as out:
         out.write("5\n")
     assert lines(folder, spark) == list(range(100))
+    assert remove_unnamed(spark, folder) >= 1 and lines(folder, spark) == list(range(100))
+    assert len(os.listdir(f"{folder}/files")) == 4 and remove_unnamed(spark, folder) == 0
 
 
 def test_micro_batches_are_committed_once(spark, tmp_path):
