@@ -69,14 +69,22 @@ def match_by_id(
 ) -> DataFrame:
     """As :func:`match_within` for ids that occur once on a side: one outer join, so each side is
     shuffled once and gives one row at most. Rows of one id farther apart than ``wait``, and
-    those without an id, stand alone."""
+    those without an id, stand alone; the latter are dealt to all tasks."""
     if left.isStreaming or right.isStreaming:
         return match_within(left, right, on, left_ts, right_ts, wait)
     span = micros(wait)
-    a, b = left.withColumn("_left", F.lit(True)), right.withColumn("_right", F.lit(True))
-    both = a.join(b, _equal(a, b, on) & _near(a[left_ts], b[right_ts], -span, span), "full_outer")
+    a = _dealt(left.withColumn("_left", F.lit(True)), [l for l, _ in on], 1, "_deal_l")
+    b = _dealt(right.withColumn("_right", F.lit(True)), [r for _, r in on], -1, "_deal_r")
+    both = a.join(b, (a["_deal_l"] == b["_deal_r"]) & _equal(a, b, on) & _near(a[left_ts], b[right_ts], -span, span), "full_outer")
     tag = F.when(F.col("_right").isNull(), LEFT_ONLY).when(F.col("_left").isNull(), RIGHT_ONLY).otherwise(PAIR)
-    return both.withColumn("tag", tag).drop("_left", "_right")
+    return both.withColumn("tag", tag).drop("_left", "_right", "_deal_l", "_deal_r")
+
+
+def _dealt(df: DataFrame, columns: Sequence[str], sign: int, out: str) -> DataFrame:
+    """A further join key: 0 for rows with an id, and for the others, which match nothing, numbers
+    that spread them and that the other side does not have."""
+    deal = F.monotonically_increasing_id() % 65_536 + 1
+    return df.withColumn(out, F.when(_some_null(df, columns, 1) == 1, deal * sign).otherwise(F.lit(0).cast("bigint")))
 
 
 def match_within(

@@ -246,6 +246,18 @@ def stream_running_reduce(t):
     return drained(t, out, "reduce")
 
 
+@query("stream_running_sum", f"""
+    select event_id, event_type, cast(sum({tq.SQL_K}) over (partition by event_type order by event_id) as bigint) as total,
+           max({tq.SQL_K}) over (partition by event_type order by event_id) as greatest from events""")
+def stream_running_sum(t):
+    """Few keys with many rows each: a key's rows are folded in slices of its ids."""
+    rows_ = stream(t).select("event_id", "event_type", k_().alias("k"))
+    cut = F.call_function("div", F.col("event_id"), F.lit(100))
+    total = drained(t, jobs.running_fold(rows_, ["event_type"], BY_ID, "k", cut), "running-sum")
+    most = drained(t, jobs.running_fold(rows_, ["event_type"], BY_ID, "k", cut, "max", "greatest"), "running-max")
+    return total.join(most.drop("event_type"), "event_id")
+
+
 @query("stream_count5_3", f"""
     select user_id, rn // 3 as firing, cars from (
       select user_id, rn, cast(sum(k) over (partition by user_id order by rn

@@ -159,13 +159,13 @@ def slide_counts(df: DataFrame, ts: str, size: str, slide: str, keys: Sequence[s
         counts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "cnt"))
 
 
-def _summed(rows: DataFrame, group: Sequence[str]) -> DataFrame:
-    """``rows`` of ``group`` and ``_v`` with ``_v`` summed up within every batch of rows of a task."""
+def _summed(rows: DataFrame, group: Sequence[str], fold: str = "sum") -> DataFrame:
+    """``rows`` of ``group`` and ``_v`` with ``_v`` summed up (or folded) within every batch of rows of a task."""
     group = list(group)
 
     def summed(batches):
         for b in batches:
-            t = pa.Table.from_batches([b]).group_by(group).aggregate([("_v", "sum")])
+            t = pa.Table.from_batches([b]).group_by(group).aggregate([("_v", fold)])
             for part in t.rename_columns([*group, "_v"] if t.column_names[0] == group[0] else ["_v", *group]).to_batches():
                 yield part.select([*group, "_v"])
 
@@ -240,6 +240,34 @@ def running_reduce(
     return _process(df, keys, p.KeyedReduce(order, T.StructType(held), pick, combine, emit), out, BY_ARRIVAL)
 
 
+FOLDS = {"sum": lambda a, b: a + b, "min": min, "max": max}
+
+
+def running_fold(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, slices: Column, fold: str = "sum", out: str = "total"
+) -> DataFrame:
+    """The running sum, minimum or maximum of whole numbers after every row, with hot keys spread.
+
+    ``slices`` numbers stretches of a key's order (it must not fall where the order rises). The
+    slices of a micro-batch are folded by tasks of their own: partial folds go ahead to one row per
+    key and slice, where the key's state turns them into what each slice starts from. Rows of a
+    later micro-batch come later. NULL values change nothing; before the first value the result is
+    NULL. A task sorts one slice of one micro-batch in memory.
+    """
+    keys, order = list(keys), list(order)
+    rows = df.select(*keys, *[c for c in order if c not in keys], slices.cast("bigint").alias("_slice"), F.col(value).cast("bigint").alias("_v"))
+    function = {"sum": "sum", "min": "min", "max": "max"}[fold]
+    partial = _summed(rows.select(*keys, "_slice", "_v"), [*keys, "_slice"], function)
+    starts = _process(partial, keys, p.SliceCarry("_v", FOLDS[fold]), _long("_slice", "_v"), BY_ARRIVAL)
+    none = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order if c not in keys]
+    columns = [*keys, *[c for c in order if c not in keys], "_slice", "_v", "_carried"]
+    both = rows.withColumn("_carried", F.lit(False)).select(*columns).union(
+        starts.select(*keys, *none, "_slice", "_v", F.lit(True).alias("_carried")).select(*columns))
+    fields = [c for c in order if c not in keys]
+    done = _process(both, [*keys, "_slice"], p.SliceFold(fields, "_v", FOLDS[fold]), _fields(df, *fields) + _long(out), BY_ARRIVAL)
+    return done.drop("_slice")
+
+
 def count_windows(df, keys, order, value, size, every, out="total") -> DataFrame:
     return _process(df, keys, p.CountWindow(order, value, size, every), _long("firing", out), BY_ARRIVAL)
 

@@ -82,6 +82,56 @@ class KeyedReduce(ArrivalProcessor):
         self.held.update(held)
 
 
+class SliceCarry(Processor):
+    """What the slices of a key start from: partial folds of the slices in (``slice``, ``value``), and
+    out, for each slice of the micro-batch in order, the fold of all that came before. Holds a value for
+    each slice of one micro-batch; the state is one value."""
+
+    def __init__(self, value: str, fold: Callable):
+        self.value, self.fold = value, fold
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", "v bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        parts: dict[int, int | None] = {}
+        for row in rows:
+            parts[row["_slice"]] = _folded(self.fold, parts.get(row["_slice"]), row[self.value])
+        held = self.held.get()[0] if self.held.exists() else None
+        for number in sorted(parts, key=lambda n: (n is not None, n)):
+            yield self.row(*key, number, held)
+            held = _folded(self.fold, held, parts[number])
+        if held is not None:
+            self.held.update((held,))
+
+
+def _folded(fold: Callable, a, b):
+    return b if a is None else a if b is None else fold(a, b)
+
+
+class SliceFold(ArrivalProcessor):
+    """The running fold within a slice, from the row that says what it starts from (``_carried``). Keeps
+    nothing: rows of a later micro-batch bring what they start from with them."""
+
+    def __init__(self, order, value: str, fold: Callable):
+        super().__init__(order)
+        self.value, self.fold = value, fold
+
+    def open(self, handle):
+        pass
+
+    def handleInputRows(self, key, rows, timerValues):
+        held, own = None, []
+        for row in rows:
+            if row["_carried"]:
+                held = row[self.value]
+            else:
+                own.append((tuple((row[c] is not None, row[c]) for c in self.order), row[self.value]))
+        for place, value in sorted(own, key=lambda x: x[0]):
+            held = _folded(self.fold, held, value)
+            yield self.row(*key, *[v for _, v in place], held)
+
+
 class EarlyTotal(ArrivalProcessor):
     """The total so far, put out after every micro-batch that adds to it, with its number. State
     is kept for ``forget`` milliseconds after its last change, or for good."""

@@ -195,3 +195,43 @@ def test_marked_minimum_without_times(spark, files):  # noqa: F811
     got = drain(jobs.smallest_by_marker(end.follow(gaps), "ts", "user", "v", kind("pay"), "30 seconds", "60 seconds"), closing=end)
     want = table.where("ts is not null").groupBy("user", F.window("ts", "30 seconds").alias("w")).agg(F.min("v").cast("double").alias("m"))
     assert rows_of(got, "user", "window_start", "min_value") == rows_of(want.select("user", F.col("w.start").cast("timestamp_ntz").alias("s"), "m"))
+
+
+# --- hot keys --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("fold,function", [("sum", F.sum), ("max", F.max)])
+def test_running_folds_of_a_hot_key_in_slices(spark, files, fold, function):  # noqa: F811
+    from pyspark.sql import Window
+
+    r = random.Random(12)
+    rows = [(r.choice(["a", "a", "a", "b", None]), i, i, "", r.choice([None, 1, 2, 5, -3])) for i in range(400)]
+    for k in range(0, 400, 100):
+        files.add(*r.sample(rows[k:k + 100], 100))
+    cut = F.call_function("div", F.col("id"), F.lit(30))
+    out = drain(jobs.running_fold(files.stream(), ["user"], ["id"], "v", cut, fold))
+    table = spark.createDataFrame([(u, i, v) for u, i, _, _, v in rows], "user string, id bigint, v bigint")
+    want = table.withColumn("total", function("v").over(Window.partitionBy("user").orderBy("id")))
+    assert rows_of(out, "user", "id", "total") == rows_of(want, "user", "id", "total")
+
+
+def test_slices_of_a_key_are_folded_apart():
+    carry = processors.SliceCarry("v", lambda a, b: a + b)
+    carry.columns, carry.held = ("k", "slice", "start"), _Value()
+    first = [tuple(x) for x in carry.handleInputRows(("k",), [{"_slice": s, "v": v} for s, v in [(2, 5), (0, 1), (0, 2), (1, None)]], None)]
+    again = [tuple(x) for x in carry.handleInputRows(("k",), [{"_slice": 3, "v": 7}], None)]
+    assert first == [("k", 0, None), ("k", 1, 3), ("k", 2, 3)] and again == [("k", 3, 8)]
+
+
+class _Value:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
