@@ -799,45 +799,103 @@ class OrderCheck(EventOrderProcessor):
         return memory[1][0] + self.limit if memory[1] else None
 
 
+class Kept(dict):
+    """Map state of a processor that no stream runs."""
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+    def removeKey(self, key):
+        self.pop(key, None)
+
+    def iterator(self):
+        return iter(list(self.items()))
+
+
+class Stretch:
+    """Starts ``lo`` to ``hi`` of a key, numbered in order, that were taken on by the same later events:
+    their times and ids. ``dead`` if a strict step was missed."""
+
+    __slots__ = ("lo", "hi", "dead", "at", "ids")
+
+    def __init__(self, lo, hi, dead=False, at=(), ids=()):
+        self.lo, self.hi, self.dead, self.at, self.ids = lo, hi, dead, list(at), list(ids)
+
+    def held(self) -> tuple:
+        return (self.hi, self.dead, self.at, self.ids)
+
+
 class SequenceMatcher(EventOrderProcessor):
     """An ordered sequence of steps within a time limit; see ``patterns.match_sequence``.
 
     The input has one boolean field per step. Each row fitting the first step opens a partial
-    match, held as its events so far; it takes the first later row that fits its next step (for
-    a strict step, the very next row or none) and ends as ``match`` or, when the time is over,
-    as ``timeout`` with the steps reached.
+    match; it takes the first later row that fits its next step (for a strict step, the very next row
+    or none) and ends as ``match`` or, when the time is over, as ``timeout`` with the steps reached.
+
+    All starts that wait for the same step are taken on by the same row, so the events that follow
+    are shared: a start is one entry of a map by number, and consecutive starts with the same later
+    events form a :class:`Stretch`, another map's entry. A row writes its own start and the stretches it
+    takes on, each of which it can do once a step; starts are expired from the front.
     """
 
-    state = "open array<struct<at:array<bigint>,id:array<bigint>,dead:boolean>>"
-    initial = ([],)
+    state, initial = "front bigint, next bigint", (0, 0)
 
     def __init__(self, fields, order, flags: Sequence[str], strict: Sequence[bool], within: int):
         super().__init__(fields, order)
         self.flags, self.strict, self.within = list(flags), list(strict), within
+        self.starts, self.stretches = Kept(), Kept()
 
-    # A partial match is a list [times, ids, over]. All of them stand in ``open`` in the order of
-    # their starts, and those that can still go on in ``groups`` by the step they wait for. A row
-    # moves whole groups, so a match is touched once per step and not once per row.
+    def init(self, handle):
+        super().init(handle)
+        self.starts = handle.getMapState("starts", "n bigint", "us bigint, id bigint")
+        self.stretches = handle.getMapState(
+            "stretches", "lo bigint", "hi bigint, dead boolean, at array<bigint>, ids array<bigint>")
+
+    class _Memory:
+        """Of a key, while its rows are handled: stretches in order, those that wait for each step, the
+        numbers of the first start left and of the next, and the stretches to write."""
+
+        def __init__(self, front, next_, stretches, steps):
+            self.front, self.next, self.stretches, self.changed = front, next_, stretches, set()
+            self.first = None  # time and id of the first start left
+            self.groups: list[list[Stretch]] = [[] for _ in range(steps)]
+            for s in stretches.values():
+                if not s.dead:
+                    self.groups[len(s.ids) + 1].append(s)
 
     def load(self, held):
-        open_ = deque([list(at), list(ids), dead] for at, ids, dead in held[0])
-        groups: list[list] = [[] for _ in self.flags]
-        for part in open_:
-            if not part[2]:
-                groups[len(part[1])].append(part)
-        return open_, groups
+        found = sorted((k[0], tuple(v)) for k, v in self.stretches.iterator())
+        return self._Memory(held[0], held[1], {lo: Stretch(lo, *v) for lo, v in found}, len(self.flags))
 
     def save(self, memory):
-        return ([tuple(p) for p in memory[0] if len(p[1]) < len(self.flags)],)
-
-    def _put(self, key, part, out):
-        at, ids, _ = part
-        tag = "match" if len(ids) == len(self.flags) else "timeout"
-        out.append(self.row(*key, ids[0], at[0], ids[-1], at[-1], len(ids), tag))
+        for lo in memory.changed:
+            if lo in memory.stretches:
+                self.stretches.updateValue((lo,), memory.stretches[lo].held())
+            else:
+                self.stretches.removeKey((lo,))
+        memory.changed.clear()
+        return (memory.front, memory.next)
+
+    def _put(self, key, start, stretch, out):
+        last = (stretch.ids[-1], stretch.at[-1]) if stretch.ids else (start[1], start[0])
+        reached = len(stretch.ids) + 1
+        tag = "match" if reached == len(self.flags) else "timeout"
+        out.append(self.row(*key, start[1], start[0], *last, reached, tag))
+
+    def _first(self, memory):
+        """Number, time and id of the first start left, or None."""
+        if not memory.stretches:
+            return None
+        n = max(next(iter(memory.stretches.values())).lo, memory.front)
+        if memory.first is None or memory.first[0] != n:
+            memory.first = (n, *tuple(self.starts.getValue((n,))))
+        return memory.first
 
     def on_row(self, key, memory, row, out):
-        open_, groups = memory
-        us, row_id = row[self.order[0]], row[self.order[1]]
+        groups, us, row_id = memory.groups, row[self.order[0]], row[self.order[1]]
         last = len(self.flags) - 1
         # From the last step down: a match moves one step at most on one row.
         for step in range(last, 0, -1):
@@ -845,41 +903,55 @@ class SequenceMatcher(EventOrderProcessor):
             if not group:
                 continue
             if row[self.flags[step]]:
-                moved = [p for p in group if not p[2]]
-                for part in moved:
-                    part[0].append(us)
-                    part[1].append(row_id)
+                for s in group:
+                    s.at.append(us)
+                    s.ids.append(row_id)
+                    memory.changed.add(s.lo)
                     if step == last:
-                        self._put(key, part, out)
+                        for n in range(max(s.lo, memory.front), s.hi + 1):
+                            self._put(key, tuple(self.starts.getValue((n,))), s, out)
+                            self.starts.removeKey((n,))
+                        del memory.stretches[s.lo]
                 if step < last:
-                    groups[step + 1].extend(moved)
+                    groups[step + 1].extend(group)
                 groups[step] = []
             elif self.strict[step]:
-                for part in group:
-                    part[2] = True
+                for s in group:
+                    s.dead = True
+                    memory.changed.add(s.lo)
                 groups[step] = []
         if row[self.flags[0]]:
-            part = [[us], [row_id], False]
-            open_.append(part)
-            if last:
-                groups[1].append(part)
+            n = memory.next
+            memory.next += 1
+            if not last:
+                self._put(key, (us, row_id), Stretch(n, n), out)
+                return memory
+            self.starts.updateValue((n,), (us, row_id))
+            open_ = groups[1][-1] if groups[1] else None
+            if open_ is not None and open_.hi == n - 1:
+                open_.hi = n
             else:
-                self._put(key, part, out)
+                open_ = memory.stretches[n] = Stretch(n, n)
+                groups[1].append(open_)
+            memory.changed.add(open_.lo)
         return memory
 
     def on_time(self, key, memory, us, out):
-        open_ = memory[0]
-        while open_ and (len(open_[0][1]) == len(self.flags) or us + 1 >= open_[0][0][0] + self.within):
-            part = open_.popleft()
-            if len(part[1]) < len(self.flags):
-                part[2] = True
-                self._put(key, part, out)
+        while (first := self._first(memory)) is not None and us + 1 >= first[1] + self.within:
+            n, stretch = first[0], next(iter(memory.stretches.values()))
+            self._put(key, first[1:], stretch, out)
+            self.starts.removeKey((n,))
+            memory.front = n + 1
+            if n == stretch.hi:
+                del memory.stretches[stretch.lo]
+                memory.changed.add(stretch.lo)
+                if not stretch.dead:
+                    memory.groups[len(stretch.ids) + 1].remove(stretch)
         return memory
 
     def deadline(self, memory):
-        starts = (p[0][0] for p in memory[0] if len(p[1]) < len(self.flags))
-        first = next(starts, None)
-        return None if first is None else first + self.within
+        first = self._first(memory)
+        return None if first is None else first[1] + self.within
 
 
 class MarkedWindow(Processor):

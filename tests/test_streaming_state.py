@@ -235,3 +235,78 @@ class _Value:
 
     def update(self, value):
         self.value = value
+
+
+# --- sequences -------------------------------------------------------------------------------
+
+
+class CountingMap(processors.Kept):
+    writes = 0
+
+    def updateValue(self, key, value):
+        CountingMap.writes += 1
+        super().updateValue(key, value)
+
+    def removeKey(self, key):
+        CountingMap.writes += 1
+        super().removeKey(key)
+
+
+def sequence_matcher(strict=(False, False, False), within=10_000_000):
+    fields = T.StructType().add("_us", "long").add("id", "long").add("a", "boolean").add("b", "boolean").add("c", "boolean")
+    m = processors.SequenceMatcher(fields, ["_us", "id"], ["a", "b", "c"], list(strict), within)
+    m.columns = ("key", "first_id", "_a", "last_id", "_b", "matched", "tag")
+    return m
+
+
+def test_a_row_writes_as_much_state_whatever_the_number_of_open_starts():
+    m = sequence_matcher()
+    m.starts, m.stretches = CountingMap(), CountingMap()
+    held, out, written = m.initial, [], []
+    for us in range(100_000):
+        memory = m.load(held) if us % 1000 == 0 else memory  # a firing for every thousand rows
+        memory = m.on_row(("k",), memory, {"_us": us, "id": us, "a": True, "b": False, "c": False}, out)
+        if us % 1000 == 999:
+            before = CountingMap.writes
+            held = m.save(memory)
+            written.append(CountingMap.writes - before)
+    assert max(written) == 1 and len(m.starts) == 100_000 and len(m.stretches) == 1
+    for us, step in ((100_000, "b"), (100_001, "x"), (100_002, "a"), (100_003, "b")):
+        before, memory = CountingMap.writes, m.load(held)
+        memory = m.on_row(("k",), memory, {"_us": us, "id": us, **{f: f == step for f in "abc"}}, out)
+        held = m.save(memory)
+        assert CountingMap.writes - before <= 2 and not out
+    memory = m.on_row(("k",), m.load(held), {"_us": 100_004, "id": 100_004, "a": False, "b": False, "c": True}, out)
+    assert len(out) == 100_001 and {r.tag for r in out} == {"match"} and m.save(memory) == (0, 100_001)
+    assert not m.starts and not m.stretches
+
+
+@pytest.mark.parametrize("strict", [(False, False, False), (False, True, False), (False, False, True), (False, True, True)])
+def test_sequences_equal_a_search(strict):
+    """Every start by itself, over random rows that fit several steps at once or none."""
+    r = random.Random(str(strict))
+    for trial in range(60):
+        within = r.choice([3, 8, 50])
+        m, out, us, rows = sequence_matcher(strict, within), [], 0, []
+        for i in range(r.randint(1, 40)):
+            us += r.randint(0, 2)
+            rows.append({"_us": us, "id": i, **{f: r.random() < 0.35 for f in "abc"}})
+        held = m.initial
+        for row in rows:
+            memory = m.load(held)  # a firing for every row
+            memory = m.on_time(("k",), memory, row["_us"] - 1, out)
+            held = m.save(m.on_row(("k",), memory, row, out))
+        memory = m.on_time(("k",), m.load(held), 1 << 60, out)
+        assert m.deadline(memory) is None and (m.save(memory) or True) and not m.starts and not m.stretches
+        want = []
+        for i, start in enumerate(rows):
+            if start["a"]:
+                events, at, dead = [start], i, False
+                for step in (1, 2):
+                    later = rows[at + 1:at + 2] if strict[step] else rows[at + 1:]
+                    at = next((rows.index(x) for x in later if x["abc"[step]] and x["_us"] - start["_us"] < within), None)
+                    if at is None:
+                        break
+                    events.append(rows[at])
+                want.append((start["id"], events[-1]["id"], len(events), "match" if len(events) == 3 else "timeout"))
+        assert sorted((x.first_id, x.last_id, x.matched, x.tag) for x in out) == sorted(want), trial
