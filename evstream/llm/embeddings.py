@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import groupby
 
 import numpy as np
@@ -14,7 +15,7 @@ from evstream.llm.minhash import mixed
 
 COSINE = 0.95
 CELL = 3000  # home vectors a task holds while the others of their cell pass by
-MAX_PIVOTS = 1024  # pivots only set how work is dealt, never what is linked
+PIVOTS = 1024  # or the square root of the vectors, if more: pivots only set how work is dealt, never what is linked
 SLACK = 1e-9  # on bounds, for rounding
 
 
@@ -194,7 +195,8 @@ def near_vectors(vectors: DataFrame, column: str = "embedding", least: float = C
         F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw"), F.first("dim").alias("dim"))
     # Classes of equal vectors bear numbers of their own, fixed by writing them: an id may name several.
     classes = saved(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
-    wanted = min(MAX_PIVOTS, -(-classes.count() // CELL))
+    n = classes.count()
+    wanted = min(-(-n // CELL), max(PIVOTS, math.isqrt(n)))
     pivots: dict[int, list[bytes]] = {}
     for r in classes.orderBy(F.xxhash64("key"), "rep").limit(wanted).select("dim", "raw").collect():
         pivots.setdefault(r["dim"], []).append(bytes(r["raw"]))
