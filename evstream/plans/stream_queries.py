@@ -42,9 +42,10 @@ def timed(t, closing: Closing, keep: Column | None = None, bound: str = "0 secon
     return jobs.event_time(closing.follow(rows_ if change is None else change(rows_)), "ts", bound)
 
 
-def ends(t) -> Closing:
+def ends(t, at_once: bool = True) -> Closing:
+    """The closing row of the events; at once for :func:`timed`, which reads them in one batch."""
     prepare_streaming(t.spark)
-    return Closing(t.events, "ts")
+    return Closing(t.events, "ts", at_once)
 
 
 def drained(t, df: DataFrame, name: str, closing: Closing | None = None) -> DataFrame:
@@ -139,7 +140,7 @@ def stream_clicks_by_province(t):
     end, folder = ends(t), scratch_path(t.spark, "passed")
     capped = jobs.daily_cap(timed(t, end), ["user_id", "event_type"], BY_ID, 2).where("tag = 'pass'")
     passed = run_to_table(capped, "passed", folder=folder, source=t.events, closing=end)
-    end = Closing(passed, "ts")
+    end = Closing(passed, "ts", at_once=True)
     clicks = jobs.event_time(end.follow(stream_of(passed, folder)), "ts")
     clicks = clicks.withColumn("province", F.col("user_id") % 5)
     counts = jobs.slide_counts(clicks, "ts", "1 hour", "1 minute", ["province"])
@@ -211,7 +212,7 @@ def stream_late_refire(t):
 def stream_late_top3(t):
     """The three busiest users of every hour, ranked again with every delivery that has late rows."""
     return _delivered_to(t, lambda rows_: jobs.refiring_top(
-        rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours", 3, lanes=4), closed=True)
+        rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours", 3, lanes=2), closed=True)
 
 
 def _delivered(t):
@@ -371,7 +372,7 @@ def stream_order_pattern(t):
            date_trunc('hour', ts) + interval 1 hour as window_end, min(value) as min_value
     from events group by all""")
 def stream_marked_minimum(t):
-    end = ends(t)
+    end = ends(t, at_once=False)
     out = jobs.smallest_by_marker(end.follow(stream(t)), "ts", "event_type", "value", is_("click"), "1 hour")
     return drained(t, out, "marked", end)
 

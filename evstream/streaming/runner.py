@@ -50,16 +50,20 @@ class Closing:
     in its state. :meth:`follow` adds a source that is empty at first; once the input is drained,
     :meth:`write` puts a row at ``END`` there, and the next run of the query passes the watermark
     on to it. :func:`.jobs.event_time` keeps the row itself out of the results.
+
+    With ``at_once`` the row is there from the start, which spares the second run. That is right only
+    for an input that one micro-batch takes whole: the watermark moves when the batch is over, and
+    the batch without rows that Spark adds then puts everything out.
     """
 
-    def __init__(self, like: DataFrame, ts: str):
-        self.spark, self.schema = like.sparkSession, like.schema
+    def __init__(self, like: DataFrame, ts: str, at_once: bool = False):
+        self.spark, self.schema, self.at_once = like.sparkSession, like.schema, at_once
         self.path = scratch_path(self.spark, "closing")
         end = {ts: F.lit(END)}
         self.row = self.spark.range(1).select(
             *[end.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema]
         )
-        self.row.limit(0).write.parquet(self.path)
+        (self.row if at_once else self.row.limit(0)).write.parquet(self.path)
 
     def follow(self, rows: DataFrame) -> DataFrame:
         """``rows`` and, after :meth:`write`, the closing row. Filters on other columns than the
@@ -124,7 +128,7 @@ def run_to_table(
 
     try:
         run_stream(build, restart)
-        if closing is not None:
+        if closing is not None and not closing.at_once:
             closing.write()
             run_stream(build, restart)
     finally:
