@@ -18,11 +18,6 @@ from evstream.streaming.runner import Closing
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def ended(spark, files):  # noqa: F811
-    end = Closing(spark.createDataFrame([], SCHEMA), "ts")
-    return end, jobs.event_time(end.follow(files.stream()), "ts")
-
-
 # --- windows that fire again -----------------------------------------------------------------
 
 
@@ -54,7 +49,7 @@ def test_a_window_first_reached_by_late_rows_fires_with_them(spark, files):  # n
     assert rows_of(out.where("user = 'b'"), "firing", "total") == [(1, 2), (2, 6)]
 
 
-@pytest.mark.parametrize("lanes", [1, 7])
+@pytest.mark.parametrize("lanes", [3])
 def test_rankings_are_made_anew(spark, files, lanes):  # noqa: F811
     files.add(*[(u, i, 1, "", v) for i, (u, v) in enumerate([("a", 5), ("b", 5), ("c", 3), ("d", 1)])]).add(("z", 9, 30, "", 1))
     files.add(("d", 10, 2, "", 9)).add(("c", 11, 2, "", 2), ("e", 12, 2, "", 5))
@@ -94,7 +89,7 @@ def test_ranking_state_follows_n_whatever_the_number_of_items():
 # --- the paged bitmap ------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("page_bits,slices", [(1 << 24, 16), (1 << 29, 1), (1 << 12, 3)])
+@pytest.mark.parametrize("page_bits,slices", [(1 << 24, 16), (1 << 29, 1)])
 def test_bitmap_pages_and_slices_give_the_table_form(spark, files, page_bits, slices):  # noqa: F811
     r = random.Random(page_bits)
     rows = [(f"u{r.randint(0, 30)}" if r.random() < 0.9 else None, i, r.choice([r.randint(0, 119), 60]), "", 0) for i in range(150)]
