@@ -8,6 +8,8 @@ suffixes and compares neighbours.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -21,7 +23,7 @@ SPAN = 288  # window starts among which an anchor is chosen; LENGTH - SPAN bytes
 SPAN_BYTES = 16  # bytes an anchor is chosen by
 SHARED = LENGTH - SPAN
 SYMBOL = 40  # bytes of a symbol of the sorted strings
-CHUNK = 20_000  # stretches sorted together; more than that around one anchor go by window hashes
+CHUNK = 20_000  # stretches sorted together; more than that around one anchor are cut by their bytes
 PART = 1 << 22  # window starts handled at once, so that texts of any length fit
 
 
@@ -168,6 +170,12 @@ def _table(rows, schema):
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def _shared(rows: np.ndarray) -> np.ndarray:
+    """How many first bytes each row shares with the next."""
+    differ = rows[1:] != rows[:-1]
+    return np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+
+
 def _matches(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
     """``(key, stretch, low, high)``: runs of places before the anchor from which a window of the
     stretch equals one of another. Rows are (key, stretch, least, most, bytes)."""
@@ -186,22 +194,20 @@ def _matches(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
     order = order[order % (per + 1) == 0]
     order = order[order < n * (per + 1)] // (per + 1)
     right, left, least, most = right[order], left[order], least[order], most[order]
-    # Bytes that neighbours share after the anchor.
-    differ = right[1:] != right[:-1]
-    same = np.where(differ.any(axis=1), differ.argmax(axis=1), LENGTH)
+    # Bytes that neighbours share after the anchor, and, in the order of those before it, before it.
+    same = _shared(right)
     same = np.minimum(same, np.minimum((LENGTH - least)[1:], (LENGTH - least)[:-1]))
     reach = np.maximum(np.r_[0, same], np.r_[same, 0])
-    hit = np.zeros((n, SPAN), bool)
-    h = np.zeros(n, np.uint64)
+    before = np.argsort(left.view(f"S{SPAN}").ravel(), kind="stable")
+    shared = _shared(left[before])
+    hit, alike = np.zeros((n, SPAN), bool), np.zeros(n, np.int64)
     for x in range(SPAN):
-        if x:
-            h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + left[:, x - 1] + np.uint64(1))
         i = np.flatnonzero((least <= x) & (x <= most) & (reach >= LENGTH - x))
         if len(i) < 2:
             continue
-        band = np.cumsum(np.r_[0, same < LENGTH - x])[i].astype(np.uint64)
-        key = mixed(h[i] ^ mixed(band + np.uint64(x << 32)))
-        _, back, count = np.unique(key, return_inverse=True, return_counts=True)
+        alike[before] = np.cumsum(np.r_[0, shared < x])
+        band = np.cumsum(np.r_[0, same < LENGTH - x])
+        _, back, count = np.unique(band[i] * n + alike[i], return_inverse=True, return_counts=True)
         hit[i[count[back] > 1], x] = True
     out = []
     step = np.diff(np.pad(hit, ((0, 0), (1, 1))).astype(np.int8), axis=1)
@@ -212,40 +218,78 @@ def _matches(rows: list[tuple]) -> list[tuple[int, int, int, int]]:
 
 
 def _sorted(batches):
-    """Rows sorted by key: whole keys are gathered into chunks, which are sorted and compared."""
+    """Rows sorted by group: whole groups are gathered into chunks, which are sorted and compared."""
     schema = pa.schema([("key", pa.int64()), ("stretch", pa.int64()), ("low", pa.int32()), ("high", pa.int32())])
-    held, same = [], []
+    held, same, group = [], [], None
     for b in batches:
-        for r in zip(*[c.to_pylist() for c in b.columns], strict=True):
-            if same and r[0] != same[0][0]:
-                held, same = held + same, []
+        for g, *r in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            if g != group:
+                held, same, group = held + same, [], g
                 if len(held) >= CHUNK:
                     yield _table(_matches(held), schema)
                     held = []
-            same.append(r)
+            same.append(tuple(r))
     if held or same:
         yield _table(_matches(held + same), schema)
 
 
-def _by_hash(stretches: DataFrame) -> DataFrame:
-    """The same runs for crowded anchors: windows are hashed (128 bits) and counted by hash."""
+STRETCHES = "group long, key long, stretch long, least int, most int, text binary"
+
+
+def _halved(crowded: DataFrame) -> DataFrame:
+    """Stretches of crowded groups, each cut to the lower and the upper half of the window places of
+    its group (``lo`` to ``hi`` before the anchor). Windows of a half share more bytes than those of
+    the whole, on both sides of the anchor: a half is filed under these. ``part`` names the bytes left."""
 
     def run(batches):
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_64_intdigest as digest
 
-        schema = pa.schema([("key", pa.int64()), ("stretch", pa.int64()), ("x", pa.int32()), ("w", pa.binary())])
+        signed = lambda x: x - (1 << 64) if x >> 63 else x
+        schema = pa.schema([("group", pa.int64()), ("key", pa.int64()), ("stretch", pa.int64()), ("least", pa.int32()), ("most", pa.int32()),
+                            ("text", pa.binary()), ("lo", pa.int32()), ("hi", pa.int32()), ("part", pa.int64())])
         for b in batches:
             out = []
-            for key, stretch, lo, hi, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                out += [(key, stretch, x, xxh3_128_digest(text[hi - x:hi - x + LENGTH])) for x in range(lo, hi + 1)]
-                if len(out) >= 20_000:
+            for group, key, stretch, least, most, text, lo, hi in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                mid = (lo + hi + 1) // 2
+                for first, last in ((lo, mid - 1), (mid, hi)):
+                    low, high = max(least, first), min(most, last)
+                    if low <= high:
+                        # The anchor is at ``most`` in the text.
+                        shared = text[most - first:most + LENGTH - last]
+                        rest = text[most - high:most + LENGTH - low]
+                        out.append((signed(digest(shared, (group + first) % (1 << 64))), key, stretch, low, high, rest,
+                                    first, last, signed(digest(rest, low * SPAN + high))))
+                if len(out) >= 5_000:
                     yield _table(out, schema)
                     out = []
             yield _table(out, schema)
 
-    windows = saved(stretches.mapInArrow(run, "key long, stretch long, x int, w binary"), "windows")
-    often = windows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w")
-    return windows.join(often, "w").select("key", "stretch", F.col("x").alias("low"), F.col("x").alias("high"))
+    return crowded.select("group", "key", "stretch", "least", "most", "text", "lo", "hi").mapInArrow(
+        run, f"{STRETCHES}, lo int, hi int, part long")
+
+
+def _cut(stretches: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Groups of at most :data:`CHUNK` stretches that hold all equal windows, and runs found on the way.
+
+    A group with more is halved until none is left; a group of one window place holds one string,
+    so that is at most nine times. Stretches that are alike once cut are repeats of one another over
+    all places left to them: they are told at once, and one of them stays for the others.
+    """
+    todo = stretches.withColumns({"lo": F.lit(0), "hi": F.lit(SPAN - 1)})
+    few, runs = [], []
+    while True:
+        few.append(todo.where(F.col("crowd") <= CHUNK).drop("crowd", "lo", "hi"))
+        crowded = todo.where(F.col("crowd") > CHUNK)
+        if not crowded.head(1):
+            break
+        halves = saved(_halved(crowded), "halves")
+        alike = halves.groupBy("group", "part").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "stretch")).alias("one"))
+        crowd = alike.groupBy("group").agg(F.count(F.lit(1)).alias("crowd"))
+        halves = saved(halves.join(grows(alike), ["group", "part"]).join(grows(crowd), "group"), "halves")
+        runs.append(halves.where("n > 1").select("key", "stretch", F.col("least").alias("low"), F.col("most").alias("high")))
+        todo = halves.where(F.struct("key", "stretch") == F.col("one")).drop("n", "one", "part")
+    return reduce(DataFrame.unionByName, few), reduce(DataFrame.union, runs) if runs else None
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -283,11 +327,10 @@ def repeats(docs: DataFrame) -> DataFrame:
     named = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     stretches = saved(docs.join(grows(wanted), named).select("text", "at").mapInArrow(
         cut, "key long, stretch long, least int, most int, text binary, crowd long"), "stretches")
-    few = (stretches.where(F.col("crowd") <= CHUNK).drop("crowd").repartition("key").sortWithinPartitions("key"))
+    few, alike = _cut(stretches.withColumn("group", F.col("key")))
+    few = few.select("group", "key", "stretch", "least", "most", "text").repartition("group").sortWithinPartitions("group")
     runs = whole.union(few.mapInArrow(_sorted, RUNS))
-    many = stretches.where(F.col("crowd") > CHUNK).drop("crowd")
-    if many.head(1):
-        runs = runs.union(_by_hash(many))
+    runs = runs if alike is None else runs.union(alike)
     runs = saved(runs.distinct(), "runs")
     return places.join(grows(runs), ["key", "stretch"]).select(
         "doc_id", "text_hash", (F.col("anchor") - F.col("high")).alias("start"), (F.col("anchor") - F.col("low") + LENGTH).alias("end"))

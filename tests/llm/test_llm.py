@@ -240,9 +240,9 @@ def test_suffix_arrays():
         assert suffixes.suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
-@pytest.mark.parametrize("chunk", [suffixes.CHUNK, 1])
+@pytest.mark.parametrize("chunk", [suffixes.CHUNK, 3, 1])
 def test_suffix_dedup(spark, docs, nothing, chunk, monkeypatch):
-    monkeypatch.setattr(suffixes, "CHUNK", chunk)  # 1: crowded anchors go by window hashes
+    monkeypatch.setattr(suffixes, "CHUNK", chunk)  # few: crowded anchors are cut by their bytes
     out = suffixes.remove_repeats(clashing(docs))
     want = brute.repeats(list(enumerate(TEXTS)))
     for r in out.collect():
@@ -253,6 +253,24 @@ def test_suffix_dedup(spark, docs, nothing, chunk, monkeypatch):
     assert suffixes.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [suffixes.CHUNK, 5])
+def test_suffix_dedup_of_crowded_anchors(spark, chunk, monkeypatch):
+    """Parts of one passage in ever other surroundings: anchors with dozens of different stretches,
+    of which some share windows and some miss them by a byte."""
+    monkeypatch.setattr(suffixes, "CHUNK", chunk)
+    r, passage = random.Random(3), prose(160, 77)
+    texts = []
+    for k in range(70):
+        lo = r.randint(0, 250)
+        part = passage[lo:lo + r.choice((399, 400, 401, 430, 520, 700))]
+        texts.append(prose(r.randint(0, 30), 1000 + k) + part + prose(r.randint(0, 30), 2000 + k))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute.repeats(list(enumerate(texts)))
+    got = {r["doc_id"]: (sum(x["end"] - x["start"] for x in r["removed"]), len(r["removed"])) for r in suffixes.remove_repeats(df).collect()}
+    assert got == {d: w[1:3] for d, w in want.items()}
+    assert sum(n > 0 for n, _ in got.values()) > 40
+
+
 def test_suffix_dedup_of_repeated_ids(spark):
     texts = [None, "short", prose(200, 4) + BASE, BASE + prose(200, 9), BASE + prose(200, 9), prose(300, 10)]
     df = spark.createDataFrame([(7, t) for t in texts] + [(None, BASE)], "doc_id long, text string")
