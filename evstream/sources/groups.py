@@ -4,15 +4,20 @@ The source's state is a place in the sequence of row groups, files in order of t
 last file read and how many of its row groups. A delivery is a folder that a finished write left,
 and its name sorts behind those before it. Spark keeps it in the checkpoint of the query, so a
 query that failed goes on with the first row group it had not finished.
+
+With a limit a micro-batch takes at most that many row groups. :func:`deliver_in_order` lays a table
+out so that they ascend in event time: the watermark follows, and state holds what is open at the
+time reached, not the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from evstream.session import planned_bytes
 from evstream.sinks.committed import opened, qualified
 
 NAME = "evstream_row_groups"
@@ -26,8 +31,9 @@ class Groups(InputPartition):
 
 
 class GroupReader(DataSourceStreamReader):
-    def __init__(self, url: str, schema: T.StructType, per_task: int):
-        self.url, self.names, self.per_task = url, schema.fieldNames(), per_task
+    def __init__(self, url: str, schema: T.StructType, per_task: int, limit: int | None = None):
+        self.url, self.schema, self.per_task, self.limit = url, schema, per_task, limit
+        self.place = self.initialOffset()
 
     def _files(self) -> list[str]:
         """Files of finished deliveries, in order. A write in progress has not left its mark yet."""
@@ -50,10 +56,24 @@ class GroupReader(DataSourceStreamReader):
         return {"file": "", "groups": 0}
 
     def latestOffset(self) -> dict:
+        """The end of all that is there or, with a limit, of so many row groups after the place reached."""
         files = self._files()
-        return {"file": files[-1], "groups": self._groups(files[-1])} if files else self.initialOffset()
+        if self.limit is None:
+            return {"file": files[-1], "groups": self._groups(files[-1])} if files else self.initialOffset()
+        end, left = self.place, self.limit
+        for name in files:
+            if left and name >= end["file"]:
+                first = end["groups"] if name == end["file"] else 0
+                take = min(left, self._groups(name) - first)
+                if take > 0:
+                    end, left = {"file": name, "groups": first + take}, left - take
+        return end
 
     def partitions(self, start: dict, end: dict) -> list[Groups]:
+        # Spark plans every micro-batch by this and, at a restart, the empty one after the last.
+        self.place = end
+        if start == end:
+            return []
         out = []
         for name in self._files():
             if start["file"] <= name <= end["file"]:
@@ -64,12 +84,16 @@ class GroupReader(DataSourceStreamReader):
 
     def read(self, partition: Groups) -> Iterator:
         from pyarrow import parquet
+        from pyspark.sql.pandas.types import to_arrow_schema
 
+        kinds = to_arrow_schema(self.schema)
         files, base = opened(self.url)
         with files.open_input_file(f"{base}/{partition.path}") as f:
-            groups = range(partition.first, partition.last)
-            for batch in parquet.ParquetFile(f).iter_batches(row_groups=list(groups), columns=self.names):
-                yield batch.select(self.names)
+            groups = list(range(partition.first, partition.last))
+            # Spark writes its timestamps as 96-bit ones by default.
+            source = parquet.ParquetFile(f, coerce_int96_timestamp_unit="us")
+            for batch in source.iter_batches(row_groups=groups, columns=kinds.names):
+                yield batch.select(kinds.names).cast(kinds)
 
     def commit(self, end: dict) -> None:
         pass
@@ -83,12 +107,38 @@ class GroupSource(DataSource):
         return NAME
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return GroupReader(self.options["path"], schema, int(self.options.get("groupsPerTask", 1)))
+        limit = self.options.get("groupsPerBatch")
+        per_task = int(self.options.get("groupsPerTask", 1))
+        return GroupReader(self.options["path"], schema, per_task, None if limit is None else int(limit))
 
 
-def row_groups(spark: SparkSession, path: str, schema: T.StructType, groups_per_task: int = 1) -> DataFrame:
+def row_groups(
+    spark: SparkSession, path: str, schema: T.StructType, groups_per_task: int = 1, groups_per_batch: int | None = None
+) -> DataFrame:
     """The rows of the deliveries below a folder as a stream, ``groups_per_task`` row groups to a task.
-    A micro-batch takes all row groups that are there when it starts."""
+
+    A micro-batch takes all row groups that are there when it starts, or ``groups_per_batch`` of
+    them. A query with such a limit is drained by ``run_to_table(..., limited=True)``: the trigger
+    ``availableNow`` asks a source of this kind once, and so would end after one micro-batch.
+    """
     spark.dataSource.register(GroupSource)
     reader = spark.readStream.format(NAME).schema(schema)
+    if groups_per_batch is not None:
+        reader = reader.option("groupsPerBatch", groups_per_batch)
     return reader.option("path", qualified(spark, path)).option("groupsPerTask", groups_per_task).load()
+
+
+# Files of a delivery in order: their names are numbered with five digits.
+MOST_FILES = 99_999
+FILE_BYTES = 1 << 30
+GROUP_BYTES = 128 << 20
+
+
+def deliver_in_order(df: DataFrame, order: Sequence[str], folder: str, least_files: int = 1) -> None:
+    """Write ``df`` as one delivery whose row groups ascend in ``order``, by one shuffle into ranges.
+
+    Later columns of ``order`` part the rows of a time that many share. NULLs come first.
+    """
+    files = min(MOST_FILES, max(least_files, planned_bytes(df) // FILE_BYTES))
+    ranges = df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ranges.write.option("parquet.block.size", GROUP_BYTES).parquet(folder)

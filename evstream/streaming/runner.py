@@ -75,10 +75,12 @@ class Closing:
 
 
 def run_stream(
-    build: Callable[[], DataStreamWriter], restart: Restart = Restart.never()
+    build: Callable[[], DataStreamWriter], restart: Restart = Restart.never(), drain: bool = False
 ) -> StreamingQuery:
     """Start the query ``build`` describes and wait for its end, starting it anew on failure.
 
+    With ``drain`` the query has no end of its own and is stopped once its sources have no more.
+
     ``build`` is called for every start and must name the same checkpoint location, which holds
     offsets and state: the totals after a restart are those of an unbroken run.
     """
@@ -86,6 +88,9 @@ def run_stream(
     while True:
         query = build().start()
         try:
+            if drain:
+                query.processAllAvailable()
+                query.stop()
             query.awaitTermination()
             return query
         except StreamingQueryException:
@@ -100,14 +105,15 @@ def run_stream(
 
 def run_to_table(
     stream: DataFrame, name: str, folder: str | None = None, source: DataFrame | None = None,
-    restart: Restart = Restart.never(), closing: Closing | None = None,
+    restart: Restart = Restart.never(), closing: Closing | None = None, limited: bool = False,
 ) -> DataFrame:
     """Drain an append-mode stream into a table in the shared folder and read it back.
 
     ``source`` is a batch view of the input: the number of state partitions, fixed at the first
     start of a query, then follows its size. With ``closing`` the query runs once more after its
-    input, so that everything still in its state comes out. :func:`stream_of` reads such a
-    ``folder`` as the input of a next query.
+    input, so that everything still in its state comes out. ``limited`` is for a source that bounds its
+    micro-batches itself (:func:`evstream.sources.groups.row_groups`). :func:`stream_of` reads such
+    a ``folder`` as the input of a next query.
     """
     spark = prepare_streaming(stream.sparkSession)
     folder = folder or scratch_path(spark, name)
@@ -118,19 +124,19 @@ def run_to_table(
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
 
     def build() -> DataStreamWriter:
-        return (
+        writer = (
             stream.writeStream.format("parquet")
             .outputMode("append")
             .option("path", f"{folder}/table")
             .option("checkpointLocation", f"{folder}/checkpoint")
-            .trigger(availableNow=True)
         )
+        return writer if limited else writer.trigger(availableNow=True)
 
     try:
-        run_stream(build, restart)
+        run_stream(build, restart, limited)
         if closing is not None and not closing.at_once:
             closing.write()
-            run_stream(build, restart)
+            run_stream(build, restart, limited)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", previous)
     return spark.read.schema(stream.schema).parquet(f"{folder}/table")

@@ -7,13 +7,13 @@ import sys
 import pytest
 from conftest import rows_of
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from evstream.operators.running import latest_per_key
 from evstream.operators.table_functions import greedy_batches
 from evstream.sinks.committed import committed_lines, committed_text_sink, qualified, remove_unnamed
 from evstream.sinks.leveled import LeveledTable
-from evstream.sources.groups import row_groups
+from evstream.sources.groups import deliver_in_order, row_groups
 from evstream.streaming.runner import Restart, run_stream, run_to_table
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -139,8 +139,6 @@ def test_row_groups_are_dealt_to_tasks(tmp_path):
         os.makedirs(f"{tmp_path}/{d}")
         parquet.write_table(pa.table({"id": list(range(10))}), f"{tmp_path}/{d}/x.parquet", row_group_size=2)
         open(f"{tmp_path}/{d}/_SUCCESS", "w").close()
-    from pyspark.sql import types as T
-
     reader = GroupReader(f"file://{tmp_path}", T.StructType().add("id", "long"), 2)
     end = reader.latestOffset()
     assert end == {"file": "b/x.parquet", "groups": 5}
@@ -150,6 +148,62 @@ def test_row_groups_are_dealt_to_tasks(tmp_path):
     assert reader.partitions(end, end) == []
 
 
+def test_a_limit_cuts_row_groups_into_micro_batches(spark, tmp_path):
+    source, folder = f"{tmp_path}/in", f"{tmp_path}/job"
+    shuffled = spark.range(1000, numPartitions=3).select((F.col("id") * 7919 % 1000).alias("id"))
+    deliver_in_order(shuffled, ["id"], f"{source}/000", 9)
+    stream = row_groups(spark, source, shuffled.schema, groups_per_batch=2)
+    told = lambda: run_to_table(stream, "limited", folder=folder, limited=True)
+    batches = lambda: len([f for f in os.listdir(f"{folder}/checkpoint/offsets") if f.isdigit()])
+    assert sorted(r[0] for r in rows_of(told())) == list(range(1000))
+    assert batches() == 5
+    # Every micro-batch holds what comes after the one before it.
+    files = told().select("id", F.input_file_name().alias("f")).groupBy("f").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    spans = sorted((r["a"], r["b"]) for r in files.collect())
+    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:], strict=False))
+    # A new start goes on where the last one ended, within the limit too.
+    deliver_in_order(spark.range(1000, 1100), ["id"], f"{source}/001", 3)
+    assert sorted(r[0] for r in rows_of(told())) == list(range(1100))
+    assert batches() == 7
+    assert sorted(r[0] for r in rows_of(told())) == list(range(1100))
+    assert batches() == 7
+
+
+def test_a_failed_micro_batch_of_a_limited_stream_is_done_again(spark, tmp_path):
+    source, folder = f"{tmp_path}/in", f"{tmp_path}/job"
+    deliver_in_order(spark.range(400), ["id"], f"{source}/000", 8)
+    stream, starts = row_groups(spark, source, spark.range(0).schema, groups_per_batch=2), []
+
+    def build():
+        bad = F.when(F.col("id") == 250, F.raise_error(F.lit("planned")).cast("long")).otherwise(F.col("id"))
+        starts.append(1)
+        rows = stream.select(bad.alias("id")) if len(starts) == 1 else stream
+        writer = rows.writeStream.format("parquet").option("path", f"{folder}/table")
+        return writer.option("checkpointLocation", f"{folder}/checkpoint")
+
+    run_stream(build, Restart.fixed(1, 0), drain=True)
+    assert len(starts) == 2
+    assert sorted(r[0] for r in spark.read.parquet(f"{folder}/table").collect()) == list(range(400))
+
+
+def test_state_of_a_stream_in_order_is_what_is_open(spark, tmp_path):
+    """240 hours of events in six micro-batches: the state holds the windows of one or two of them."""
+    source, folder = f"{tmp_path}/in", f"{tmp_path}/job"
+    hour = F.timestamp_seconds(F.call_function("div", F.col("id") * 7919 % 4800, F.lit(20)) * 3600)
+    deliver_in_order(spark.range(4800).select(hour.alias("ts")), ["ts"], f"{source}/000", 24)
+    stream = row_groups(spark, source, T.StructType().add("ts", "timestamp"), groups_per_batch=4)
+    counts = stream.withWatermark("ts", "1 millisecond").groupBy(F.window("ts", "1 hour")).count()
+    query = (counts.select("window.start", "count").writeStream.format("parquet").option("path", f"{folder}/table")
+             .option("checkpointLocation", f"{folder}/checkpoint").start())
+    query.processAllAvailable()
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    query.stop()
+    told = [r["count"] for r in spark.read.parquet(f"{folder}/table").collect()]
+    assert len(held) >= 6 and max(held) <= 90
+    # The last events fall on 239:00, which ends the window before theirs but for the bound.
+    assert len(told) == 238 and set(told) == {20}
+
+
 def test_greedy_batches(spark):
     r = random.Random(2)
     rows = [(r.choice(["a", "b", None]), r.randint(0, 50), i, r.choice([None, 1, 5, 30, 200])) for i in range(400)]
