@@ -17,7 +17,6 @@ from evstream.plans.jobs import sales_dashboard
 from evstream.plans.registry import ORACLE, query
 from evstream.schemas import TABLES
 from evstream.session import prepare_streaming, scratch_path
-from evstream.sources.groups import deliver_in_order, row_groups
 from evstream.streaming import jobs
 from evstream.streaming.runner import Closing, run_to_table, stream_of
 
@@ -43,29 +42,14 @@ def timed(t, closing: Closing, keep: Column | None = None, bound: str = "0 secon
     return jobs.event_time(closing.follow(rows_ if change is None else change(rows_)), "ts", bound)
 
 
-def in_order(t, closing: Closing, keep: Column, batches: int = 4) -> DataFrame:
-    """The events of ``keep`` with event time and watermark, in order of time.
-
-    They are laid out once in that order, and a micro-batch takes as many row groups as the cluster
-    has cores: the watermark moves on with every one, so the state holds what is open then and not
-    the table. There are ``batches`` of them at least, and more where files hold several row groups.
-    """
-    folder = scratch_path(prepare_streaming(t.spark), "ordered")
-    events, cores = t.events.where(keep), t.spark.sparkContext.defaultParallelism
-    deliver_in_order(events, ["ts", *BY_ID], f"{folder}/0", batches * cores)
-    rows_ = row_groups(t.spark, folder, events.schema, groups_per_batch=cores)
-    # Rows of one time may stand on both sides of a batch's end: they are not late.
-    return jobs.event_time(closing.follow(rows_), "ts", "1 millisecond")
-
-
 def ends(t, at_once: bool = True) -> Closing:
     """The closing row of the events; at once for :func:`timed`, which reads them in one batch."""
     prepare_streaming(t.spark)
     return Closing(t.events, "ts", at_once)
 
 
-def drained(t, df: DataFrame, name: str, closing: Closing | None = None, limited: bool = False) -> DataFrame:
-    return run_to_table(df, name, source=t.events, closing=closing, limited=limited)
+def drained(t, df: DataFrame, name: str, closing: Closing | None = None) -> DataFrame:
+    return run_to_table(df, name, source=t.events, closing=closing)
 
 
 IS_VIEW = "event_type = 'view'"
@@ -82,15 +66,6 @@ def stream_pv_hourly(t):
     return drained(t, jobs.plain_times(counts), "pv", end)
 
 
-@query("stream_pv_in_order", ORACLE["stream_pv_hourly"])
-def stream_pv_in_order(t):
-    """As :func:`stream_pv_hourly`, over several micro-batches: a window is put out and forgotten
-    once the watermark has passed it."""
-    end = ends(t, at_once=False)
-    counts = windows.tumble(in_order(t, end, is_("view")), "ts", "1 hour", [], F.count(F.lit(1)).alias("pv"))
-    return drained(t, jobs.plain_times(counts), "pv-in-order", end, limited=True)
-
-
 @query("stream_uv_hourly", f"""
     select date_trunc('hour', ts) + interval 1 hour as window_end, count(distinct user_id) as uv
     from events where {IS_VIEW} group by 1""")
@@ -361,25 +336,16 @@ def _orders(t, end):
     where event_type = 'click' or (event_type = 'purchase' and creates = 0)""")
 def stream_order_status(t):
     end = ends(t)
-    return _order_status(t, _orders(t, end), end)
-
-
-def _order_status(t, orders, end, limited: bool = False):
-    told = jobs.order_status(orders, ["user_id"], BY_ID, is_("click"), is_("purchase"), "1 day")
-    told = drained(t, told, "orders", end, limited)
+    told = drained(
+        t,
+        jobs.order_status(_orders(t, end), ["user_id"], BY_ID, is_("click"), is_("purchase"), "1 day"),
+        "orders", end,
+    )
     # A late pay corrects the time-out told before: keep the last word on each create.
     last = told.groupBy("user_id", *BY_ID).agg(F.max(F.struct("pay_time", "create_time", "tag")).alias("s"))
     return last.select("user_id", "s.create_time", "s.pay_time", "s.tag")
 
 
-@query("stream_order_status_in_order", ORACLE["stream_order_status"])
-def stream_order_status_in_order(t):
-    """As :func:`stream_order_status`, over several micro-batches: rows wait in state only until the
-    next moves the watermark past them, and time-outs are told on the way."""
-    end = ends(t, at_once=False)
-    return _order_status(t, in_order(t, end, is_("click") | is_("purchase")), end, limited=True)
-
-
 @query("stream_order_check", f"""{SEEN_PAY_SQL}
     select user_id, ts as create_time,
            case when pay <= ts + interval 1 day then 'paid' else 'timeout' end as tag
