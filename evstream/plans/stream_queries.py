@@ -16,8 +16,8 @@ from evstream.plans import table_queries as tq
 from evstream.plans.jobs import sales_dashboard
 from evstream.plans.registry import ORACLE, query
 from evstream.schemas import TABLES
-from evstream.session import prepare_streaming, scratch_path
-from evstream.sources.groups import deliver_in_order, row_groups
+from evstream.session import planned_bytes, prepare_streaming, scratch_path
+from evstream.sources.groups import GROUP_BYTES, deliver_in_order, row_groups
 from evstream.streaming import jobs
 from evstream.streaming.runner import Closing, run_to_table, stream_of
 
@@ -46,14 +46,17 @@ def timed(t, closing: Closing, keep: Column | None = None, bound: str = "0 secon
 def in_order(t, closing: Closing, keep: Column, batches: int = 4) -> DataFrame:
     """The events of ``keep`` with event time and watermark, in order of time.
 
-    They are laid out once in that order, and a micro-batch takes as many row groups as the cluster
-    has cores: the watermark moves on with every one, so the state holds what is open then and not
-    the table. There are ``batches`` of them at least, and more where files hold several row groups.
+    They are laid out once in that order, and the watermark moves on with every micro-batch, so the
+    state holds what is open then and not the table. A micro-batch takes a full row group for each
+    core of the cluster, by bytes, since small files cost as much to start as large ones; a table of
+    less than ``batches`` such is dealt to about ``batches``.
     """
     folder = scratch_path(prepare_streaming(t.spark), "ordered")
     events, cores = t.events.where(keep), t.spark.sparkContext.defaultParallelism
     deliver_in_order(events, ["ts", *BY_ID], f"{folder}/0", batches * cores)
-    rows_ = row_groups(t.spark, folder, events.schema, groups_per_batch=cores)
+    written = planned_bytes(t.spark.read.schema(events.schema).parquet(f"{folder}/0"))
+    most = min(cores * GROUP_BYTES, -(-written // batches))
+    rows_ = row_groups(t.spark, folder, events.schema, bytes_per_batch=most)
     # Rows of one time may stand on both sides of a batch's end: they are not late.
     return jobs.event_time(closing.follow(rows_), "ts", "1 millisecond")
 

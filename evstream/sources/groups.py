@@ -5,9 +5,10 @@ last file read and how many of its row groups. A delivery is a folder that a fin
 and its name sorts behind those before it. Spark keeps it in the checkpoint of the query, so a
 query that failed goes on with the first row group it had not finished.
 
-With a limit a micro-batch takes at most that many row groups. :func:`deliver_in_order` lays a table
-out so that they ascend in event time: the watermark follows, and state holds what is open at the
-time reached, not the table.
+With a limit a micro-batch takes at most that many row groups, or that many bytes of files where
+row groups may be of any size, and one row group at least. :func:`deliver_in_order` lays a table out
+so that they ascend in event time: the watermark follows, and state holds what is open at the time
+reached, not the table.
 """
 
 from __future__ import annotations
@@ -31,19 +32,26 @@ class Groups(InputPartition):
 
 
 class GroupReader(DataSourceStreamReader):
-    def __init__(self, url: str, schema: T.StructType, per_task: int, limit: int | None = None):
-        self.url, self.schema, self.per_task, self.limit = url, schema, per_task, limit
+    def __init__(
+        self, url: str, schema: T.StructType, per_task: int, limit: int | None = None, most_bytes: int | None = None
+    ):
+        self.url, self.schema, self.per_task = url, schema, per_task
+        self.limit, self.most_bytes = limit, most_bytes
         self.place = self.initialOffset()
 
-    def _files(self) -> list[str]:
-        """Files of finished deliveries, in order. A write in progress has not left its mark yet."""
+    def _files(self) -> dict[str, int]:
+        """Files of finished deliveries, in order, with their sizes. A write in progress has not left its
+        mark yet."""
         from pyarrow import fs
 
         files, base = opened(self.url)
         found = files.get_file_info(fs.FileSelector(base, allow_not_found=True, recursive=True))
-        names = [f.path[len(base) :].strip("/") for f in found if f.is_file]
-        done = {n.rpartition("/")[0] for n in names if n.rpartition("/")[2] == "_SUCCESS"}
-        return sorted(n for n in names if n.rpartition("/")[0] in done and n.endswith(".parquet") and n.rpartition("/")[2][0] not in "._")
+        sizes = {f.path[len(base) :].strip("/"): f.size for f in found if f.is_file}
+        done = {n.rpartition("/")[0] for n in sizes if n.rpartition("/")[2] == "_SUCCESS"}
+        return {
+            n: sizes[n] for n in sorted(sizes)
+            if n.rpartition("/")[0] in done and n.endswith(".parquet") and n.rpartition("/")[2][0] not in "._"
+        }
 
     def _groups(self, name: str) -> int:
         from pyarrow import parquet
@@ -56,17 +64,23 @@ class GroupReader(DataSourceStreamReader):
         return {"file": "", "groups": 0}
 
     def latestOffset(self) -> dict:
-        """The end of all that is there or, with a limit, of so many row groups after the place reached."""
+        """The end of all that is there or, with a limit, of what it admits after the place reached."""
         files = self._files()
-        if self.limit is None:
-            return {"file": files[-1], "groups": self._groups(files[-1])} if files else self.initialOffset()
-        end, left = self.place, self.limit
-        for name in files:
-            if left and name >= end["file"]:
-                first = end["groups"] if name == end["file"] else 0
-                take = min(left, self._groups(name) - first)
-                if take > 0:
-                    end, left = {"file": name, "groups": first + take}, left - take
+        if self.limit is None and self.most_bytes is None:
+            last = next(reversed(files), None)
+            return {"file": last, "groups": self._groups(last)} if last else self.initialOffset()
+        end, groups, held = self.place, 0, 0
+        for name, size in files.items():
+            if name < end["file"]:
+                continue
+            first, last = end["groups"] if name == end["file"] else 0, self._groups(name)
+            for g in range(first, last):
+                # A file's row groups are taken for equally large.
+                groups, held = groups + 1, held + -(-size // last)
+                over = self.most_bytes is not None and held > self.most_bytes and groups > 1
+                if over or (self.limit is not None and groups > self.limit):
+                    return end
+                end = {"file": name, "groups": g + 1}
         return end
 
     def partitions(self, start: dict, end: dict) -> list[Groups]:
@@ -107,24 +121,27 @@ class GroupSource(DataSource):
         return NAME
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        limit = self.options.get("groupsPerBatch")
+        limits = (self.options.get(name) for name in ("groupsPerBatch", "bytesPerBatch"))
         per_task = int(self.options.get("groupsPerTask", 1))
-        return GroupReader(self.options["path"], schema, per_task, None if limit is None else int(limit))
+        return GroupReader(self.options["path"], schema, per_task, *(None if x is None else int(x) for x in limits))
 
 
 def row_groups(
-    spark: SparkSession, path: str, schema: T.StructType, groups_per_task: int = 1, groups_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, groups_per_task: int = 1,
+    groups_per_batch: int | None = None, bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """The rows of the deliveries below a folder as a stream, ``groups_per_task`` row groups to a task.
 
     A micro-batch takes all row groups that are there when it starts, or ``groups_per_batch`` of
-    them. A query with such a limit is drained by ``run_to_table(..., limited=True)``: the trigger
+    them, or as many as fit in ``bytes_per_batch`` (one at least). A query with such a limit is drained by ``run_to_table(..., limited=True)``: the trigger
     ``availableNow`` asks a source of this kind once, and so would end after one micro-batch.
     """
     spark.dataSource.register(GroupSource)
     reader = spark.readStream.format(NAME).schema(schema)
     if groups_per_batch is not None:
         reader = reader.option("groupsPerBatch", groups_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("bytesPerBatch", bytes_per_batch)
     return reader.option("path", qualified(spark, path)).option("groupsPerTask", groups_per_task).load()
 
 

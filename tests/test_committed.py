@@ -148,6 +148,27 @@ def test_row_groups_are_dealt_to_tasks(tmp_path):
     assert reader.partitions(end, end) == []
 
 
+def test_bytes_admit_row_groups_of_any_size(tmp_path):
+    """Small files share a micro-batch, a large one is cut between its row groups, and one row group
+    larger than the limit goes alone."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    from evstream.sources.groups import GroupReader
+
+    values = random.Random(4)
+    for name, rows, group in (("a", 10, 10), ("b", 10, 10), ("c", 4000, 1000), ("d", 20000, 20000), ("e", 10, 10)):
+        table = pa.table({"id": [values.getrandbits(60) for _ in range(rows)]})
+        parquet.write_table(table, f"{tmp_path}/{name}.parquet", row_group_size=group, compression="none", use_dictionary=False)
+    open(f"{tmp_path}/_SUCCESS", "w").close()
+    reader = GroupReader(f"file://{tmp_path}", T.StructType().add("id", "long"), 1, None, 20_000)
+    ends = []
+    while (end := reader.latestOffset()) != reader.place:
+        reader.partitions(reader.place, end)
+        ends.append((end["file"][0], end["groups"]))
+    assert ends == [("c", 2), ("c", 4), ("d", 1), ("e", 1)]
+
+
 def test_a_limit_cuts_row_groups_into_micro_batches(spark, tmp_path):
     source, folder = f"{tmp_path}/in", f"{tmp_path}/job"
     shuffled = spark.range(1000, numPartitions=3).select((F.col("id") * 7919 % 1000).alias("id"))
