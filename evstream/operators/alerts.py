@@ -35,18 +35,15 @@ def rise_alert(
     ``lasting``. Equal values neither start nor end a run."""
     rows = timeline(_timed(df, order), keys, order).forward(include_current=False, _prev=adjacent(value))
     us = epoch_us(order[0])
-    rows = rows.with_rows(
-        rows.rows.withColumns(
-            {
-                "_fall": F.when(F.col(value) < F.col("_prev"), us),
-                "_rise": F.when(F.col(value) > F.col("_prev"), us),
-            }
-        )
-    )
+    turns = {
+        "_fall": F.when(F.col(value) < F.col("_prev"), us),
+        "_rise": F.when(F.col(value) > F.col("_prev"), us),
+    }
+    rows = rows.changed(lambda r: r.withColumns(turns))
     rows = rows.forward(_run=running_count("_fall")).backward(
         include_current=False, _next_fall=nearest("_fall")
     )
-    runs = rows.rows.groupBy(*keys, "_run").agg(
+    runs = rows.done().groupBy(*keys, "_run").agg(
         F.min("_rise").alias("_start"), F.min("_next_fall").alias("_end")
     )
     # Within a run the next fall is the same for all rows, null in the last run of a key.
@@ -99,7 +96,7 @@ def order_status(
         F.when(F.col("_pay").isNull(), UNPAID).when(took < micros(limit), PAID).otherwise(LATE)
     )
     orphan = F.col("_paid") & (F.coalesce("_creates", F.lit(0)) == 0)
-    return rows.rows.where(F.col("_created") | orphan).select(
+    return rows.done().where(F.col("_created") | orphan).select(
         *keys,
         F.when(F.col("_created"), F.col(ts)).alias("create_time"),
         F.when(F.col("_created"), F.col("_pay")).otherwise(F.col(ts)).alias("pay_time"),
@@ -119,7 +116,7 @@ def order_check(
         include_current=False, _pay=nearest(F.when(F.col("_paid"), F.col(ts)))
     )
     in_time = epoch_us("_pay") - epoch_us(ts) <= micros(limit)
-    return rows.rows.where(F.col("_created") & (F.coalesce("_pays", F.lit(0)) == 0)).select(
+    return rows.done().where(F.col("_created") & (F.coalesce("_pays", F.lit(0)) == 0)).select(
         *keys,
         F.col(ts).alias("create_time"),
         F.when(F.coalesce(in_time, F.lit(False)), PAID).otherwise(UNPAID).alias("tag"),

@@ -47,15 +47,15 @@ def match_sequence(
     rows = timeline(flagged, keys, order)
     here = F.struct(*cols)
     last = len(steps) - 1
-    rows = rows.with_rows(rows.rows.withColumn(f"_at{last}", F.when(F.col(f"_is{last}"), F.struct(here.alias("row")))))
+    end = F.when(F.col(f"_is{last}"), F.struct(here.alias("row")))
+    rows = rows.changed(lambda r: r.withColumn(f"_at{last}", end))
     for i in range(last - 1, -1, -1):
         follow = adjacent if steps[i + 1].strict else nearest
         rows = rows.backward(include_current=False, _next=follow(f"_at{i + 1}"))
         chain = F.struct(here.alias("row"), F.col("_next").alias("next"))
-        rows = rows.with_rows(
-            rows.rows.withColumn(f"_at{i}", F.when(F.col(f"_is{i}"), chain)).drop("_next")
-        )
-    found = rows.rows.where(F.col("_is0")).select(*rows.keys, F.col("_at0").alias("_c"))
+        held = {f"_at{i}": F.when(F.col(f"_is{i}"), chain)}
+        rows = rows.changed(lambda r, held=held: r.withColumns(held).drop("_next"))
+    found = rows.done().where(F.col("_is0")).select(*keys, F.col("_at0").alias("_c"))
 
     path, structs, in_time = "_c", [], []
     begin = epoch_us(F.col(f"_c.row.{order[0]}"))

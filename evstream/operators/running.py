@@ -53,7 +53,7 @@ def running_field_reduce(
     c, plus = current_plus
     rows = timeline(df, keys, order).forward(_n=running_count())
     opening = F.when(F.col("_n") == 1, F.struct(F.col(first_of).alias("a"), F.col(b).alias("b")))
-    rows = rows.with_rows(rows.rows.withColumn("_open", opening)).forward(_first=nearest("_open"))
+    rows = rows.changed(lambda r: r.withColumn("_open", opening)).forward(_first=nearest("_open"))
     later = F.col("_n") - 1
     return (
         rows.done()
@@ -78,7 +78,7 @@ def running_reduce(
     keys, fields, order = list(keys), list(fields), list(order)
     tl = timeline(df, keys, order) if associative else None
     sliced = tl is not None and tl.sliced
-    rows = tl.rows if sliced else df.withColumn(SLICE, F.lit(0))
+    rows = tl.with_slices() if sliced else df.withColumn(SLICE, F.lit(0))
     out_schema = T.StructType(
         rows.schema.fields
         + [T.StructField(f"reduced_{f}", rows.schema[f].dataType) for f in fields]

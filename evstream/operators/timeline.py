@@ -2,9 +2,10 @@
 
 Running totals, previous/next rows and nearest matches all need the rows of a key in event
 order. A plain window hands a key to one task, which fails when a single key holds a large
-part of the table. A :class:`Timeline` keeps ordinary keys whole and cuts the hot ones into
-consecutive slices of bounded size. A scan then runs inside the slices, and what the earlier
-(or later) slices contribute is added from a table with one row per hot slice.
+part of the table. A :class:`Timeline` keeps ordinary keys whole, in a branch of plain windows, and
+cuts the hot ones into consecutive slices of bounded size. Their rows are written out once; a scan
+runs inside the slices, and what the earlier (or later) slices contribute is added from a table with
+one row per hot slice. So hot keys cost the others nothing but the join that parts them.
 
 The cut points are found by two aggregations over a sample of the key and order columns and
 checkpointed, so that a recomputed task sees the same slices.
@@ -12,10 +13,10 @@ checkpointed, so that a recomputed task sees the same slices.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from evstream.operators.common import key_join
 from evstream.session import (
@@ -26,6 +27,7 @@ from evstream.session import (
     checkpointed,
     int_setting,
     planned_bytes,
+    scratch_path,
 )
 
 SLICE = "_slice"
@@ -112,20 +114,30 @@ class _Scan:
 
 @dataclass(frozen=True)
 class Timeline:
-    """Rows with the key, order and slice columns a scan needs."""
+    """Rows with the key and order columns a scan needs; those of hot keys apart, with their slice."""
 
     rows: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    sliced: bool
+    hot: DataFrame | None = None
     hot_slices: int = 0
 
-    def with_rows(self, rows: DataFrame) -> "Timeline":
+    @property
+    def sliced(self) -> bool:
+        return self.hot is not None
+
+    def changed(self, change: Callable[[DataFrame], DataFrame]) -> "Timeline":
         """The same timeline after a row-wise change of its table."""
-        return replace(self, rows=rows)
+        return replace(self, rows=change(self.rows), hot=None if self.hot is None else change(self.hot))
+
+    def with_slices(self) -> DataFrame:
+        """All rows with the number of their slice, 0 for those of ordinary keys."""
+        whole = self.rows.withColumn(SLICE, F.lit(0))
+        return whole if self.hot is None else whole.unionByName(self.hot)
 
     def done(self) -> DataFrame:
-        return self.rows.drop(SLICE, ALL)
+        rows = self.rows if self.hot is None else self.rows.unionByName(self.hot.drop(SLICE))
+        return rows.drop(ALL)
 
     def forward(self, include_current: bool = True, **folds: Fold) -> "Timeline":
         """Add running values over the rows up to this one (or strictly before it)."""
@@ -139,20 +151,19 @@ class Timeline:
         # A backward scan is a forward scan in descending order: frames that end at the last
         # row would be evaluated anew for every row.
         turn = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-        parts = [*self.keys, SLICE] if self.sliced else list(self.keys)
-        ordered = Window.partitionBy(*parts).orderBy(*[turn(c) for c in self.order])
-        scan = _Scan(
-            ordered.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1), ordered
-        )
-        local = {name: f.inside(scan, reverse) for name, f in folds.items()}
-        if not self.sliced:
-            done = {name: folds[name].finish(col) for name, col in local.items()}
-            return self.with_rows(self.rows.withColumns(done))
-
-        partials = (
-            self.rows.where(F.col(SLICE) > 0)
-            .groupBy(*self.keys, SLICE)
-            .agg(*[f.of_slice(self.order, reverse).alias(f"_p_{n}") for n, f in folds.items()])
+        def inside(parts: Sequence[str]) -> dict[str, Column]:
+            ordered = Window.partitionBy(*parts).orderBy(*[turn(c) for c in self.order])
+            scan = _Scan(
+                ordered.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1), ordered
+            )
+            return {name: f.inside(scan, reverse) for name, f in folds.items()}
+
+        rows = self.rows.withColumns({n: folds[n].finish(col) for n, col in inside(self.keys).items()})
+        if self.hot is None:
+            return replace(self, rows=rows)
+
+        partials = self.hot.groupBy(*self.keys, SLICE).agg(
+            *[f.of_slice(self.order, reverse).alias(f"_p_{n}") for n, f in folds.items()]
         )
         before = (
             Window.partitionBy(*self.keys)
@@ -164,13 +175,14 @@ class Timeline:
             SLICE,
             *[f.across(F.col(f"_p_{n}"), before).alias(f"_c_{n}") for n, f in folds.items()],
         )
-        rows = self.rows.withColumns({f"_l_{n}": col for n, col in local.items()})
-        rows = key_join(rows, carried, [*self.keys, SLICE], rows=self.hot_slices)
+        local = inside([*self.keys, SLICE])
+        hot = self.hot.withColumns({f"_l_{n}": col for n, col in local.items()})
+        hot = key_join(hot, carried, [*self.keys, SLICE], rows=self.hot_slices)
         merged = {
             n: f.finish(f.merge(F.col(f"_c_{n}"), F.col(f"_l_{n}"))) for n, f in folds.items()
         }
-        rows = rows.withColumns(merged).drop(*[f"_{t}_{n}" for n in folds for t in "cl"])
-        return self.with_rows(rows)
+        hot = hot.withColumns(merged).drop(*[f"_{t}_{n}" for n in folds for t in "cl"])
+        return replace(self, rows=rows, hot=hot)
 
 
 def timeline(
@@ -187,7 +199,7 @@ def timeline(
     if not keys:
         df, probe, keys = df.withColumn(ALL, F.lit(0)), probe.withColumn(ALL, F.lit(0)), (ALL,)
     spark = df.sparkSession
-    whole = Timeline(df, keys, order, sliced=False)
+    whole = Timeline(df, keys, order)
     if planned_bytes(probe) <= int_setting(spark, SLICE_FLOOR, SLICE_FLOOR_DEFAULT):
         return whole
 
@@ -215,14 +227,25 @@ def timeline(
     cuts = checkpointed(
         cut_rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts"))
     )
-    rows = key_join(df, cuts, keys, rows=n_slices)
-    rows = _with_slice(rows, F.struct(*order), most // per)
-    return Timeline(rows, keys, order, sliced=True, hot_slices=n_slices)
+    ordinary = key_join(df, cuts.select(*keys), keys, "left_anti", rows=n_hot)
+    cut = key_join(df, cuts, keys, "inner", rows=n_slices)
+    hot = _written(_with_slice(cut, F.struct(*order), most // per))
+    return Timeline(ordinary, keys, order, hot, hot_slices=n_slices)
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """``rows`` as a table of its own: every scan reads them twice. Columns of no type, which
+    Parquet does not hold, are NULL throughout."""
+    spark = rows.sparkSession
+    untyped = {f.name: F.lit(None) for f in rows.schema if isinstance(f.dataType, T.NullType)}
+    kept = rows.drop(*untyped)
+    path = scratch_path(spark, "hot-keys")
+    kept.write.parquet(path)
+    return spark.read.schema(kept.schema).parquet(path).withColumns(untyped)
 
 
 def _with_slice(rows: DataFrame, at: Column, cuts: int) -> DataFrame:
-    """Number the slices: 0 for ordinary keys, else 1 + the cut points (at most ``cuts``) at or
-    before ``at``.
+    """Number the slices of hot keys: 1 + the cut points (at most ``cuts``) at or before ``at``.
 
     The count is found by halving, one projection per step, which stays in generated code;
     past the end of the cut points ``get`` is null and adds nothing.
@@ -232,5 +255,4 @@ def _with_slice(rows: DataFrame, at: Column, cuts: int) -> DataFrame:
         step = 1 << bit
         before = F.get(F.col("_cuts"), F.col(SLICE) + (step - 1)) <= at
         rows = rows.withColumn(SLICE, F.col(SLICE) + F.when(before, step).otherwise(0))
-    number = F.when(F.col("_cuts").isNull(), 0).otherwise(F.col(SLICE) + 1)
-    return rows.withColumn(SLICE, number).drop("_cuts")
+    return rows.withColumn(SLICE, F.col(SLICE) + 1).drop("_cuts")

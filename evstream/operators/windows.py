@@ -135,7 +135,7 @@ def sessions(
     )
     new = F.when(F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + width), 1).otherwise(0)
     line = timeline(panes, keys, ["_pane"]).forward(_prev=adjacent("_last"))
-    line = line.with_rows(line.rows.withColumn("_new", new)).forward(_session=running_sum("_new"))
+    line = line.changed(lambda rows: rows.withColumn("_new", new)).forward(_session=running_sum("_new"))
     numbered = line.done()
     return (
         numbered.groupBy(*keys, "_session")

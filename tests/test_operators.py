@@ -12,7 +12,7 @@ from evstream.functions.hashing import bitmap_offset
 from evstream.operators import alerts, joins, late, partition, patterns, rows, running, windows
 from evstream.operators.common import broadcast_if_small, fixed_width
 from evstream.operators.patterns import Step
-from evstream.operators.timeline import nearest, running_count, running_max, timeline
+from evstream.operators.timeline import nearest, running_count, running_max, running_sum, timeline
 
 KEYED = "user string, id bigint, ts timestamp_ntz, kind string, v bigint"
 ORDER = ["ts", "id"]
@@ -391,10 +391,32 @@ def test_large_caps_are_cut_before_the_shuffle(spark):
 def test_hot_key_of_one_time_is_cut_by_the_full_order(spark, sliced):
     df = spark.range(100).select(F.lit("a").alias("k"), F.lit(7).alias("t"), F.col("id"))
     line = timeline(df, ["k"], ["t", "id"]).forward(n=running_count())
-    assert line.rows.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 3
+    assert line.hot.groupBy("_slice").count().agg(F.max("count")).first()[0] <= 3
     assert rows_of(line.done(), "id", "n") == [(i, i + 1) for i in range(100)]
 
 
+def test_hot_keys_are_scanned_apart(spark, sliced, tmp_path):
+    """Ordinary keys keep plain windows; hot keys are written once, however many scans follow."""
+    data = [(k, i, i % 7) for k, n in (("hot", 50), (None, 30), ("a", 2), ("b", 1)) for i in range(n)]
+    spark.createDataFrame(data, "k string, i int, v int").write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in").withColumn("none", F.lit(None))
+    line = timeline(df, ["k"], ["i"])
+    assert rows_of(line.rows.select("k").distinct()) == [("a",), ("b",)]
+    assert line.hot.count() == 80 and line.hot.schema["none"].dataType == T.NullType()
+    for _ in range(2):
+        line = line.forward(total=running_sum("v")).changed(lambda r: r.withColumn("even", F.col("total") % 2 == 0).drop("total"))
+    out = line.forward(n=running_count("even"), total=running_sum("v")).backward(include_current=False, rest=running_sum("v")).done()
+    assert out.columns == ["k", "i", "v", "none", "even", "n", "total", "rest"]
+    want = []
+    for key in ("hot", None, "a", "b"):
+        values = [v for k, _, v in data if k == key]
+        want += [(key, i, i + 1, sum(values[: i + 1]), sum(values[i + 1 :]) or None) for i in range(len(values))]
+    got = {(r.k, r.i): (r.n, r.total, r.rest or None) for r in out.collect()}
+    assert got == {w[:2]: w[2:] for w in want}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count(f"{tmp_path}/in") == 1
+
+
 def test_slices_of_null_order_values(spark, sliced):
     df = spark.createDataFrame([("a", None if i % 5 == 0 else i, i) for i in range(40)], "k string, t int, id int")
     got = rows_of(timeline(df, ["k"], ["t", "id"]).forward(n=running_count()).done(), "id", "n")
