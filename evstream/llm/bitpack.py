@@ -15,6 +15,7 @@ from evstream.llm.common import query, table
 from evstream.session import scratch_path
 
 BLOCK_IDS = 1 << 16  # a block is closed by the document that reaches so many ids
+WHOLE = (8, 16, 32)  # bits of ids that lie in whole machine words
 # A file's rows: a block of whole documents; offsets (32-bit) are where they begin in the payload.
 BLOCK = T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("block", T.IntegerType()),
@@ -27,12 +28,16 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
     """``bits`` bits an id, highest first, without gaps; the last byte is filled with zeros."""
     if len(ids) and int(ids.max()) >> bits:
         raise ValueError(f"an id does not fit into {bits} bits")
+    if bits in WHOLE:
+        return ids.astype(f">u{bits // 8}").tobytes()
     wide = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
     return np.packbits(wide[:, 32 - bits:]).tobytes()
 
 
 def unpack(payload: bytes, bits: int, start: int, end: int) -> np.ndarray:
     """Ids ``start`` to ``end`` of a payload; only their own bytes are touched."""
+    if bits in WHOLE:
+        return np.frombuffer(payload, f">u{bits // 8}", end - start, start * bits // 8).astype("<u4")
     first, last = start * bits // 8, -(-end * bits // 8)
     flat = np.unpackbits(np.frombuffer(payload, np.uint8, last - first, first))
     flat = flat[start * bits - 8 * first:][: (end - start) * bits].reshape(-1, bits)
@@ -46,8 +51,8 @@ def write_ids(docs: DataFrame, path: str, encoder: Callable, vocabulary: int, en
 
     Rows go by ranges of ``doc_id`` (NULL first), so parts, blocks and documents ascend; rows of
     one id are told apart by their text's hash, so even an id of many rows is dealt out. A NULL
-    or empty text is its end id alone. ``encoder()`` is called in the task and gives text -> ids
-    as little-endian 32-bit bytes. Only one block is in memory at a time.
+    or empty text is its end id alone. ``encoder()`` is called in the task; its ``encode_all`` gives
+    the ids of each of many texts as little-endian 32-bit bytes. Only one block is in memory at a time.
     """
     bits = max(1, (vocabulary - 1).bit_length())
     close = tokens.packed([end])
@@ -55,7 +60,7 @@ def write_ids(docs: DataFrame, path: str, encoder: Callable, vocabulary: int, en
     def run(batches):
         from pyspark import TaskContext
 
-        part, encode = TaskContext.get().partitionId(), encoder().encode
+        part, encode = TaskContext.get().partitionId(), encoder().encode_all
         ids, names, offsets, held, block, first = [], [], [0], 0, 0, 0
 
         def row():
@@ -65,8 +70,8 @@ def write_ids(docs: DataFrame, path: str, encoder: Callable, vocabulary: int, en
             return pa.RecordBatch.from_pylist([out], schema=arrow)
 
         for b in batches:
-            for name, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                one = encode(text) + close
+            for name, one in zip(b.column("doc_id").to_pylist(), encode(b.column("text")), strict=True):
+                one += close
                 ids.append(one)
                 names.append(name)
                 held += len(one) // 4
@@ -97,16 +102,15 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            for r in b.to_pylist():
-                at = np.frombuffer(r["offsets"], "<u4").astype(np.int64)
-                flat = unpack(r["payload"], r["bits"], 0, int(at[-1])).tobytes()
-                cut = (4 * at).tolist()
-                n = len(r["doc_ids"])
+            part, first, bits = (b.column(c).to_pylist() for c in ("part", "first", "bits"))
+            for k in range(b.num_rows):
+                at = np.frombuffer(b.column("offsets")[k].as_buffer(), "<u4").astype(np.int64)
+                flat = unpack(b.column("payload")[k].as_buffer(), bits[k], 0, int(at[-1]))
+                n = len(at) - 1
+                ids = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(flat)])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([r["part"]] * n, pa.int32()), pa.array(r["doc_ids"], pa.int64()),
-                    pa.array(r["first"] + at[:-1]), pa.array(np.diff(at)),
-                    pa.array([flat[i:j] for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())],
-                    names=out.names)
+                    pa.array(np.full(n, part[k], np.int32)), b.column("doc_ids")[k].values,
+                    pa.array(first[k] + at[:-1]), pa.array(np.diff(at)), ids], names=out.names)
 
     # A row for each part, so never more than tasks that wrote: safe to broadcast.
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("_n"))

@@ -173,6 +173,37 @@ def test_encoders(spark):
         assert encode(None) == encode("") == b""
 
 
+def test_lower_case_encoder_of_many_texts():
+    import public_tokenizers as p
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    file = p.path("word_bpe_49k.json")
+    whole, encoder = Tokenizer.from_file(file), tokens.LowerCase(file)
+    # A special token's name counts as it is written, not once it is lowered.
+    odd = ["<|ENDOFTEXT|>", "a <|EndOfText|>. b", "x<|endoftext|>.", "foo!. bar", "²,x ½. ª.b º,c ×.x ÷,y", "É.é ÀÞ,C", "it's. 's.'T a.'s",
+           "1.5,6 x..y ,, . ,", "a\x85.b \x1d,", "Å.Å Ω,ς. ΟΣ.", "les&&& (415)!'s", ",", " ", "\n.\n"]
+    r = random.Random(5)
+    odd += ["".join(r.choice("abZs't.,!(09 \n\té×ÿ\xa0²ªΣ<|") for _ in range(r.randint(0, 50))) for _ in range(500)]
+    for texts in ([*odd, None, ""], [None], [""], [], odd[5:7]):
+        want = [tokens.packed(whole.encode(t or "", add_special_tokens=False).ids) for t in texts]
+        for kind in (pa.string(), pa.large_string()):
+            assert encoder.encode_all(pa.array(texts, kind)) == want
+            assert encoder.encode_all(pa.array(texts, kind)[2:]) == want[2:]
+    seen = []
+    encoder.words = type("Counted", (tokens.Words,), {"__getitem__": lambda self, w: seen.append(w) or tokens.Words.__getitem__(self, w)})(encoder.word)
+    encoder.encode_all(pa.array(["one two, two.\nOne", "two one"] * 50))
+    assert sorted(seen) == sorted({",", ".", "one", "two"})
+
+
+def test_packing_of_whole_machine_words():
+    ids = np.array([0, 1, 255, 200, 3], "<u4")
+    for bits in bitpack.WHOLE:
+        data = bitpack.pack(ids, bits)
+        assert data == b"".join(int(i).to_bytes(bits // 8, "big") for i in ids)
+        assert bitpack.unpack(data, bits, 1, 4).tolist() == [1, 255, 200] and bitpack.unpack(data, bits, 2, 2).tolist() == []
+
+
 def test_bit_packing(spark, docs, nothing, tmp_path):
     ids = np.array([0, 1, 5, 1023, 700, 3], "<u4")
     for bits in (10, 13, 32):
