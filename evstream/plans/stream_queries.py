@@ -225,7 +225,7 @@ def stream_late_totals(t):
 def stream_late_refire(t):
     """Totals of every user and hour, put out again with every delivery that corrects them."""
     return _delivered_to(t, lambda rows_: jobs.refiring_totals(
-        rows_, "ts", ["user_id"], F.col("c"), "3 hours", "1 hour", "3 hours", "cents"), closed=True)
+        rows_, "ts", ["user_id"], F.col("c"), "3 hours", "1 hour", "3 hours", "cents", _shares(t)), closed=True)
 
 
 @query("stream_late_top3", f"""{LATE_STREAM_SQL},
@@ -243,6 +243,14 @@ def stream_late_top3(t):
         rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours", 3, lanes=2), closed=True)
 
 
+SHARE_BYTES = 16 << 20
+
+
+def _shares(t) -> int:
+    """Shares of a window's users: even a window that holds all of the table keeps its entries of the state small."""
+    return 1 + planned_bytes(t.events) // SHARE_BYTES
+
+
 def _delivered(t):
     """The events in three deliveries, with what a watermark makes of each row."""
     return _delivered_to(t, lambda rows_: jobs.split_late(rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours"))

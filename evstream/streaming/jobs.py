@@ -17,7 +17,7 @@ from evstream.functions.time import epoch_us, floor_div, from_epoch_us, micros,
 from evstream.operators import joins, windows
 from evstream.operators.late import DROPPED, ON_TIME, REFIRE, with_watermark
 from evstream.operators.patterns import Step
-from evstream.streaming import processors as p
+from evstream.streaming import packs, processors as p
 
 US = "_us"
 EVENT_TIME, PROCESSING_TIME, BY_ARRIVAL = "eventTime", "processingTime", "none"
@@ -114,23 +114,32 @@ def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, la
 
 
 def refiring_totals(
-    df: DataFrame, ts: str, keys: Sequence[str], value: Column, bound: str, window: str, lateness: str, out: str = "total"
+    df: DataFrame, ts: str, keys: Sequence[str], value: Column, bound: str, window: str, lateness: str, out: str = "total",
+    shares: int = 8,
 ) -> DataFrame:
     """Sums of whole numbers per key and tumbling window that late rows correct: a row when the
     watermark (``bound`` behind the latest time) passes the window's end, ``firing`` 1, and one after
     every micro-batch with rows for it, until it is ``lateness`` past. Later rows are left out, as
     are those without an event time. The last firing of a window is the last word on it.
+
+    The keys of a window are dealt to ``shares``, each one entry of the state and its totals in memory at a
+    time; rows are summed up in their tasks first.
     """
     keys, width = list(keys), micros(window)
     timed = with_watermark(df.withColumn(ts, F.col(ts).cast("timestamp")), ts, bound)
     timed = _before_end(timed, ts).where(F.col(ts).isNotNull())
+    share = (F.pmod(F.hash(*keys), F.lit(shares)) if keys else F.lit(0)).alias("_share")
     # Without the event-time column Spark does not look for late rows itself.
-    slim = timed.select(*keys, ((floor_div(epoch_us(ts), width) + 1) * width).alias("_e"), value.cast("bigint").alias("_v"))
-    fired = _process(
-        _summed(slim, [*keys, "_e"]), [*keys, "_e"], p.RefiringWindow("_v", micros(lateness)),
-        [*_long("firing", out), T.StructField("late", T.BooleanType())], EVENT_TIME)
+    slim = timed.select(share, ((floor_div(epoch_us(ts), width) + 1) * width).alias("_e"), *keys, value.cast("bigint").alias("_v"))
+    group = ["_share", "_e"]
+    parts = packs.packed(slim, group, [*keys, "_v"], lambda t: packs.sums(t, [*group, *keys], "_v"))
+    told = _process(
+        parts, group, p.RefiringWindow(keys, "_v", micros(lateness)), [T.StructField(packs.ROWS, T.BinaryType())], EVENT_TIME)
+    late = T.StructField("_late", T.BooleanType())
+    fired = packs.unpacked(told, ["_e"], [*_fields(df, *keys), *_long("_firing", "_v"), late])
     return fired.select(
-        *keys, from_epoch_us(F.col("_e") - width).alias("window_start"), from_epoch_us("_e").alias("window_end"), "firing", out, "late")
+        *keys, from_epoch_us(F.col("_e") - width).alias("window_start"), from_epoch_us("_e").alias("window_end"),
+        F.col("_firing").alias("firing"), F.col("_v").alias(out), F.col("_late").alias("late"))
 
 
 def refiring_top(

@@ -13,9 +13,14 @@ from collections import deque
 from collections.abc import Callable, Iterator, Sequence
 from itertools import chain, islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Row, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from evstream.streaming import packs
+
 DAY_US = 86_400_000_000
 RUN_ROWS = 4096
 
@@ -527,53 +532,72 @@ class LateTag(Processor):
 
 
 class RefiringWindow(Processor):
-    """Totals of a key and window: put out when the watermark passes the window's end and again
-    after every micro-batch that brings rows for it within ``lateness`` more.
-
-    The key's last field is the window's end in microseconds. Firings are numbered from 1; rows that
-    come later still are left out, and the state goes with a timer. A window whose first rows come
-    late fires with them. A row out ends with whether late rows brought it about. Rows are partial sums ``value``, so a hot key sends few of them.
+    """Totals of the keys of a window: put out when the watermark passes the window's end and again
+    after every micro-batch that brings rows for them within ``lateness`` more.
+
+    The state's key is a share of a window's ``keys`` and, last, the window's end in microseconds.
+    Firings of a key are numbered from 1; rows that come later still are left out, and the state goes
+    with a timer. A key whose first rows come late fires with them. Rows are packs of partial sums
+    ``value``, and so are rows out: keys, firing, ``value``, whether late rows brought it about. The state is
+    a pack of the share's totals, with the firings so far.
     """
 
-    def __init__(self, value: str, lateness: int):
-        self.value, self.lateness = value, lateness
+    def __init__(self, keys: Sequence[str], value: str, lateness: int):
+        self.keys, self.value, self.lateness = list(keys), value, lateness
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "firing bigint, total bigint")
+        self.held = handle.getValueState("held", "rows binary")
+
+    def _told(self, key, totals: pa.Table, late: bool) -> Iterator[Row]:
+        if totals.num_rows:
+            marks = pa.array([late] * totals.num_rows, pa.bool_())
+            out = totals.select([*self.keys, "_firing", self.value]).append_column("_late", marks)
+            yield self.row(*key, packs.pack(out))
+
+    def _due(self, held: pa.Table) -> tuple[pa.Table, pa.Table]:
+        """Totals not told yet, and all with these counted as told."""
+        waiting = pc.equal(held["_firing"], 0)
+        at = held.column_names.index("_firing")
+        told = held.set_column(at, "_firing", pc.if_else(waiting, 1, held["_firing"]))
+        return told.filter(waiting), told
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mark, end = timerValues.getCurrentWatermarkInMs() * 1000, key[-1]
         if mark > 0 and end + self.lateness <= mark:
             return
-        firing, total = self.held.get() if self.held.exists() else (0, None)
-        if mark > 0 and end <= mark and firing == 0 and self.held.exists():
-            # Due in this very micro-batch: what came in time is told first.
-            self.handle.deleteTimer(_ms_up(end))
-            firing = 1
-            yield self.row(*key, firing, total, False)
-        if not self.held.exists():
+        over, kept = mark > 0 and end <= mark, self.held.exists()
+        come = pa.concat_tables([packs.unpack(r[packs.ROWS]) for r in rows])
+        come = packs.sums(come, self.keys, self.value)
+        zeros = pa.array(np.zeros(come.num_rows, np.int64))
+        come = come.append_column("_firing", zeros).append_column("_come", pc.add(zeros, 1))
+        if kept:
+            held = packs.unpack(self.held.get()[0])
+            if over:
+                # Due in this very micro-batch: what came in time is told first.
+                due, held = self._due(held)
+                yield from self._told(key, due, False)
+            held = held.append_column("_come", pa.array(np.zeros(held.num_rows, np.int64)))
+            come = packs.sums(pa.concat_tables([held, come.select(held.column_names)]), self.keys, self.value, "_firing", "_come")
+        else:
             self.handle.registerTimer(_ms_up(end + self.lateness))
-            if not (mark > 0 and end <= mark):
+            if not over:
                 self.handle.registerTimer(_ms_up(end))
-        for row in rows:
-            if row[self.value] is not None:
-                total = (total or 0) + row[self.value]
-        if mark > 0 and end <= mark:
-            firing += 1
-            yield self.row(*key, firing, total, True)
-        self.held.update((firing, total))
+        if over:
+            at = come.column_names.index("_firing")
+            come = come.set_column(at, "_firing", pc.add(come["_firing"], come["_come"]))
+            yield from self._told(key, come.filter(pc.equal(come["_come"], 1)), True)
+        self.held.update((packs.pack(come.drop_columns(["_come"])),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.held.exists():
             return
-        firing, total = self.held.get()
-        if firing == 0:
-            firing = 1
-            self.held.update((firing, total))
-            yield self.row(*key, firing, total, False)
+        due, held = self._due(packs.unpack(self.held.get()[0]))
+        yield from self._told(key, due, False)
         if expiredTimerInfo.getExpiryTimeInMs() >= _ms_up(key[-1] + self.lateness):
             self.held.clear()
+        elif due.num_rows:
+            self.held.update((packs.pack(held),))
 
 
 class BestOfWindow(Processor):

@@ -4,6 +4,7 @@ import random
 import sys
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from conftest import at, rows_of
 from pyspark import cloudpickle
@@ -12,7 +13,7 @@ from test_streaming import SCHEMA, drain, files, kind  # noqa: F401  (files is a
 
 from evstream.operators import alerts, patterns, running
 from evstream.operators.patterns import Step
-from evstream.streaming import jobs, processors
+from evstream.streaming import jobs, packs, processors
 from evstream.streaming.runner import Closing
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -49,6 +50,38 @@ def test_a_window_first_reached_by_late_rows_fires_with_them(spark, files):  # n
     assert rows_of(out.where("user = 'b'"), "firing", "total") == [(1, 2), (2, 6)]
 
 
+class CountedWindows(processors.RefiringWindow):
+    """Leaves a line in a file for every call with rows."""
+
+    def handleInputRows(self, key, rows, timerValues):
+        with open(CALLS, "a") as out:
+            out.write(f"{key}\n")
+        yield from super().handleInputRows(key, rows, timerValues)
+
+
+def test_calls_of_refiring_windows_follow_windows_and_not_users(spark, files, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(sys.modules[__name__], "CALLS", str(tmp_path / "calls"), raising=False)
+    monkeypatch.setattr(processors, "RefiringWindow", CountedWindows)
+    users = [f"u{i % 400}" for i in range(1000)] + [None] * 5
+    files.add(*[(u, i, i % 10, "", i) for i, u in enumerate(users)]).add(*[(u, i, 1, "", 1) for i, u in enumerate(users[:500])])
+    out = refired(spark, files, lambda s: jobs.refiring_totals(s, "ts", ["user"], F.col("v"), "0 seconds", "5 seconds", "60 seconds"))
+    want = Counter()
+    for i, u in enumerate(users):
+        want[u, i % 10 // 5] += i
+    told = {(r.user, r.window_start.second // 5, r.firing): r.total for r in out.collect()}
+    assert {k: told[*k, 1] for k in want} == want
+    assert {u: v for (u, w, n), v in told.items() if n == 2} == {u: want[u, 0] + (2 if int(u[1:]) < 100 else 1) for u in users[:400] if (u, 0) in want}
+    assert len(told) == 401 + 200 + 200  # in time, corrected, reached by late rows alone
+    assert len(open(CALLS).readlines()) <= 3 * 8  # three windows and micro-batches in eight shares each
+
+
+def test_sums_of_packs():
+    t = pa.table({"k": ["a", "a", None, "b"], "_v": pa.array([1, 2, 3, None], pa.int64())})
+    assert packs.sums(t, ["k"], "_v").to_pydict() == {"k": ["a", None, "b"], "_v": [3, 3, None]}
+    with pytest.raises(pa.ArrowInvalid):
+        packs.sums(pa.table({"k": [1, 1], "_v": [1 << 62, 1 << 62]}), ["k"], "_v")
+
+
 @pytest.mark.parametrize("lanes", [3])
 def test_rankings_are_made_anew(spark, files, lanes):  # noqa: F811
     files.add(*[(u, i, 1, "", v) for i, (u, v) in enumerate([("a", 5), ("b", 5), ("c", 3), ("d", 1)])]).add(("z", 9, 30, "", 1))
