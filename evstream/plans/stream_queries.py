@@ -240,7 +240,7 @@ def stream_late_refire(t):
 def stream_late_top3(t):
     """The three busiest users of every hour, ranked again with every delivery that has late rows."""
     return _delivered_to(t, lambda rows_: jobs.refiring_top(
-        rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours", 3, lanes=2), closed=True)
+        rows_, "ts", "user_id", "3 hours", "1 hour", "3 hours", 3, lanes=2, shares=_shares(t)), closed=True)
 
 
 SHARE_BYTES = 16 << 20

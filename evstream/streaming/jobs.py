@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -101,6 +102,21 @@ def _best_in_lanes(counts: DataFrame, item: str, n: int, lanes: int, again: str
     return _best(few, ["_e"], item, n, again).drop("_late")
 
 
+def _best_of_tasks(counts: DataFrame, group: Sequence[str], item: str, n: int) -> DataFrame:
+    """``counts`` cut to the ``n`` best of each group in what a task gathers: no other can be among the
+    best of all. Rows without an item or a count have no rank."""
+    group = list(group)
+
+    def best(t: pa.Table) -> pa.Table:
+        t = t.group_by([*group, item], use_threads=False).aggregate([("cnt", "max")])
+        t = t.rename_columns([*t.column_names[:-1], "cnt"]).sort_by([("cnt", "descending"), (item, "ascending")])
+        _, order, at = packs.grouped(t, group)
+        rank = np.arange(len(order)) - np.repeat(at[:-1], np.diff(at))
+        return t.take(pa.array(order[rank < n]))
+
+    return packs.reduced(counts.where(F.col(item).isNotNull() & F.col("cnt").isNotNull()).select(*group, item, "cnt"), best)
+
+
 def hot_keys(df: DataFrame, ts: str, key: str, size: str, slide: str, n: int, lanes: int = 256) -> DataFrame:
     """Top ``n`` per sliding window, put out when the window closes, ties to the smaller key.
 
@@ -143,14 +159,15 @@ def refiring_totals(
 
 
 def refiring_top(
-    df: DataFrame, ts: str, key: str, bound: str, window: str, lateness: str, n: int, value: Column | None = None, lanes: int = 256
+    df: DataFrame, ts: str, key: str, bound: str, window: str, lateness: str, n: int, value: Column | None = None,
+    lanes: int = 256, shares: int = 8,
 ) -> DataFrame:
     """``window_end, firing, rank, key, cnt``: the top ``n`` of each window as it closes, and the whole
     ranking anew after every micro-batch with late rows for it. Counts, or sums of a ``value`` that is
-    never negative."""
-    counts = refiring_totals(df, ts, [key], F.lit(1) if value is None else value, bound, window, lateness, "cnt")
+    never negative. Totals are cut to the best in their tasks before they are ranked."""
+    counts = refiring_totals(df, ts, [key], F.lit(1) if value is None else value, bound, window, lateness, "cnt", shares)
     counts = counts.select(epoch_us("window_end").alias("_e"), key, "cnt", F.col("late").alias("_late"))
-    best = _best_in_lanes(counts, key, n, lanes, lateness)
+    best = _best_in_lanes(_best_of_tasks(counts, ["_e", "_late"], key, n), key, n, lanes, lateness)
     return best.select(from_epoch_us("_e").alias("window_end"), "firing", "rank", key, "cnt")
 
 

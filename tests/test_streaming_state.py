@@ -92,6 +92,31 @@ def test_rankings_are_made_anew(spark, files, lanes):  # noqa: F811
     assert got == [(1, 1, "a", 5), (1, 2, "b", 5), (2, 1, "d", 10), (2, 2, "a", 5), (3, 1, "d", 10), (3, 2, "a", 5)]
 
 
+class CountedRanks(processors.BestOfWindow):
+    """Leaves a line in a file for every row that is ranked."""
+
+    def handleInputRows(self, key, rows, timerValues):
+        rows = list(rows)
+        with open(CALLS, "a") as out:
+            out.write(f"{key}\n" * len(rows))
+        yield from super().handleInputRows(key, iter(rows), timerValues)
+
+
+def test_rows_that_are_ranked_follow_n_and_not_users(spark, files, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(sys.modules[__name__], "CALLS", str(tmp_path / "calls"), raising=False)
+    monkeypatch.setattr(processors, "BestOfWindow", CountedRanks)
+    r = random.Random(7)
+    counts = {f"u{i}": r.randint(0, 50) for i in range(500)}
+    files.add(*[(u, i, 1, "", v) for i, (u, v) in enumerate(counts.items())], (None, 998, 1, "", 99), ("z", 999, 30, "", 1))
+    files.add(*[(f"u{i}", i, 2, "", 40) for i in range(300)], ("z", 999, 31, "", 1))
+    out = refired(spark, files, lambda s: jobs.refiring_top(
+        s, "ts", "user", "3 seconds", "5 seconds", "60 seconds", 2, F.col("v"), 3))
+    again = {u: v + (40 if int(u[1:]) < 300 else 0) for u, v in counts.items()}
+    want = [(n, i, u, c[u]) for n, c in ((1, counts), (2, again)) for i, u in enumerate(sorted(c, key=lambda u: (-c[u], u))[:2], 1)]
+    assert rows_of(out.where(F.col("window_end") == F.lit(at(5))), "firing", "rank", "user", "cnt") == want
+    assert len(open(CALLS).readlines()) < 100
+
+
 class Held(list):
     """Stands in for list and value state."""
 
