@@ -233,19 +233,49 @@ def payment_join(pays, receipts, on, pay_ts, receipt_ts, wait) -> DataFrame:
 def smallest_by_marker(
     df: DataFrame, ts: str, key: str, value: str, marker: Column, size: str, bound: str = "0 seconds"
 ) -> DataFrame:
-    """Minimum per key and window when only ``marker`` rows move the watermark."""
+    """Minimum per key and window when only ``marker`` rows move the watermark. Rows are cut to those that
+    can matter in their tasks first; a window of a key is one entry of the state."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withColumn(US, epoch_us(ts))
     mark = F.when(marker | (F.col(ts) >= F.lit(END)), F.col(ts))
     marked = _before_end(with_watermark(timed.withColumn("_mark", mark), "_mark", bound), "_mark")
+    width = micros(size)
+    rows = marked.where(F.col(US).isNotNull()).select(
+        F.col(key).alias("_key"), (floor_div(F.col(US), width) * width).alias("_start"), "_mark", F.col(value).cast("double").alias("_v"))
     out = _process(
-        marked.select(key, "_mark", US, value), [key], p.MarkedWindow(US, value, micros(size)),
-        _long("start", "end") + [T.StructField("min_value", T.DoubleType())], EVENT_TIME,
+        packs.reduced(rows, _smallest), ["_key", "_start"], p.MarkedWindow("_v", width),
+        [T.StructField("min_value", T.DoubleType())], EVENT_TIME,
     )
     return out.select(
-        key, from_epoch_us("start").alias("window_start"), from_epoch_us("end").alias("window_end"), "min_value"
+        F.col("_key").alias(key), from_epoch_us("_start").alias("window_start"),
+        from_epoch_us(F.col("_start") + width).alias("window_end"), "min_value"
     )
 
 
+def _smallest(t: pa.Table) -> pa.Table:
+    """The rows that can be the minimum of their key and window. Spark leaves marker rows out that are
+    behind the watermark when they come, so a row is spared only for one that is as small and stays as long:
+    later marks stay longer, and rows without one always. NaN is above all numbers, and NULL above that."""
+    _, order, at = packs.grouped(t, ["_key", "_start"])
+    if not len(order):
+        return t
+    t = t.take(pa.array(order))
+    group = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    number = t["_v"].fill_null(0.0).to_numpy()
+    kind = np.where(t["_v"].is_null().to_numpy(), 2, np.isnan(number))
+    mark = t["_mark"].cast(pa.int64()).fill_null(np.iinfo(np.int64).max).to_numpy()
+    value = np.where(kind > 0, 0.0, number)
+    by_value = np.lexsort((value, kind))
+    value, kind = value[by_value], kind[by_value]
+    rank = np.empty(len(t), np.int64)
+    rank[by_value] = np.cumsum(np.concatenate([[False], (value[1:] != value[:-1]) | (kind[1:] != kind[:-1])]))
+    # Longest kept first, then smallest; a row stays if it is below all before it in its group.
+    order = np.lexsort((rank, -mark, group))
+    group, rank = group[order], rank[order]
+    low = np.minimum.accumulate(rank + (group[-1] - group) * (rank.max() + 1))
+    stays = np.concatenate([[True], low[1:] < low[:-1]])
+    return t.take(pa.array(order[stays]))
+
+
 # --- running values, by arrival ------------------------------------------------------------
 
 

@@ -979,38 +979,32 @@ class SequenceMatcher(EventOrderProcessor):
 
 
 class MarkedWindow(Processor):
-    """Tumbling minimum per key under a watermark that only marker rows move.
+    """Tumbling minimum per key and window under a watermark that only marker rows move.
 
     ``F.window`` would be governed by its own column, so the windows are kept here and put out
-    by timers, which follow the watermark the caller declared on the marker column.
+    by timers, which follow the watermark the caller declared on the marker column. The state's key ends
+    with the window's start in microseconds. NaN is above all numbers.
     """
 
-    def __init__(self, us: str, value: str, size: int):
-        self.us, self.value, self.size = us, value, size
+    def __init__(self, value: str, size: int):
+        self.value, self.size = value, size
 
     def init(self, handle):
         self.handle = handle
-        self.least = handle.getMapState("least", "start bigint", "v double")
+        self.least = handle.getValueState("least", "v double")
 
     def handleInputRows(self, key, rows, timerValues):
-        mark = timerValues.getCurrentWatermarkInMs() * 1000
-        for row in rows:
-            if row[self.us] is None:
-                continue
-            start = row[self.us] // self.size * self.size
-            if start + self.size <= mark:
-                continue
-            held = self.least.getValue((start,))[0] if self.least.containsKey((start,)) else None
-            value = row[self.value]
-            least = min((v for v in (held, value) if v is not None), default=None)
-            self.least.updateValue((start,), (least,))
-            self.handle.registerTimer(_ms_up(start + self.size))
+        mark, end = timerValues.getCurrentWatermarkInMs() * 1000, key[-1] + self.size
+        if end <= mark:
+            return iter(())
+        held = self.least.get() if self.least.exists() else ()
+        values = (v for v in chain(held, (row[self.value] for row in rows)) if v is not None)
+        self.least.update((min(values, key=lambda v: (v != v, v), default=None),))
+        self.handle.registerTimer(_ms_up(end))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        start = passed - self.size
-        if self.least.containsKey((start,)):
-            value = self.least.getValue((start,))[0]
-            self.least.removeKey((start,))
-            yield self.row(*key, start, passed, value)
+        if self.least.exists():
+            value = self.least.get()[0]
+            self.least.clear()
+            yield self.row(*key, value)

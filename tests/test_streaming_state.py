@@ -250,6 +250,62 @@ def test_marked_minimum_without_times(spark, files):  # noqa: F811
     assert rows_of(got, "user", "window_start", "min_value") == rows_of(want.select("user", F.col("w.start").cast("timestamp_ntz").alias("s"), "m"))
 
 
+class CountedMinima(processors.MarkedWindow):
+    """Leaves a line in a file for every row that reaches a window."""
+
+    def handleInputRows(self, key, rows, timerValues):
+        rows = list(rows)
+        with open(CALLS, "a") as out:
+            out.write(f"{key}\n" * len(rows))
+        yield from super().handleInputRows(key, iter(rows), timerValues)
+
+
+def test_rows_of_a_marked_window_are_cut_in_their_tasks(spark, files, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(sys.modules[__name__], "CALLS", str(tmp_path / "calls"), raising=False)
+    monkeypatch.setattr(processors, "MarkedWindow", CountedMinima)
+    r = random.Random(11)
+    data = [(r.choice(["a", "b", None]), i, r.randint(0, 29), "pay" if i % 5 == 0 else "look", r.choice([None, *range(3, 900)])) for i in range(900)]
+    files.add(*data[:600]).add(*data[600:], ("n", 900, 5, "look", None))
+    table = spark.createDataFrame([(u, i, at(s), k, v) for u, i, s, k, v in [*data, ("n", 900, 5, "look", None)]], SCHEMA)
+    end = Closing(table.withColumn("v", F.col("v").cast("double")), "ts")
+    rows = end.follow(files.stream().withColumn("v", F.col("v").cast("double")))
+    got = drain(jobs.smallest_by_marker(rows, "ts", "user", "v", kind("pay"), "10 seconds", "60 seconds"), closing=end)
+    want = table.groupBy("user", F.window("ts", "10 seconds").alias("w")).agg(F.min("v").cast("double").alias("m"))
+    assert rows_of(got, "user", "window_start", "min_value") == rows_of(want.select("user", F.col("w.start").cast("timestamp_ntz").alias("s"), "m"))
+    assert len(open(CALLS).readlines()) < 300
+
+
+def test_a_late_marker_row_of_an_open_window_stays_out(spark, files):  # noqa: F811
+    """As before the rows were cut: the larger row that is no marker, or a later marker, is the minimum."""
+    files.add(("a", 1, 17, "pay", 50)).add(("a", 2, 18, "pay", 40)).add(("a", 3, 18, "pay", 30))
+    files.add(("a", 4, 11, "pay", 1), ("a", 5, 12, "look", 20), ("a", 6, 13, "look", 25), ("a", 7, 19, "pay", 22))
+    files.add(("a", 8, 12, "pay", 2), ("a", 9, 31, "pay", 9)).add(("a", 10, 32, "pay", 8))
+    rows = files.stream().withColumn("v", F.col("v").cast("double"))
+    got = drain(jobs.smallest_by_marker(rows, "ts", "user", "v", kind("pay"), "10 seconds", "0 seconds"))
+    assert rows_of(got, "window_start", "min_value") == [(at(10), 20.0)]
+
+
+def test_least_of_marked_rows_whatever_the_watermark():
+    r = random.Random(1)
+    values = [None, float("nan"), float("inf"), 0.0, 1.0, 2.0, -1.0]
+
+    def least(rows, mark):
+        out = {}
+        for key, start, m, v in rows:
+            if m is None or m > mark:
+                out.setdefault((key, start), []).append(v)
+        return {k: min(vs, key=lambda v: (v is None, v != v, v or 0)) for k, vs in out.items()}
+
+    for _ in range(60):
+        rows = [(r.choice(["a", None]), r.choice([0, 10]), r.choice([None, *range(9)]), r.choice(values)) for _ in range(r.randint(1, 30))]
+        kinds = zip(["_key", "_start", "_mark", "_v"], zip(*rows), [pa.string(), pa.int64(), pa.timestamp("us", "UTC"), pa.float64()])
+        left = jobs._smallest(pa.table({name: pa.array(column, kind_) for name, column, kind_ in kinds}))
+        left = left.set_column(2, "_mark", left["_mark"].cast(pa.int64()))
+        kept = list(zip(*(left[c].to_pylist() for c in left.column_names)))
+        assert all(str(least(rows, mark)) == str({k: least(kept, mark)[k] for k in least(rows, mark)}) for mark in range(-1, 10))
+        assert least(kept, -1).keys() == least(rows, -1).keys()
+
+
 # --- hot keys --------------------------------------------------------------------------------
 
 
