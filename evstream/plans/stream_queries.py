@@ -305,12 +305,23 @@ def stream_count5_3(t):
     return drained(t, jobs.count_windows(rows, ["user_id"], BY_ID, "k", 5, 3, "cars"), "count")
 
 
+SLICE_BYTES = 1 << 20
+
+
+def _id_slices(t) -> Column:
+    """Numbers stretches of the ids, as many as the table's size asks for, however far apart the ids are."""
+    least, most = t.events.agg(F.min("event_id"), F.max("event_id")).first()
+    ids = 1 if least is None else most - least + 1
+    return F.call_function("div", F.col("event_id"), F.lit(-(-ids // (1 + planned_bytes(t.events) // SLICE_BYTES))))
+
+
 @query("stream_changelog_sum", f"""{tq.CHANGES_SQL}
     select event_id, word, false as inserted, old_total as frequency from u where old_total is not null
     union all select event_id, word, true, new_total from u""")
 def stream_changelog_sum(t):
+    """Few words with many rows each: a word's rows are summed up in slices of its ids."""
     words = stream(t).select("event_id", F.col("event_type").alias("word"), k_().alias("k"))
-    return drained(t, jobs.changelog(words, ["word"], BY_ID, "k", "frequency"), "changes")
+    return drained(t, jobs.changelog(words, ["word"], BY_ID, "k", "frequency", slices=_id_slices(t)), "changes")
 
 
 @query("stream_jump_alert", """

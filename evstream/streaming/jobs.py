@@ -328,9 +328,22 @@ def count_windows(df, keys, order, value, size, every, out="total") -> DataFrame
     return _process(df, keys, p.CountWindow(order, value, size, every), _long("firing", out), BY_ARRIVAL)
 
 
-def changelog(df, keys, order, value, total="total", having=None) -> DataFrame:
-    out = _fields(df, *order) + [T.StructField("inserted", T.BooleanType())] + _long(total)
-    return _process(df, keys, p.Changelog(order, value, having), out, BY_ARRIVAL)
+def changelog(df, keys, order, value, total="total", having=None, slices: Column | None = None) -> DataFrame:
+    """The updates of a running sum of whole numbers, for totals that ``having`` holds for: the old one taken
+    back, the new one put in. ``slices`` spreads hot keys as in :func:`running_fold`; without, a key's rows
+    of a micro-batch are sorted in one task."""
+    keys, order = list(keys), [c for c in order if c not in keys]
+    slice_ = F.lit(0) if slices is None else slices
+    rows = df.select(*keys, *order, slice_.cast("bigint").alias("_slice"), F.col(value).cast("bigint").alias("_v"))
+    group = [*keys, "_slice"]
+    partial = packs.reduced(rows.select(*group, "_v"), lambda t: packs.sums(t, group, "_v"))
+    starts = _process(partial, keys, p.SliceCarry("_v", FOLDS["sum"]), _long("_slice", "_v"), BY_ARRIVAL)
+    packed = packs.packed(rows, group, [*order, "_v"])
+    both = packed.select(*group, F.lit(None).cast("bigint").alias("_v"), packs.ROWS).union(
+        starts.select(*group, "_v", F.lit(None).cast("binary").alias(packs.ROWS)))
+    told = _process(both, group, p.Changelog(order, having), [T.StructField(packs.ROWS, T.BinaryType())], BY_ARRIVAL)
+    fields = [*_fields(df, *order), T.StructField("inserted", T.BooleanType()), *_long("_total")]
+    return packs.unpacked(told, keys, fields).withColumnRenamed("_total", total)
 
 
 def split_late(

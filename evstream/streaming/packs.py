@@ -117,15 +117,20 @@ def unpacked(df: DataFrame, kept: Sequence[str], payload: Sequence[T.StructField
     schema = T.StructType([*[df.schema[k] for k in kept], *payload])
     names = [f.name for f in payload]
 
+    def opened(tables: list[pa.Table], of: pa.Table) -> Iterator[pa.RecordBatch]:
+        numbers = np.repeat(np.arange(len(tables)), [t.num_rows for t in tables])
+        t, beside = pa.concat_tables(tables).select(names), of.select(kept).take(pa.array(numbers))
+        columns = {**{k: beside[k] for k in kept}, **{n: t[n] for n in names}}
+        yield from pa.table(columns).combine_chunks().to_batches(max_chunksize=BATCH_ROWS)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tables = [unpack(x.as_buffer()) for x in b.column(ROWS)]
-            if not tables:
-                continue
-            numbers = np.repeat(np.arange(len(tables)), [t.num_rows for t in tables])
-            t = pa.concat_tables(tables).select(names)
-            beside = pa.Table.from_batches([b]).select(kept).take(pa.array(numbers))
-            columns = {**{k: beside[k] for k in kept}, **{n: t[n] for n in names}}
-            yield from pa.table(columns).combine_chunks().to_batches(max_chunksize=BATCH_ROWS)
+            tables, n, size, first = [], 0, 0, 0
+            for i, data in enumerate(b.column(ROWS), 1):
+                tables.append(unpack(data.as_buffer()))
+                n, size = n + tables[-1].num_rows, size + tables[-1].nbytes
+                if _full(n, size) or i == b.num_rows:
+                    yield from opened(tables, pa.Table.from_batches([b.slice(first, i - first)]))
+                    tables, n, size, first = [], 0, 0, i
 
     return df.select(*kept, ROWS).mapInArrow(run, schema)

@@ -181,29 +181,49 @@ class CountWindow(ArrivalProcessor):
         self.last.put([(v,) for v in last])
 
 
-class Changelog(ArrivalProcessor):
-    """The updates of a running sum: retract the old total, insert the new one."""
+class Changelog(Processor):
+    """The updates of a running sum: retract the old total, insert the new one. Key: the sum's key and a
+    slice of its order. The slice's rows come as packs of the ``order`` columns and ``_v``, with a row
+    without a pack whose ``_v`` says what the slice starts from. Updates go out as a pack. Keeps nothing:
+    rows of a later micro-batch bring what they start from with them."""
 
-    def __init__(self, order, value: str, having: Callable[[int], bool] | None = None):
-        super().__init__(order)
-        self.value, self.having = value, having or (lambda total: True)
+    def __init__(self, order: Sequence[str], having: Callable[[int], bool] | None = None):
+        self.order, self.having = list(order), having
 
-    def open(self, handle):
-        self.total = handle.getValueState("total", "v bigint")
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
 
-    def on_rows(self, key, rows):
-        old = self.total.get()[0] if self.total.exists() else None
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        start, own = None, []
         for row in rows:
-            new = old if row[self.value] is None else (old or 0) + row[self.value]
-            if new != old:
-                ids = [row[c] for c in self.order]
-                if old is not None and self.having(old):
-                    yield self.row(*key, *ids, False, old)
-                if self.having(new):
-                    yield self.row(*key, *ids, True, new)
-            old = new
-        if old is not None:
-            self.total.update((old,))
+            if row[packs.ROWS] is None:
+                start = row["_v"]
+            else:
+                own.append(packs.unpack(row[packs.ROWS]))
+        t = pa.concat_tables(own) if own else None
+        t = None if t is None else t.filter(pc.is_valid(t["_v"]))
+        if t is None or not t.num_rows:
+            return
+        if self.order:
+            places = [(c, "ascending") for c in self.order]
+            t = t.take(pc.sort_indices(t, sort_keys=places, null_placement="at_start"))
+        new = pc.cumulative_sum_checked(t["_v"], start=pa.scalar(start or 0, pa.int64())).combine_chunks()
+        old = pa.concat_arrays([pa.array([start], pa.int64()), new[:-1]])
+        kept = pa.concat_arrays([self._kept(old), self._kept(new)])
+        changed = pc.fill_null(pc.not_equal(old, new), True)
+        kept = pc.and_(kept, pa.concat_arrays([changed, changed]))
+        # An old total stands before the new one.
+        both = np.arange(2 * len(new)).reshape(2, -1).T.ravel()
+        both = both[kept.to_numpy(zero_copy_only=False)[both]]
+        if len(both):
+            ids = t.select(self.order).take(pa.array(both % len(new)))
+            totals = pa.concat_arrays([old, new]).take(pa.array(both))
+            yield self.row(*key, packs.pack(ids.append_column("inserted", pa.array(both >= len(new))).append_column("_total", totals)))
+
+    def _kept(self, totals: pa.Array) -> pa.Array:
+        if self.having is None:
+            return pc.is_valid(totals)
+        return pa.array([v is not None and bool(self.having(v)) for v in totals.to_pylist()], pa.bool_())
 
 
 class EventOrderProcessor(Processor):

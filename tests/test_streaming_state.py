@@ -419,3 +419,43 @@ def test_sequences_equal_a_search(strict):
                     events.append(rows[at])
                 want.append((start["id"], events[-1]["id"], len(events), "match" if len(events) == 3 else "timeout"))
         assert sorted((x.first_id, x.last_id, x.matched, x.tag) for x in out) == sorted(want), trial
+
+
+class CountedChanges(processors.Changelog):
+    """Leaves the key of every call with rows in a file."""
+
+    def handleInputRows(self, key, rows, timerValues):
+        with open(CALLS, "a") as out:
+            out.write(f"{key}\n")
+        yield from super().handleInputRows(key, rows, timerValues)
+
+
+@pytest.mark.parametrize("having", [None, lambda total: total % 3 == 0])
+def test_change_log_of_a_hot_key_in_slices(spark, files, tmp_path, monkeypatch, having):  # noqa: F811
+    monkeypatch.setattr(sys.modules[__name__], "CALLS", str(tmp_path / "calls"), raising=False)
+    monkeypatch.setattr(processors, "Changelog", CountedChanges)
+    r = random.Random(5)
+    rows = [(r.choice(["hot", "hot", "hot", "few", None, "none"]), i, 0, "", r.choice([None, 0, 0, *range(-4, 9)])) for i in range(400)]
+    rows = [(u, i, s, k, None if u == "none" or i < 20 else v) for u, i, s, k, v in rows]
+    first, second = rows[:250], rows[250:]
+    r.shuffle(first)
+    files.add(*first).add(*second)
+    got = drain(jobs.changelog(files.stream(), ["user"], ["id"], "v", "sum", having, F.call_function("div", F.col("id"), F.lit(40))))
+    table = spark.createDataFrame([(u, i, at(s), k, v) for u, i, s, k, v in rows], SCHEMA)
+    want = running.changelog(table.withColumn("user", F.coalesce("user", F.lit("?"))), ["user"], ["id"], "v", "sum", **({"having": lambda c: c % 3 == 0} if having else {}))
+    columns = ["id", "inserted", "sum"]
+    assert rows_of(got.withColumn("user", F.coalesce("user", F.lit("?"))), "user", *columns) == rows_of(want, "user", *columns) != []
+    assert len({line for line in open(CALLS) if "hot" in line}) == 10  # slices of 40 ids
+
+
+def test_change_log_query_deals_a_word_to_many_calls(spark, sql, tmp_path, monkeypatch):
+    import compare
+    from evstream.plans import stream_queries
+    from evstream.plans.queries import ORACLE, QUERIES
+    from test_queries import DATA
+
+    monkeypatch.setattr(sys.modules[__name__], "CALLS", str(tmp_path / "calls"), raising=False)
+    monkeypatch.setattr(processors, "Changelog", CountedChanges)
+    monkeypatch.setattr(stream_queries, "SLICE_BYTES", 2048, raising=False)
+    assert compare.differences(sql, QUERIES["stream_changelog_sum"](spark, DATA), ORACLE["stream_changelog_sum"]) == ""
+    assert len(open(CALLS).readlines()) >= 20  # five words
